@@ -1,0 +1,123 @@
+"""Joins of the event logs with keyed tables, safe against hot keys.
+
+``lookup_join`` broadcasts the keyed side only after its size was measured. Beyond
+that bound ``skew_join`` shuffles, and splits the rows of every hot key over as
+many tasks as they need.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Bounds on what may be broadcast.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+# Rows of one key that one task handles well. A log of n rows has at most
+# n / HOT_ROWS hot keys, so the list of them stays small: 500,000 short rows for
+# a trillion log rows.
+HOT_ROWS = 2_000_000
+
+# Rows without a key match nothing; a left join spreads them over this many groups.
+NULL_SPREAD = 4096
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Measure whether ``df`` is small enough to be sent to every executor."""
+    rows = df.count()
+    if rows > max_rows:
+        return False
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = rows * 16 * len(df.columns)
+    if fixed > max_bytes or not texts or rows == 0:
+        return fixed <= max_bytes
+    widths = [F.sum(F.coalesce(F.octet_length(c), F.lit(0)).cast("long")) for c in texts]
+    text_bytes = df.agg(reduce(Column.__add__, widths).alias("bytes")).first()["bytes"]
+    return fixed + text_bytes <= max_bytes
+
+
+def count_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows per key, as ``on`` + ``key_rows``; combined map-side before the shuffle."""
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("key_rows"))
+
+
+def hot_keys(
+    df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, key_counts: DataFrame | None = None
+) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and the number of splits each needs.
+
+    ``key_counts`` may hold rows already counted by a finer key.
+    """
+    if key_counts is None:
+        counts = count_keys(df, on)
+    else:
+        counts = key_counts.groupBy(*on).agg(F.sum("key_rows").alias("key_rows"))
+    return counts.filter(F.col("key_rows") > hot_rows).select(
+        *on, F.ceil(F.col("key_rows") / hot_rows).cast("int").alias("_splits")
+    )
+
+
+def skew_join(
+    fact: DataFrame,
+    keyed: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    *,
+    hot_rows: int = HOT_ROWS,
+    key_counts: DataFrame | None = None,
+) -> DataFrame:
+    """Join a log with a table that has few rows per key.
+
+    Rows of a hot key get a salt from their own values (so a retried task computes
+    the same one); the keyed side repeats the matching rows once per salt. All
+    other rows have salt 0.
+    """
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"unsupported join type: {how}")
+    on = list(on)
+    hot = hot_keys(fact, on, hot_rows, key_counts)
+    own_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    salted_fact = (
+        fact.join(F.broadcast(hot), on, "left")
+        .withColumn(
+            "_salt",
+            F.when(no_key, F.pmod(own_hash, F.lit(NULL_SPREAD)))
+            .when(F.col("_splits").isNull(), F.lit(0))
+            .otherwise(F.pmod(own_hash, F.col("_splits")))
+            .cast("int"),
+        )
+        .drop("_splits")
+    )
+    salted_keyed = (
+        keyed.join(F.broadcast(hot), on, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)))
+        .drop("_splits")
+    )
+    return salted_fact.join(salted_keyed, [*on, "_salt"], how).drop("_salt")
+
+
+def lookup_join(
+    fact: DataFrame,
+    keyed: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    *,
+    bound: DataFrame | None = None,
+    key_counts: DataFrame | None = None,
+) -> DataFrame:
+    """Broadcast join if the keyed side is measured to be small, else ``skew_join``.
+
+    ``bound`` is a cheaper frame with at least as many rows as ``keyed`` (for
+    example the source of an aggregate); by default ``keyed`` itself is measured.
+    """
+    if fits_broadcast(keyed if bound is None else bound):
+        return fact.join(F.broadcast(keyed), list(on), how)
+    return skew_join(fact, keyed, on, how, key_counts=key_counts)
