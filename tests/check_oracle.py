@@ -1,0 +1,119 @@
+"""Compare the registered queries with their SQL: python tests/check_oracle.py [sf_dir] [names]."""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+from datetime import date, datetime
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import duckdb
+
+import __spark_entry__ as registry
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def normal(value: object) -> object:
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return None
+    if isinstance(value, datetime):
+        return value.replace(tzinfo=None).isoformat()
+    if isinstance(value, date):
+        return value.isoformat()
+    if isinstance(value, bool):
+        return int(value)
+    if isinstance(value, (int, str)):
+        return value
+    return float(value) + 0.0
+
+
+def key(row: list) -> tuple:
+    return tuple((v is not None, str(type(v)), v if v is not None else 0) for v in row)
+
+
+def rows_of(columns: list[str], rows: list) -> tuple[list[str], list]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = [[normal(row[i]) for i in order] for row in rows]
+    return [columns[i] for i in order], sorted(out, key=key)
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(
+            f"create view {table} as select * from read_parquet('{sf_dir}/{table}.parquet')"
+        )
+    return con
+
+
+def expected(con: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], list]:
+    cursor = con.execute(sql)
+    return rows_of([d[0] for d in cursor.description], cursor.fetchall())
+
+
+def actual(df) -> tuple[list[str], list]:
+    return rows_of(df.columns, [tuple(row) for row in df.collect()])
+
+
+def main() -> int:
+    from adlake.session import build_session
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    only = set(sys.argv[2:])
+    spark = build_session(
+        "check",
+        "local[8]",
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+           "spark.driver.memory": "8g"},
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    sql = registry.oracle_sql()
+    failed = []
+    for name, query in registry.queries().items():
+        if only and name not in only:
+            continue
+        start = time.time()
+        try:
+            got = actual(query(spark, sf_dir))
+        except Exception as error:  # noqa: BLE001
+            failed.append(name)
+            print(f"ERROR {name}: {str(error)[:600]}", flush=True)
+            continue
+        took = time.time() - start
+        if name not in sql:
+            print(f"rows  {name}: {len(got[1])} rows, {took:.1f}s", flush=True)
+            continue
+        start = time.time()
+        try:
+            want = expected(con, sql[name])
+        except Exception as error:  # noqa: BLE001
+            failed.append(name)
+            print(f"SQL   {name}: {str(error)[:600]}", flush=True)
+            continue
+        if got == want:
+            print(
+                f"ok    {name}: {len(got[1])} rows, {took:.1f}s (sql {time.time() - start:.1f}s)",
+                flush=True,
+            )
+            continue
+        failed.append(name)
+        print(f"DIFF  {name}: {got[0]} / {want[0]}, {len(got[1])} / {len(want[1])} rows", flush=True)
+        shown = 0
+        for a, b in zip(got[1], want[1]):
+            if a != b and shown < 3:
+                print("   spark", a, "\n   sql  ", b)
+                shown += 1
+    print("failed:", failed)
+    return 1 if failed else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
