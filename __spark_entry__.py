@@ -20,7 +20,7 @@ from adlake.plans import features as feat
 from adlake.plans.marts import campaign_performance, campaign_summary
 from adlake.plans.silver import silver
 from adlake.plans.staging import stage_all
-from adlake.session import work_path
+from adlake.session import materialize, work_path
 from adlake.sources import landing, tables, testdata
 from adlake.sources.schemas import ENTITIES
 from adlake.streaming import daily, ingest
@@ -43,11 +43,11 @@ def _plain(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns(numbers) if numbers else df
 
 
-def _raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _raw(spark: SparkSession, sf: str) -> tables.LazyTables:
     return testdata.silver_tables(spark, sf)
 
 
-def _staged(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _staged(spark: SparkSession, sf: str) -> tables.LazyTables:
     return stage_all(_raw(spark, sf))
 
 
@@ -59,18 +59,24 @@ def _training(spark: SparkSession, sf: str) -> DataFrame:
     return feat.training_set(_staged(spark, sf))
 
 
-def _scores(spark: SparkSession, sf: str) -> DataFrame:
+def _score(staged: tables.LazyTables) -> DataFrame:
     """Predictions with a score that needs no trained model (see FIXTURES.md)."""
     score = F.least(F.lit(1.0), F.col("campaign_ctr_history"))
-    return ctr_model.as_predictions(_training(spark, sf).withColumn("predicted_prob", score))
+    rows = feat.training_set(staged).withColumn("predicted_prob", score)
+    return ctr_model.as_predictions(rows)
+
+
+def _scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _score(_staged(spark, sf))
 
 
 def _features(spark: SparkSession, sf: str, compat: bool = False) -> DataFrame:
-    return feat.user_features(_staged(spark, sf), _scores(spark, sf), AS_OF, compat)
+    staged = _staged(spark, sf)
+    return feat.user_features(staged, _score(staged), AS_OF, compat)
 
 
 def _scaled(spark: SparkSession, sf: str) -> DataFrame:
-    return segments.standardize(segments.model_input(_features(spark, sf)))
+    return segments.standardize(materialize(segments.model_input(_features(spark, sf))))
 
 
 def _segments(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,11 +129,13 @@ def _campaign_ctr_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
-    return ctr_model.split(_training(spark, sf)).select("impression_id", "clicked", "is_test")
+    # The split reads its rows several times, so the training set is stored first.
+    stored = materialize(_training(spark, sf))
+    return ctr_model.split(stored).select("impression_id", "clicked", "is_test")
 
 
 def _train_part(spark: SparkSession, sf: str) -> DataFrame:
-    return ctr_model.split(_training(spark, sf)).filter(~F.col("is_test"))
+    return ctr_model.split(materialize(_training(spark, sf))).filter(~F.col("is_test"))
 
 
 # Few boosting rounds keep the trained queries short; the library default is 300.
@@ -135,11 +143,12 @@ _ROUNDS = 10
 
 
 def _trained_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    return ctr_model.train_and_score(_training(spark, sf), rounds=_ROUNDS)[1]
+    stored = materialize(_training(spark, sf))
+    return ctr_model.train_and_score(stored, rounds=_ROUNDS)[1]
 
 
 def _trained_importance(spark: SparkSession, sf: str) -> DataFrame:
-    model = ctr_model.fit(_training(spark, sf), rounds=_ROUNDS)
+    model = ctr_model.fit(materialize(_training(spark, sf)), rounds=_ROUNDS)
     return ctr_model.feature_importance(spark, model)
 
 
@@ -155,7 +164,7 @@ def _quality_not_null(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _quality_report(spark: SparkSession, sf: str) -> DataFrame:
-    staged = _staged(spark, sf)
+    staged = dict(_staged(spark, sf))
     staged["campaign_summary"] = campaign_summary(staged)
     keys = [
         ("users", "user_id"),
@@ -191,11 +200,10 @@ def _stream_silver_clicks(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Closed days of the event stream, per kind of event."""
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    kinds = {"view": "impressions", "click": "clicks", "purchase": "conversions"}
-    entity = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in kinds.items()])
-    events = source.filter(F.col("event_type").isin(list(kinds))).select(
+    kinds = testdata.EVENT_TYPES
+    entity = F.coalesce(*[F.when(F.col("event_type") == v, k) for k, v in kinds.items()])
+    source = testdata.stream_events(spark, sf)
+    events = source.filter(F.col("event_type").isin(list(kinds.values()))).select(
         entity.alias("entity"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("revenue"),
@@ -258,7 +266,7 @@ def _queries() -> dict[str, Query]:
         "score_histogram_by_format": _on_scores(
             lambda p: reports.score_histogram(p, 30, "ad_format")
         ),
-        "calibration": _on_scores(reports.calibration),
+        "calibration": _on_scores(lambda p: reports.calibration(materialize(p))),
         "classification_report": _on_scores(ctr_model.classification_report),
         "roc_auc": _on_scores(ctr_model.roc_auc),
         "stratified_split": _split,

@@ -35,20 +35,16 @@ def tolerant_int(col: Column | str) -> Column:
     return whole.try_cast("int")
 
 
-def capitalize_words(col: Column | str) -> Column:
+def capitalize_words(column: str) -> Column:
     """Upper-case each letter that starts a word, lower-case the rest.
 
     A word starts after any character that is neither letter nor digit, so
     ``new-york us_east`` becomes ``New-York Us_East`` (Spark's own ``initcap``
     only splits at spaces).
     """
-    words = F.split(F.lower(as_column(col)), r"(?<=[^\p{L}\p{N}])(?=[\p{L}\p{N}])")
-    return F.array_join(
-        F.transform(
-            words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))
-        ),
-        "",
-    )
+    words = rf"split(lower(`{column}`), r'(?<=[^\p{{L}}\p{{N}}])(?=[\p{{L}}\p{{N}}])')"
+    capital = "w -> concat(upper(left(w, 1)), substr(w, 2))"
+    return F.expr(f"array_join(transform({words}, {capital}), '')")
 
 
 def non_zero(col: Column | str) -> Column:

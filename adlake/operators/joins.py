@@ -28,19 +28,23 @@ NULL_SPREAD = 4096
 
 
 def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
 ) -> bool:
-    """Measure whether ``df`` is small enough to be sent to every executor."""
-    rows = df.count()
-    if rows > max_rows:
+    """Measure whether ``df`` is small enough to be sent to every executor.
+
+    Reading stops once more than ``max_rows`` rows have been seen, so asking about a
+    large log costs little.
+    """
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
+    if not df.select(F.lit(1)).offset(max_rows).isEmpty():
         return False
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    fixed = rows * 16 * len(df.columns)
-    if fixed > max_bytes or not texts or rows == 0:
-        return fixed <= max_bytes
-    widths = [F.sum(F.coalesce(F.octet_length(c), F.lit(0)).cast("long")) for c in texts]
-    text_bytes = df.agg(reduce(Column.__add__, widths).alias("bytes")).first()["bytes"]
-    return fixed + text_bytes <= max_bytes
+    if not texts:
+        return True
+    widths = [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts]
+    width = reduce(Column.__add__, widths).cast("long") + 16 * len(df.columns)
+    return (df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= max_bytes
 
 
 def count_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -49,12 +53,16 @@ def count_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def hot_keys(
-    df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, key_counts: DataFrame | None = None
+    df: DataFrame,
+    on: Sequence[str],
+    hot_rows: int | None = None,
+    key_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and the number of splits each needs.
 
     ``key_counts`` may hold rows already counted by a finer key.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     if key_counts is None:
         counts = count_keys(df, on)
     else:
@@ -70,7 +78,7 @@ def skew_join(
     on: Sequence[str],
     how: str = "inner",
     *,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     key_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join a log with a table that has few rows per key.
@@ -110,14 +118,15 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     *,
-    bound: DataFrame | None = None,
+    small: bool | None = None,
     key_counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Broadcast join if the keyed side is measured to be small, else ``skew_join``.
+    """Broadcast join if the keyed side was measured to be small, else ``skew_join``.
 
-    ``bound`` is a cheaper frame with at least as many rows as ``keyed`` (for
-    example the source of an aggregate); by default ``keyed`` itself is measured.
+    ``small`` is the answer of ``fits_broadcast`` for a frame with at least as many
+    rows as ``keyed`` (such as the source of an aggregate); by default ``keyed``
+    itself is measured.
     """
-    if fits_broadcast(keyed if bound is None else bound):
+    if fits_broadcast(keyed) if small is None else small:
         return fact.join(F.broadcast(keyed), list(on), how)
     return skew_join(fact, keyed, on, how, key_counts=key_counts)

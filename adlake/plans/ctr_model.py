@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from adlake.functions.scalars import ratio
 from adlake.operators.ordered import running_total
 from adlake.operators.sampling import stratified_split
+from adlake.session import materialize
 
 CATEGORICAL = ("region", "device", "subscription_tier", "ad_format", "target_region")
 SCALED = ("budget", "hour_of_day")
@@ -136,8 +137,11 @@ def feature_importance(spark: SparkSession, model: ClickModel) -> DataFrame:
 def train_and_score(
     training: DataFrame, test_fraction: float = 0.2, seed: int = 42, **fit_options: object
 ) -> tuple[ClickModel, DataFrame]:
-    """Split, fit on the train part, score the test part."""
-    marked = split(training, test_fraction, seed)
+    """Split, fit on the train part, score the test part.
+
+    The marked rows are stored, as every round of the fit reads them.
+    """
+    marked = materialize(split(training, test_fraction, seed))
     model = fit(marked.filter(~F.col("is_test")), seed=seed, **fit_options)
     return model, predict(model, marked.filter("is_test"))
 

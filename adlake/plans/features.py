@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.scalars import day_of_week, days_between, peak_hour_flag, ratio
-from adlake.operators.joins import count_keys, lookup_join
+from adlake.operators.joins import count_keys, fits_broadcast, lookup_join
 from adlake.session import materialize
 
 PAIR = ["user_id", "campaign_id"]
@@ -19,7 +20,9 @@ def first_click(clicks: DataFrame) -> DataFrame:
     return clicks.groupBy(*PAIR).agg(F.min("timestamp").alias("first_click_time"))
 
 
-def user_click_rate(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
+def user_click_rate(
+    impressions: DataFrame, clicks: DataFrame, small_clicks: bool | None = None
+) -> DataFrame:
     """Per user: campaigns both seen and clicked / distinct impressions of those campaigns.
 
     Only distinct counts are taken, so a semi-join on the clicked pairs replaces the
@@ -27,7 +30,9 @@ def user_click_rate(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
     """
     clicked = clicks.select(*PAIR).distinct()
     seen = impressions.select(*PAIR, "impression_id")
-    matched = lookup_join(seen, clicked, PAIR, "left_semi", bound=clicks.select(*PAIR))
+    if small_clicks is None:
+        small_clicks = fits_broadcast(clicks.select(*PAIR))
+    matched = lookup_join(seen, clicked, PAIR, "left_semi", small=small_clicks)
     counts = matched.groupBy("user_id").agg(
         F.countDistinct("campaign_id").alias("campaigns"),
         F.countDistinct("impression_id").alias("impressions"),
@@ -46,7 +51,7 @@ def campaign_ctr_history(impressions: DataFrame, clicks: DataFrame) -> DataFrame
         viewers,
         PAIR,
         "left_semi",
-        bound=impressions.select(*PAIR),
+        small=fits_broadcast(impressions.select(*PAIR)),
     )
     clicked = matched.groupBy("campaign_id").agg(F.countDistinct("click_id").alias("clicks"))
     return seen.join(clicked, "campaign_id", "left").select(
@@ -65,7 +70,7 @@ def click_label(first_click_time: Column, impression_time: Column) -> Column:
     return F.when(hit, 1).otherwise(0)
 
 
-def training_set(staged: dict[str, DataFrame]) -> DataFrame:
+def training_set(staged: Mapping[str, DataFrame]) -> DataFrame:
     """One row per impression with user, campaign and history features and the label.
 
     What is known per user (or per campaign) is combined first, so that the
@@ -80,20 +85,21 @@ def training_set(staged: dict[str, DataFrame]) -> DataFrame:
         F.col("ad_format").isNotNull() & F.col("target_region").isNotNull()
     )
 
-    per_user = users.join(user_click_rate(impressions, clicks), "user_id", "left")
+    small_clicks = fits_broadcast(clicks.select(*PAIR))
+    rates = user_click_rate(impressions, clicks, small_clicks)
+    per_user = users.join(rates, "user_id", "left")
     per_campaign = campaigns.join(campaign_ctr_history(impressions, clicks), "campaign_id", "left")
     log = impressions.select("impression_id", *PAIR, F.col("timestamp").alias("impression_time"))
 
     pair_rows = count_keys(impressions, PAIR)
-    base = lookup_join(log, per_user, ["user_id"], bound=users, key_counts=pair_rows)
-    base = lookup_join(base, per_campaign, ["campaign_id"], bound=campaigns, key_counts=pair_rows)
     base = lookup_join(
-        base,
-        first_click(clicks),
-        PAIR,
-        "left",
-        bound=clicks.select(*PAIR),
-        key_counts=pair_rows,
+        log, per_user, ["user_id"], small=fits_broadcast(users), key_counts=pair_rows
+    )
+    base = lookup_join(
+        base, per_campaign, ["campaign_id"], small=fits_broadcast(campaigns), key_counts=pair_rows
+    )
+    base = lookup_join(
+        base, first_click(clicks), PAIR, "left", small=small_clicks, key_counts=pair_rows
     )
     time = F.col("impression_time")
     return base.select(
@@ -121,7 +127,7 @@ def _per_user(events: DataFrame, key: str, out: str, *extra: Column) -> DataFram
     )
 
 
-def user_engagement(staged: dict[str, DataFrame], compat: bool = False) -> DataFrame:
+def user_engagement(staged: Mapping[str, DataFrame], compat: bool = False) -> DataFrame:
     """Distinct impressions, clicks and conversions and the revenue of every user.
 
     ``compat`` gives the revenue of the plain three-way join of the logs on user,
@@ -160,7 +166,7 @@ def user_engagement(staged: dict[str, DataFrame], compat: bool = False) -> DataF
 
 
 def user_scores(
-    staged: dict[str, DataFrame], predictions: DataFrame, compat: bool = False
+    staged: Mapping[str, DataFrame], predictions: DataFrame, compat: bool = False
 ) -> DataFrame:
     """Mean predicted click probability per user, over the kinds of ads they saw.
 
@@ -202,7 +208,7 @@ def user_scores(
 
 
 def user_features(
-    staged: dict[str, DataFrame],
+    staged: Mapping[str, DataFrame],
     predictions: DataFrame,
     as_of: date | str | Column,
     compat: bool = False,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ def conversions_per_campaign(conversions: DataFrame) -> DataFrame:
     )
 
 
-def campaign_performance(staged: dict[str, DataFrame]) -> DataFrame:
+def campaign_performance(staged: Mapping[str, DataFrame]) -> DataFrame:
     """Event counts and revenue per campaign; null where a campaign has no events.
 
     Each log is counted per campaign before it meets the campaigns, so the joins see
@@ -37,7 +39,7 @@ def campaign_performance(staged: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def campaign_summary(staged: dict[str, DataFrame]) -> DataFrame:
+def campaign_summary(staged: Mapping[str, DataFrame]) -> DataFrame:
     """Campaign attributes, counts and all performance measures."""
     joined = campaign_performance(staged).join(staged["campaigns"], "campaign_id")
     days = kpi.active_days("end_date", "start_date")

@@ -148,7 +148,8 @@ def campaign_bars(summary: DataFrame, n: int = 30) -> DataFrame:
 
     The maximum is taken over all campaigns, and is 1 if it is missing or zero.
     """
-    largest = {c: total_of(summary, F.max(F.col(c).cast("double"))) for c in BAR_COLUMNS}
+    maxima = F.struct(*[F.max(F.col(c).cast("double")).alias(c) for c in BAR_COLUMNS])
+    largest = total_of(summary, maxima)
     bars = {
         f"{c}_bar": F.col(c).cast("double")
         / F.coalesce(F.nullif(largest[c], F.lit(0.0)), F.lit(1.0))

@@ -193,9 +193,10 @@ def assign_segments(
 ) -> DataFrame:
     """User attributes, features (unscaled) and ``user_cluster``.
 
-    ``centers`` are in standardized units; by default they are fitted.
+    ``centers`` are in standardized units; by default they are fitted. The input is
+    stored first, as the statistics, the fit and the assignment all read it.
     """
-    rows = model_input(features)
+    rows = materialize(model_input(features))
     scaled = scale(
         rows.withColumns({f"_raw_{c}": F.col(c) for c in FEATURES}),
         scaler_statistics(rows, FEATURES),

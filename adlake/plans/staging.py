@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.scalars import MONEY, capitalize_words
+from adlake.sources.tables import LazyTables
 
 
 def stage_users(users: DataFrame) -> DataFrame:
@@ -30,48 +34,41 @@ def stage_campaigns(campaigns: DataFrame) -> DataFrame:
     )
 
 
-def _event(df: DataFrame, key: str) -> DataFrame:
-    """Events with both user and campaign, keys and time in their staging types."""
-    return df.filter(F.col("user_id").isNotNull() & F.col("campaign_id").isNotNull()).withColumns(
-        {
-            key: F.col(key).cast("long"),
-            "user_id": F.col("user_id").cast("int"),
-            "campaign_id": F.col("campaign_id").cast("int"),
-            "timestamp": F.col("timestamp").cast("timestamp"),
-        }
-    )
+def _with_keys(df: DataFrame) -> DataFrame:
+    """Events that name both the user and the campaign."""
+    return df.filter("user_id is not null and campaign_id is not null")
 
 
 def stage_impressions(impressions: DataFrame) -> DataFrame:
-    return _event(impressions, "impression_id").select(
-        "impression_id",
-        "user_id",
-        "campaign_id",
-        "timestamp",
-        F.lower("device").alias("device"),
-        F.lower("ad_slot").alias("ad_slot"),
-        F.lower("ad_format").alias("ad_format"),
+    return _with_keys(impressions).selectExpr(
+        "bigint(impression_id) as impression_id",
+        "int(user_id) as user_id",
+        "int(campaign_id) as campaign_id",
+        "timestamp(timestamp) as timestamp",
+        "lower(device) as device",
+        "lower(ad_slot) as ad_slot",
+        "lower(ad_format) as ad_format",
     )
 
 
 def stage_clicks(clicks: DataFrame) -> DataFrame:
-    return _event(clicks, "click_id").select(
-        "click_id",
-        "user_id",
-        "campaign_id",
-        "timestamp",
-        F.col("click_position").cast("int").alias("click_position"),
+    return _with_keys(clicks).selectExpr(
+        "bigint(click_id) as click_id",
+        "int(user_id) as user_id",
+        "int(campaign_id) as campaign_id",
+        "timestamp(timestamp) as timestamp",
+        "int(click_position) as click_position",
     )
 
 
 def stage_conversions(conversions: DataFrame) -> DataFrame:
-    return _event(conversions, "conversion_id").select(
-        "conversion_id",
-        "user_id",
-        "campaign_id",
-        "timestamp",
+    return _with_keys(conversions).selectExpr(
+        "bigint(conversion_id) as conversion_id",
+        "int(user_id) as user_id",
+        "int(campaign_id) as campaign_id",
+        "timestamp(timestamp) as timestamp",
         "product_category",
-        F.col("revenue").try_cast(MONEY).alias("revenue"),
+        f"try_cast(revenue as {MONEY.simpleString()}) as revenue",
     )
 
 
@@ -84,6 +81,10 @@ _STAGES = {
 }
 
 
-def stage_all(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def stage_all(silver: Mapping[str, DataFrame]) -> LazyTables:
     """Staged tables under their entity names."""
-    return {name: stage(silver[name]) for name, stage in _STAGES.items() if name in silver}
+
+    def make(name: str) -> DataFrame:
+        return _STAGES[name](silver[name])
+
+    return LazyTables({name: partial(make, name) for name in _STAGES if name in silver})

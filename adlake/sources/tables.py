@@ -6,13 +6,36 @@ Paths may carry any scheme the cluster is configured for (``s3a://``, ``hdfs://`
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+class LazyTables(Mapping[str, DataFrame]):
+    """Named frames, each defined when it is first asked for."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self._makers = dict(makers)
+        self._frames: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._makers[name]()
+        return self._frames[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._makers
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 def object_store_conf(
     endpoint: str, access_key: str, secret_key: str, path_style: bool = True
 ) -> dict[str, str]:
@@ -114,6 +137,11 @@ def register_model(df: DataFrame, name: str, materialized: str = "view") -> Data
     return spark.table(name)
 
 
+def cache_result(df: DataFrame) -> DataFrame:
+    """Keep a shared result for several reports; call ``unpersist`` to refresh it."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """The first n rows in no particular order."""
     return df.limit(n)

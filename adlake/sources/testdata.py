@@ -2,139 +2,140 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.sources.schemas import ENTITY_SPECS, silver_schema
+from adlake.sources.schemas import ENTITIES, ENTITY_SPECS
+from adlake.sources.tables import LazyTables
 
 FORMATS = ("banner", "video", "carousel")
-DEVICES = ("mobile", "desktop", "tablet")
-SLOTS = ("top", "side", "feed")
-CATEGORIES = ("games", "toys", "food", "books")
-
-
-def _pick(values: tuple[str, ...], key: Column) -> Column:
-    choices = F.array(*[F.lit(v) for v in values])
-    return F.get(choices, F.pmod(key, F.lit(len(values))).cast("int"))
-
-
-def _conform(df: DataFrame, entity: str) -> DataFrame:
-    """All declared columns in order; the ones the sample lacks are null."""
-    fields = silver_schema(entity).fields
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in fields
-        ]
-    )
-
-
-def sample_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet")
-    key = F.col("p_partkey")
-    start = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_size") % 10).cast("int"))
-    # One campaign in forty ends the day before it starts.
-    length = F.when(key % 40 == 39, -1).otherwise(F.col("p_size") % 30).cast("int")
-    # Five rows at any scale.
-    named = part.join(F.broadcast(region), F.col("r_regionkey") == key % 5)
-    return _conform(
-        named.select(
-            key.alias("campaign_id"),
-            F.lower("p_brand").alias("advertiser"),
-            F.col("p_retailprice").alias("budget"),
-            F.lower("r_name").alias("target_region"),
-            _pick(FORMATS, key).alias("ad_format"),
-            start.alias("start_date"),
-            F.date_add(start, length).alias("end_date"),
-        ),
-        "campaigns",
-    )
 
+# Columns of the sample tables that are read.
+_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey long, c_nationkey int, c_acctbal double",
+    "part": "p_partkey long, p_brand string, p_size int, p_retailprice double",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+    "props string",
+}
 
-def sample_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet")
-    key = F.col("c_custkey")
-    # Twenty-five rows at any scale.
-    places = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-    named = customer.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
-    balance = F.col("c_acctbal")
-    return _conform(
-        named.select(
-            key.alias("user_id"),
-            F.lower("r_name").alias("region"),
-            _pick(DEVICES, key).alias("device"),
-            F.when(balance < 0, "basic")
-            .when(balance < 5000, "standard")
-            .otherwise("premium")
-            .alias("subscription_tier"),
-            F.date_sub(F.lit("2023-12-31").cast("date"), (key % 365).cast("int")).alias(
-                "signup_date"
-            ),
-        ),
-        "users",
-    )
+_DEVICE = "array('mobile', 'desktop', 'tablet')[int({key} % 3)]"
+_FORMAT = "array('banner', 'video', 'carousel')[int({key} % 3)]"
+
+# Every declared column of an entity; those the samples lack are null.
+_EVENT_COLUMNS = {
+    "impressions": (
+        "int(event_id) as impression_id",
+        "int(user_id) as user_id",
+        "campaign_id",
+        "timestamp",
+        _DEVICE.format(key="user_id") + " as device",
+        "array('top', 'side', 'feed')[int(event_id % 3)] as ad_slot",
+        _FORMAT.format(key="campaign_id") + " as ad_format",
+    ),
+    "clicks": (
+        "int(event_id) as click_id",
+        "int(null) as impression_id",
+        "int(user_id) as user_id",
+        "campaign_id",
+        "timestamp",
+        "int(event_id % 5 + 1) as click_position",
+        "string(null) as device",
+        "string(null) as ad_slot",
+        "string(null) as ad_format",
+    ),
+    "conversions": (
+        "int(event_id) as conversion_id",
+        "int(null) as click_id",
+        "int(user_id) as user_id",
+        "campaign_id",
+        "string(null) as order_id",
+        "array('games', 'toys', 'food', 'books')[int(event_id % 4)] as product_category",
+        "value as revenue",
+        "int(null) as impression_id",
+        "timestamp",
+        "string(null) as device",
+        "string(null) as ad_slot",
+        "string(null) as ad_format",
+        "int(null) as click_position",
+    ),
+}
+EVENT_TYPES = {"impressions": "view", "clicks": "click", "conversions": "purchase"}
 
 
-def shape_events(events: DataFrame, event_type: str) -> DataFrame:
-    """Key, user, campaign and time of one kind of event (batch or stream)."""
-    return events.filter(F.col("event_type") == event_type).select(
-        "event_id",
-        "user_id",
-        F.regexp_extract("props", "([0-9]+)", 1).try_cast("int").alias("campaign_id"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        "value",
-    )
+def read_sample(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(_COLUMNS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _events(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    return shape_events(spark.read.parquet(f"{sf_dir}/events.parquet"), event_type)
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream."""
+    reader = spark.readStream.schema(_COLUMNS["events"])
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-def sample_impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _conform(
-        _events(spark, sf_dir, "view")
-        .withColumn("impression_id", F.col("event_id"))
-        .withColumn("device", _pick(DEVICES, F.col("user_id")))
-        .withColumn("ad_slot", _pick(SLOTS, F.col("event_id")))
-        .withColumn("ad_format", _pick(FORMATS, F.col("campaign_id"))),
-        "impressions",
+def sample_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read_sample(spark, sf_dir, "part")
+    region = read_sample(spark, sf_dir, "region")
+    # Five regions at any scale. One campaign in forty ends the day before it starts.
+    named = part.join(F.broadcast(region), F.expr("r_regionkey = p_partkey % 5"))
+    return named.selectExpr(
+        "int(p_partkey) as campaign_id",
+        "lower(p_brand) as advertiser",
+        "p_retailprice as budget",
+        "lower(r_name) as target_region",
+        _FORMAT.format(key="p_partkey") + " as ad_format",
+        "date_add(date '2024-01-01', p_size % 10) as start_date",
+        "date_add(date '2024-01-01', p_size % 10 + if(p_partkey % 40 = 39, -1, p_size % 30))"
+        " as end_date",
     )
 
 
-def sample_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _conform(
-        _events(spark, sf_dir, "click")
-        .withColumn("click_id", F.col("event_id"))
-        .withColumn("click_position", F.col("event_id") % 5 + 1),
-        "clicks",
+def sample_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = read_sample(spark, sf_dir, "customer")
+    nation = read_sample(spark, sf_dir, "nation")
+    region = read_sample(spark, sf_dir, "region")
+    # Twenty-five nations at any scale.
+    places = nation.join(F.broadcast(region), F.expr("n_regionkey = r_regionkey"))
+    named = customer.join(F.broadcast(places), F.expr("c_nationkey = n_nationkey"))
+    return named.selectExpr(
+        "int(c_custkey) as user_id",
+        "lower(r_name) as region",
+        _DEVICE.format(key="c_custkey") + " as device",
+        "case when c_acctbal < 0 then 'basic' when c_acctbal < 5000 then 'standard'"
+        " else 'premium' end as subscription_tier",
+        "date_sub(date '2023-12-31', int(c_custkey % 365)) as signup_date",
     )
 
 
-def sample_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _conform(
-        _events(spark, sf_dir, "purchase")
-        .withColumn("conversion_id", F.col("event_id"))
-        .withColumn("product_category", _pick(CATEGORIES, F.col("event_id")))
-        .withColumn("revenue", F.col("value")),
-        "conversions",
+def shape_events(events: DataFrame, entity: str) -> DataFrame:
+    """One kind of event as the columns of its entity (batch or stream)."""
+    return (
+        events.filter(F.col("event_type") == EVENT_TYPES[entity])
+        .selectExpr(
+            "event_id",
+            "user_id",
+            "try_cast(regexp_extract(props, '([0-9]+)', 1) as int) as campaign_id",
+            "cast(ts as timestamp) as timestamp",
+            "value",
+        )
+        .selectExpr(*_EVENT_COLUMNS[entity])
     )
 
 
-_SAMPLES = {
-    "users": sample_users,
-    "campaigns": sample_campaigns,
-    "impressions": sample_impressions,
-    "clicks": sample_clicks,
-    "conversions": sample_conversions,
-}
+def sample_entity(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    if entity == "users":
+        return sample_users(spark, sf_dir)
+    if entity == "campaigns":
+        return sample_campaigns(spark, sf_dir)
+    return shape_events(read_sample(spark, sf_dir, "events"), entity)
 
 
-def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def silver_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     """The typed entities, as the silver layer would hold them."""
-    return {entity: make(spark, sf_dir) for entity, make in _SAMPLES.items()}
+    return LazyTables({e: partial(sample_entity, spark, sf_dir, e) for e in ENTITIES})
 
 
 def bronze_records(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -144,7 +145,7 @@ def bronze_records(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     or number (k % 11 = 0), a whole number written as decimal (k % 13 = 0), the
     record cut off (k % 97 = 0), and sent twice (k % 50 = 0).
     """
-    rows = _SAMPLES[entity](spark, sf_dir)
+    rows = sample_entity(spark, sf_dir, entity)
     key = F.col(ENTITY_SPECS[entity][0][0])
     kinds = dict(ENTITY_SPECS[entity])
     broken = {"users": "signup_date", "campaigns": "budget", "conversions": "revenue"}.get(
