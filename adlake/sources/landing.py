@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from adlake.sources.schemas import BRONZE_SCHEMA
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header; every column stays text, quoted commas are kept."""
-    return spark.read.csv(path, header=True, escape='"', multiLine=False, inferSchema=False)
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """CSV with a header; every column stays text, quoted commas and quotes are kept.
+
+    An empty field is an empty text, not a null. ``multi_line`` allows line breaks
+    inside quotes, at the price that a file can no longer be split over tasks.
+    """
+    rows = spark.read.csv(path, header=True, escape='"', multiLine=multi_line, inferSchema=False)
+    return rows.na.fill("")
 
 
 def as_messages(rows: DataFrame) -> DataFrame:

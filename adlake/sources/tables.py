@@ -148,8 +148,8 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, one file per partition."""
-    df.write.mode("overwrite").csv(path, header=True)
+    """CSV with a header, one file per partition; quotes inside a value are doubled."""
+    df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def catalog_columns(spark: SparkSession, database: str | None = None) -> DataFrame:

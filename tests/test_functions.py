@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from adlake.functions import kpi
+from adlake.functions import scalars as s
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize(
+    ("given", "expected"),
+    [
+        ("us", "Us"),
+        ("MIDDLE east", "Middle East"),
+        ("new-york us_east", "New-York Us_East"),
+        ("3g/4g plan", "3g/4g Plan"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_capitalize_words(spark, given, expected):
+    df = spark.createDataFrame([(given,)], "name string")
+    assert df.select(s.capitalize_words("name")).first()[0] == expected
+
+
+@pytest.mark.parametrize(
+    ("given", "expected"),
+    [(" 12 ", 12), ("17.0", 17), ("-3", -3), ("12.9", 12), ("abc", None), ("", None),
+     ("99999999999", None), ("1e3", None), (None, None)],
+)
+def test_tolerant_int(spark, given, expected):
+    df = spark.createDataFrame([(given,)], "v string")
+    assert df.select(s.tolerant_int("v")).first()[0] == expected
+
+
+@pytest.mark.parametrize(
+    ("given", "digits", "expected"),
+    [(1.005, 2, 1.01), (-1.005, 2, -1.01), (2.5, 0, 3.0), (0.00125, 4, 0.0013),
+     (float("nan"), 2, None), (float("inf"), 2, None), (None, 2, None)],
+)
+def test_rounded_goes_away_from_zero(spark, given, digits, expected):
+    df = spark.createDataFrame([(given,)], "v double")
+    assert df.select(s.rounded("v", digits)).first()[0] == expected
+
+
+def test_safe_divide(spark):
+    df = spark.createDataFrame(
+        [(6.0, 3.0), (6.0, 0.0), (6.0, None), (None, 3.0), (None, 0.0)], "n double, d double"
+    )
+    assert [r[0] for r in df.select(s.safe_divide("n", "d")).collect()] == [2.0, 0.0, 0.0, None, 0.0]
+    filled = df.select(s.safe_divide("n", "d", -1)).collect()
+    assert [r[0] for r in filled] == [2.0, -1.0, -1.0, None, -1.0]
+
+
+def test_ratio_is_null_without_denominator(spark):
+    df = spark.createDataFrame([(1, 0), (1, None), (None, 1), (1, 4)], "n int, d int")
+    assert [r[0] for r in df.select(s.ratio("n", "d")).collect()] == [None, None, None, 0.25]
+
+
+def test_finite_number(spark):
+    df = spark.createDataFrame([("1.5",), ("x",), ("NaN",), ("Infinity",), (None,)], "v string")
+    assert [r[0] for r in df.select(s.finite_number("v")).collect()] == [1.5, None, None, None, None]
+
+
+def test_time_features(spark):
+    sunday = datetime(2024, 1, 7, 18, 0)
+    df = spark.createDataFrame(
+        [(sunday,), (datetime(2024, 1, 13, 22, 59),), (datetime(2024, 1, 8, 23, 0),), (None,)],
+        "t timestamp",
+    )
+    got = df.select(s.day_of_week("t"), s.peak_hour_flag("t"), s.day("t")).collect()
+    assert [tuple(r) for r in got] == [
+        (0, 1, date(2024, 1, 7)),
+        (6, 1, date(2024, 1, 13)),
+        (1, 0, date(2024, 1, 8)),
+        (None, 0, None),
+    ]
+
+
+def test_date_range(spark):
+    df = spark.createDataFrame(
+        [(date(2024, 1, 30), date(2024, 2, 1)), (date(2024, 1, 2), date(2024, 1, 1)), (None, None)],
+        "a date, b date",
+    )
+    got = [r[0] for r in df.select(s.date_range("a", "b")).collect()]
+    assert got == [[date(2024, 1, 30), date(2024, 1, 31), date(2024, 2, 1)], None, None]
+
+
+def test_measures(spark):
+    n = F.lit
+    assert one(spark, kpi.click_through_rate(n(1), n(3))) == 0.3333
+    assert one(spark, kpi.conversion_rate(n(2), n(0))) is None
+    assert one(spark, kpi.roi_percentage(n(150.0), n(120.0))) == 25.0
+    assert one(spark, kpi.cost_per(n(10.0), n(3))) == 3.33
+    assert one(spark, kpi.cost_per_thousand(n(10.0), n(3))) == 3333.33
+    assert one(spark, kpi.revenue_per(n(10.0), n(None).cast("int"))) is None
+    assert one(spark, kpi.return_on_ad_spend(n(10.0), n(4.0))) == 2.5
+    assert one(spark, kpi.active_days(n(date(2024, 1, 5)), n(date(2024, 1, 1)))) == 4
