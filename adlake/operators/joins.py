@@ -83,15 +83,16 @@ def skew_join(
 ) -> DataFrame:
     """Join a log with a table that has few rows per key.
 
-    Rows of a hot key get a salt from their own values (so a retried task computes
-    the same one); the keyed side repeats the matching rows once per salt. All
+    Rows of a hot key get a salt from their own values and the number of the task
+    that holds them; a retried task computes the same one, and copies of one row
+    still spread out. The keyed side repeats the matching rows once per salt. All
     other rows have salt 0.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
     hot = hot_keys(fact, on, hot_rows, key_counts)
-    own_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    own_hash = F.xxhash64(*[F.col(c) for c in fact.columns], F.spark_partition_id())
     no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
     salted_fact = (
         fact.join(F.broadcast(hot), on, "left")

@@ -42,6 +42,12 @@ def test_skew_join_splits_the_hot_key(log, keyed):
     assert hot[7] >= 4
 
 
+def test_skew_join_of_copies(spark, keyed):
+    log = spark.createDataFrame([(7, 1)] * 200 + [(2, 2)] * 3, "k int, v int").repartition(5)
+    got = joins.skew_join(log, keyed, ["k"], hot_rows=10)
+    assert rows(got) == rows(log.join(keyed, ["k"]))
+
+
 def test_skew_join_takes_finer_counts(log, keyed):
     finer = log.withColumn("part", F.col("v") % 3).groupBy("k", "part").agg(
         F.count("*").alias("key_rows")
