@@ -14,15 +14,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adlake.session import materialize
+
 # Bounds on what may be broadcast.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Rows of one key that one task handles well. A log of n rows has at most
-# n / HOT_ROWS hot keys, so the list of them stays small: 500,000 short rows for
-# a trillion log rows.
+# n / HOT_ROWS keys above that, so the list of them stays small: 500,000 short rows
+# for a trillion log rows.
 HOT_ROWS = 2_000_000
 
+# Sampled rows by which a key at that limit is recognized.
+HOT_EVIDENCE = 400
+
 # Rows without a key match nothing; a left join spreads them over this many groups.
 NULL_SPREAD = 4096
 
@@ -47,29 +52,21 @@ def fits_broadcast(
     return (df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= max_bytes
 
 
-def count_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows per key, as ``on`` + ``key_rows``; combined map-side before the shuffle."""
-    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("key_rows"))
-
-
-def hot_keys(
-    df: DataFrame,
-    on: Sequence[str],
-    hot_rows: int | None = None,
-    key_counts: DataFrame | None = None,
-) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and the number of splits each needs.
+def hot_keys(log: DataFrame, on: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """Keys with more than about ``hot_rows`` rows and the number of splits each needs.
 
-    ``key_counts`` may hold rows already counted by a finer key.
+    The row counts are estimated from a sample of the keys, as they only decide how
+    the rows are spread, never which rows take part. The list is stored, so that both
+    sides of a join see the same one.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    if key_counts is None:
-        counts = count_keys(df, on)
-    else:
-        counts = key_counts.groupBy(*on).agg(F.sum("key_rows").alias("key_rows"))
-    return counts.filter(F.col("key_rows") > hot_rows).select(
-        *on, F.ceil(F.col("key_rows") / hot_rows).cast("int").alias("_splits")
-    )
+    share = min(1.0, HOT_EVIDENCE / hot_rows)
+    keys = log.select(*on).dropna()
+    if share < 1:
+        keys = keys.sample(fraction=share, seed=11)
+    counts = keys.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    splits = F.ceil(F.col("_rows") / (hot_rows * share)).cast("int")
+    return materialize(counts.select(*on, splits.alias("_splits")).filter(F.col("_splits") > 1))
 
 
 def skew_join(
@@ -78,20 +75,21 @@ def skew_join(
     on: Sequence[str],
     how: str = "inner",
     *,
+    keys_from: DataFrame | None = None,
     hot_rows: int | None = None,
-    key_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join a log with a table that has few rows per key.
 
     Rows of a hot key get a salt from their own values and the number of the task
     that holds them; a retried task computes the same one, and copies of one row
     still spread out. The keyed side repeats the matching rows once per salt. All
-    other rows have salt 0.
+    other rows have salt 0. ``keys_from`` is a frame with about the same keys as
+    ``fact`` that is cheaper to read, such as the log before earlier joins.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
-    hot = hot_keys(fact, on, hot_rows, key_counts)
+    hot = hot_keys(fact if keys_from is None else keys_from, on, hot_rows)
     own_hash = F.xxhash64(*[F.col(c) for c in fact.columns], F.spark_partition_id())
     no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
     salted_fact = (
@@ -120,7 +118,7 @@ def lookup_join(
     how: str = "inner",
     *,
     small: bool | None = None,
-    key_counts: DataFrame | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Broadcast join if the keyed side was measured to be small, else ``skew_join``.
 
@@ -130,4 +128,4 @@ def lookup_join(
     """
     if fits_broadcast(keyed) if small is None else small:
         return fact.join(F.broadcast(keyed), list(on), how)
-    return skew_join(fact, keyed, on, how, key_counts=key_counts)
+    return skew_join(fact, keyed, on, how, keys_from=keys_from)

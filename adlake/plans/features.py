@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.scalars import day_of_week, days_between, peak_hour_flag, ratio
-from adlake.operators.joins import count_keys, fits_broadcast, lookup_join
+from adlake.operators.joins import fits_broadcast, lookup_join
 from adlake.session import materialize
 
 PAIR = ["user_id", "campaign_id"]
@@ -20,19 +20,30 @@ def first_click(clicks: DataFrame) -> DataFrame:
     return clicks.groupBy(*PAIR).agg(F.min("timestamp").alias("first_click_time"))
 
 
-def user_click_rate(
+def clicked_impressions(
     impressions: DataFrame, clicks: DataFrame, small_clicks: bool | None = None
 ) -> DataFrame:
-    """Per user: campaigns both seen and clicked / distinct impressions of those campaigns.
+    """Impressions of campaigns that the same user also clicked: (pair, impression_id).
 
-    Only distinct counts are taken, so a semi-join on the clicked pairs replaces the
-    many-to-many join of the two logs.
+    ``small_clicks`` tells whether the clicked pairs may be broadcast, if known.
     """
-    clicked = clicks.select(*PAIR).distinct()
-    seen = impressions.select(*PAIR, "impression_id")
+    pairs = clicks.select(*PAIR)
     if small_clicks is None:
-        small_clicks = fits_broadcast(clicks.select(*PAIR))
-    matched = lookup_join(seen, clicked, PAIR, "left_semi", small=small_clicks)
+        small_clicks = fits_broadcast(pairs)
+    seen = impressions.select(*PAIR, "impression_id")
+    return lookup_join(seen, pairs.distinct(), PAIR, "left_semi", small=small_clicks)
+
+
+def user_click_rate(
+    impressions: DataFrame, clicks: DataFrame, matched: DataFrame | None = None
+) -> DataFrame:
+    """Per user: campaigns both seen and clicked / distinct impressions of those campaigns.
+
+    Only distinct counts are taken, so the clicked impressions replace the
+    many-to-many join of the two logs. ``matched`` passes them if already built.
+    """
+    if matched is None:
+        matched = clicked_impressions(impressions, clicks)
     counts = matched.groupBy("user_id").agg(
         F.countDistinct("campaign_id").alias("campaigns"),
         F.countDistinct("impression_id").alias("impressions"),
@@ -40,20 +51,32 @@ def user_click_rate(
     return counts.select("user_id", ratio("campaigns", "impressions").alias("user_click_rate"))
 
 
-def campaign_ctr_history(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
+def campaign_ctr_history(
+    impressions: DataFrame,
+    clicks: DataFrame,
+    matched: DataFrame | None = None,
+    small_clicks: bool | None = None,
+) -> DataFrame:
     """Per campaign: distinct clicks by users who saw it / distinct impressions."""
+    if small_clicks is None:
+        small_clicks = fits_broadcast(clicks.select(*PAIR))
+    if matched is None:
+        matched = clicked_impressions(impressions, clicks, small_clicks)
     seen = impressions.groupBy("campaign_id").agg(
         F.countDistinct("impression_id").alias("impressions")
     )
-    viewers = impressions.select(*PAIR).distinct()
-    matched = lookup_join(
-        clicks.select(*PAIR, "click_id"),
-        viewers,
-        PAIR,
-        "left_semi",
-        small=fits_broadcast(impressions.select(*PAIR)),
+    # Pairs that were both seen and clicked: no more of them than clicks.
+    clicked = (
+        lookup_join(
+            clicks.select(*PAIR, "click_id"),
+            matched.select(*PAIR).distinct(),
+            PAIR,
+            "left_semi",
+            small=small_clicks,
+        )
+        .groupBy("campaign_id")
+        .agg(F.countDistinct("click_id").alias("clicks"))
     )
-    clicked = matched.groupBy("campaign_id").agg(F.countDistinct("click_id").alias("clicks"))
     return seen.join(clicked, "campaign_id", "left").select(
         "campaign_id",
         ratio(F.coalesce("clicks", F.lit(0)), "impressions").alias("campaign_ctr_history"),
@@ -86,20 +109,23 @@ def training_set(staged: Mapping[str, DataFrame]) -> DataFrame:
     )
 
     small_clicks = fits_broadcast(clicks.select(*PAIR))
-    rates = user_click_rate(impressions, clicks, small_clicks)
+    matched = clicked_impressions(impressions, clicks, small_clicks)
+    if not small_clicks:
+        matched = materialize(matched)  # both rates read the result of this shuffle
+    rates = user_click_rate(impressions, clicks, matched)
+    history = campaign_ctr_history(impressions, clicks, matched, small_clicks)
     per_user = users.join(rates, "user_id", "left")
-    per_campaign = campaigns.join(campaign_ctr_history(impressions, clicks), "campaign_id", "left")
+    per_campaign = campaigns.join(history, "campaign_id", "left")
     log = impressions.select("impression_id", *PAIR, F.col("timestamp").alias("impression_time"))
 
-    pair_rows = count_keys(impressions, PAIR)
     base = lookup_join(
-        log, per_user, ["user_id"], small=fits_broadcast(users), key_counts=pair_rows
+        log, per_user, ["user_id"], small=fits_broadcast(users), keys_from=impressions
     )
     base = lookup_join(
-        base, per_campaign, ["campaign_id"], small=fits_broadcast(campaigns), key_counts=pair_rows
+        base, per_campaign, ["campaign_id"], small=fits_broadcast(campaigns), keys_from=impressions
     )
     base = lookup_join(
-        base, first_click(clicks), PAIR, "left", small=small_clicks, key_counts=pair_rows
+        base, first_click(clicks), PAIR, "left", small=small_clicks, keys_from=impressions
     )
     time = F.col("impression_time")
     return base.select(

@@ -48,12 +48,18 @@ def test_skew_join_of_copies(spark, keyed):
     assert rows(got) == rows(log.join(keyed, ["k"]))
 
 
-def test_skew_join_takes_finer_counts(log, keyed):
-    finer = log.withColumn("part", F.col("v") % 3).groupBy("k", "part").agg(
-        F.count("*").alias("key_rows")
-    )
-    got = joins.skew_join(log, keyed, ["k"], hot_rows=5, key_counts=finer)
-    assert rows(got) == rows(log.join(keyed, ["k"]))
+def test_hot_keys_from_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_EVIDENCE", 50)
+    log = spark.range(20000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    hot = joins.hot_keys(log, ["k"], 1000).collect()
+    assert [r["k"] for r in hot] == [7]
+    assert 4 <= hot[0]["_splits"] <= 10
+
+
+def test_skew_join_takes_the_keys_of_another_frame(log, keyed):
+    wide = log.withColumn("w", F.lit("x"))
+    got = joins.skew_join(wide, keyed, ["k"], hot_rows=5, keys_from=log)
+    assert rows(got) == rows(wide.join(keyed, ["k"]))
 
 
 def test_skew_join_rejects_other_types(log, keyed):
