@@ -21,6 +21,15 @@ SCALED = ("budget", "hour_of_day")
 PLAIN = ("day_of_week", "is_peak_hour", "user_click_rate", "campaign_ctr_history")
 FEATURES = CATEGORICAL + SCALED + PLAIN
 
+# Stands for a missing number in the trees' input, below every real value, so that a
+# split can tell it apart.
+MISSING = -999.0
+
+
+def _tree_input(rows: DataFrame) -> DataFrame:
+    numbers = {f"{c}_value": F.col(c).cast("double") for c in (*SCALED, *PLAIN)}
+    return rows.withColumns({n: F.coalesce(c, F.lit(MISSING)) for n, c in numbers.items()})
+
 
 def split(training: DataFrame, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
     """Training rows with ``is_test``, stratified by the label."""
@@ -81,7 +90,7 @@ def fit(
     """Boosted trees over encoded categories and scaled numbers, weighted by class."""
     statistics = scaler_statistics(train)
     weight = class_weight(train).first()["positive_weight"] or 1.0
-    rows = scale(train, statistics).withColumn(
+    rows = _tree_input(scale(train, statistics)).withColumn(
         "weight", F.when(F.col("clicked") == 1, float(weight)).otherwise(1.0)
     )
     encoded = [f"{c}_code" for c in CATEGORICAL]
@@ -90,7 +99,7 @@ def fit(
     ).fit(rows)
     widest = max(len(labels) for labels in indexer.labelsArray) + 1
     assembler = VectorAssembler(
-        inputCols=[*encoded, *SCALED, *PLAIN], outputCol="features", handleInvalid="keep"
+        inputCols=[*encoded, *[f"{c}_value" for c in (*SCALED, *PLAIN)]], outputCol="features"
     )
     trees = GBTClassifier(
         labelCol="clicked",
@@ -108,7 +117,7 @@ def fit(
 
 def predict(model: ClickModel, rows: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The predictions table: features as the model saw them, label, score and class."""
-    scored = model.pipeline.transform(scale(rows, model.statistics))
+    scored = model.pipeline.transform(_tree_input(scale(rows, model.statistics)))
     probability = vector_to_array("probability")[1]
     return as_predictions(scored.withColumn("predicted_prob", probability), threshold)
 

@@ -22,7 +22,8 @@ def build_session(app: str = "adlake", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.parquet.filterPushdown": "true",
+        # Checkpoints are removed once nothing refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():

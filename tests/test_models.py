@@ -191,6 +191,13 @@ def test_model_learns_and_scores_the_test_part(spark, training):
     assert ctr_model.predict(model, odd).filter("predicted_prob is not null").count() == 3
 
 
+def test_missing_values_are_trained_and_scored(training):
+    holes = {c: F.when(F.col("impression_id") % 5 > 0, F.col(c)) for c in ("budget", "day_of_week", "subscription_tier")}
+    _, predictions = ctr_model.train_and_score(training.withColumns(holes), rounds=1, depth=2)
+    assert predictions.count() == 80
+    assert predictions.filter("budget is null and predicted_prob is not null").count() > 0
+
+
 # --- segments ----------------------------------------------------------------
 
 D = len(segments.FEATURES)
