@@ -72,7 +72,7 @@ def exact_quantiles(
     last = F.col("_upto") - F.col("_start") - 1
     # Each quantile needs the two values at the ranks next to it.
     hits = (
-        lookup_join(ranked, bounds, ["_group"])
+        lookup_join(ranked, bounds, ["_group"], small=None if by else True)  # one row
         .withColumn("prob", F.explode(wanted))
         .filter(below.between(first, last) | above.between(first, last))
         .groupBy("_group", "_size", "prob")
