@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -329,6 +330,20 @@ def _queries() -> dict[str, Query]:
     return named
 
 
+def _optional(module: str):
+    """The module, or None where its folder or file is absent; other errors are raised."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as error:
+        if error.name not in (module, module.rpartition(".")[0]):
+            raise
+        return None
+
+
+_LLM = _optional("adlake.llm.queries")
+_PIPELINE = _optional("corpus_pipeline")
+
+
 def _comparable(query: Query) -> Query:
     return lambda spark, sf: _plain(query(spark, sf))
 
@@ -339,8 +354,18 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _comparable(query) for name, query in _queries().items()}
+    named = {name: _comparable(query) for name, query in _queries().items()}
+    if _LLM:
+        named |= _LLM.queries()
+    if _PIPELINE:
+        named["pipeline"] = _PIPELINE.run
+    return named
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    statements = oracle_queries.oracle_sql()
+    if _LLM:
+        statements |= _LLM.oracle_sql()
+    if _PIPELINE and _PIPELINE.ORACLE_SQL:
+        statements["pipeline"] = _PIPELINE.ORACLE_SQL
+    return statements
