@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import licenses, mixing, pii, topk, warc
+from adlake.llm import licenses, mixing, pii, simhash, topk, warc
 from adlake.llm.common import table
 from adlake.session import work_path
 
@@ -19,6 +19,10 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op3_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf, "documents"))
 
@@ -40,7 +44,7 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        f.__name__: f for f in (op1_mixing, op3_licenses, op8_topk, op9_pii, op10_warc)
+        f.__name__: f for f in (op1_mixing, op2_simhash, op3_licenses, op8_topk, op9_pii, op10_warc)
     }
 
 

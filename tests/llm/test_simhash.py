@@ -1,0 +1,124 @@
+"""Fingerprints and classes of near-duplicates against brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import xxhash
+
+from adlake.llm import simhash
+from adlake.llm.common import table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def fingerprint(text, width=4):
+    lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = WORD.findall(lowered)
+    runs = [" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))] if words else []
+    counts = [0] * 64
+    for r in runs:
+        h = xxhash.xxh64_intdigest(r.encode(), 42)
+        for b in range(64):
+            counts[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * counts[b] > len(runs))
+
+
+def closure(prints: list[tuple], distance: int) -> dict:
+    fps = sorted({f for _, f in prints})
+    root = {f: f for f in fps}
+
+    def find(f):
+        while root[f] != f:
+            root[f] = root[root[f]]
+            f = root[f]
+        return f
+
+    array = np.array(fps, np.uint64)
+    for i, f in enumerate(fps):
+        for j in np.nonzero(np.bitwise_count(array ^ np.uint64(f)) <= distance)[0]:
+            a, b = find(f), find(fps[j])
+            root[max(a, b)] = min(a, b)
+    least: dict = {}
+    for d, f in prints:
+        if d is not None:
+            least[find(f)] = min(d, least.get(find(f), d))
+    return {f: least.get(find(f)) for f in fps}
+
+
+def _check(rows, docs, distance=4):
+    prints = [(d, fingerprint(t)) for d, t in docs]
+    component = closure(prints, distance)
+    want = sorted(((d, f"{f:016x}", component[f]) for d, f in prints), key=str)
+    assert sorted(map(tuple, rows), key=str) == want
+
+
+def test_table(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = simhash.near_duplicates(docs).collect()
+    _check(rows, [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
+    assert len({r["component_id"] for r in rows}) < len(rows) - 20
+
+
+ODD = [(4, None), (3, ""), (9, " \t\n"), (5, "One TWO three"), (6, "one two\x0bthree"), (None, "one two three"),
+       (7, "É é   x y z"), (8, "É é   x y z"), (8, "É é   x y z"), (1, "w " * 30000), (2, "w w w w"), (None, "alone here")]
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame([(*d, 1, "x") for d in ODD], "doc_id long, text string, component_id int, fp string")
+    _check(simhash.near_duplicates(df).collect(), ODD)
+    assert simhash.near_duplicates(df.limit(0)).count() == 0
+    kept = simhash.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    ids = sorted((r["doc_id"] for r in kept.collect()), key=str)
+    assert ids == sorted([1, 2, 3, 5, 7, None, None], key=str) or ids == sorted([1, 3, 5, 7, None, None], key=str)
+
+
+def _ball(n, seed, flips):
+    rng = random.Random(seed)
+    centre = rng.getrandbits(64)
+    out = {centre}
+    while len(out) < n:
+        f = centre
+        for b in rng.sample(range(64), rng.randint(0, flips)):
+            f ^= 1 << b
+        out.add(f)
+    return out
+
+
+def _links_match(spark, fps, distance, segments):
+    signed = [(i, int(np.uint64(f).astype(np.int64))) for i, f in enumerate(sorted(fps))]
+    df = spark.createDataFrame(signed, "doc_id long, _fp long")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.classes(df, distance, segments).collect()}
+    component = closure(list(enumerate(sorted(fps))), distance)
+    assert got == {i: component[f] for i, f in enumerate(sorted(fps))}
+
+
+def test_dense_groups_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET", 5)
+    fps = _ball(60, 1, 3) | _ball(40, 2, 9) | {random.Random(3).getrandbits(64) for _ in range(300)}
+    for distance, segments in ((4, None), (4, 5), (7, None)):
+        _links_match(spark, fps, distance, segments)
+
+
+def test_masks_find_every_pair():
+    rng = random.Random(5)
+    for distance, segments in ((4, 3), (4, 5), (4, 6), (7, 4), (7, 8)):
+        masks = simhash.segment_masks(distance, segments)
+        for _ in range(500):
+            flips = sum(1 << b for b in rng.sample(range(64), distance))
+            assert any((flips & m).bit_count() <= 1 for m in masks)
+
+
+def test_majority():
+    rng = np.random.default_rng(1)
+    sizes = np.array([0, 1, 2, 254, 255, 256, 1000, 0, 3])
+    h = rng.integers(0, 2**64, sizes.sum(), dtype=np.uint64)
+    got, at = simhash._majority(h, sizes), 0
+    for g, n in zip(got, sizes):
+        part = h[at : at + n]
+        at += n
+        counts = [int(((part >> np.uint64(b)) & np.uint64(1)).sum()) for b in range(64)]
+        assert int(g) == sum(1 << b for b in range(64) if 2 * counts[b] > n)
