@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import decontam, licenses, mixing, pii, simhash, topk, warc
+from adlake.llm import decontam, langid, licenses, mixing, pii, quality, simhash, topk, warc
 from adlake.llm.common import table
 from adlake.session import work_path
 
@@ -27,11 +27,20 @@ def op3_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf, "documents"))
 
 
+def op5_langid(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return decontam.find_leaks(docs, table(spark, sf, "benchmark")).drop("text_key")
 
 
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return quality.rate(docs, table(spark, sf, "labels"))
+
+
 def op8_topk(spark: SparkSession, sf: str) -> DataFrame:
     vectors = topk.quantized(table(spark, sf, "embeddings"))
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
@@ -49,7 +58,7 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        f.__name__: f for f in (op1_mixing, op2_simhash, op3_licenses, op6_decontamination, op8_topk, op9_pii, op10_warc)
+        f.__name__: f for f in (op1_mixing, op2_simhash, op3_licenses, op5_langid, op6_decontamination, op7_quality, op8_topk, op9_pii, op10_warc)
     }
 
 
