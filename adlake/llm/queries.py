@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import decontam, langid, licenses, mixing, pii, quality, simhash, topk, warc
+from adlake.llm import decontam, langid, licenses, mixing, pii, quality, simhash, suffixes, topk, warc
 from adlake.llm.common import table
 from adlake.session import work_path
 
@@ -27,6 +27,11 @@ def op3_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf, "documents"))
 
 
+def op4_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    left = suffixes.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return left.drop("kept")
+
+
 def op5_langid(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(table(spark, sf, "documents").select("doc_id", "text", "lang"))
 
@@ -58,7 +63,7 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        f.__name__: f for f in (op1_mixing, op2_simhash, op3_licenses, op5_langid, op6_decontamination, op7_quality, op8_topk, op9_pii, op10_warc)
+        f.__name__: f for f in (op1_mixing, op2_simhash, op3_licenses, op4_suffixes, op5_langid, op6_decontamination, op7_quality, op8_topk, op9_pii, op10_warc)
     }
 
 

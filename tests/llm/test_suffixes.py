@@ -1,0 +1,107 @@
+"""Removal of repeated strings against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+
+from adlake.llm import suffixes
+from adlake.llm.common import table
+
+
+def brute(texts, length=200):
+    datas = [(t or "").encode() for t in texts]
+    seen = Counter(d[i : i + length] for d in datas for i in range(len(d) - length + 1))
+    out = []
+    for d in datas:
+        gone = np.zeros(len(d) + 1, bool)
+        for i in range(len(d) - length + 1):
+            if seen[d[i : i + length]] > 1:
+                gone[i : i + length] = True
+        gone = gone[: len(d)]
+        left = bytes(b for b, g in zip(d, gone) if not g)
+        runs = int((np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1).sum())
+        out.append((len(d), int(gone.sum()), runs, hashlib.sha256(left).hexdigest()))
+    return out
+
+
+def _check(spark, texts):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, kept string")
+    rows = suffixes.remove_repeats(df.repartition(4)).orderBy("doc_id").collect()
+    want = brute(texts)
+    for r, w in zip(rows, want, strict=True):
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == w, (r["doc_id"], w)
+        assert hashlib.sha256(r["kept"]).hexdigest() == w[3]
+
+
+def _texts():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdé ") for _ in range(rng.randint(1, 9)))
+    passage = [" ".join(word() for _ in range(n)) for n in (20, 40, 60, 200)]
+    texts = [None, "", "short", "a" * 199, "a" * 200, "b" * 201, "ab" * 400, "abc " * 300]
+    for _ in range(60):
+        parts = [" ".join(word() for _ in range(rng.randint(0, 60)))]
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(passage)
+            at, to = rng.randint(0, len(p) // 3), rng.randint(len(p) // 2, len(p))
+            parts += [p[at:to], word()]
+        texts.append("".join(parts))
+    near = list(passage[3])
+    for _ in range(40):
+        copy = near[:]
+        for _ in range(3):
+            copy[rng.randrange(len(copy))] = "#"
+        texts.append("".join(copy))
+    return texts + texts[20:25] + [texts[30] * 2]
+
+
+def test_made_up_texts(spark):
+    _check(spark, _texts())
+
+
+def test_small_parts(spark, monkeypatch):
+    """Runs, buffers, buckets and passes of a few rows, over texts above a buffer."""
+    monkeypatch.setattr(suffixes, "FILTER_HASHES", 40)
+    texts = _texts()[:45]
+    _check(spark, texts)
+
+
+def test_buffers_of_long_texts():
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 100, 3 * suffixes.BUFFER // 2, dtype=np.uint8).tobytes()
+    pieces = [p for held in suffixes._buffers([(0, data)]) for p in held]
+    starts = sorted((o, len(p)) for _, p, o in pieces)
+    covered = [i for o, n in starts for i in (o, o + n - suffixes.LENGTH)]
+    assert covered[0] == 0 and covered[-1] == len(data) - suffixes.LENGTH
+    assert all(b == a + 1 for a, b in zip(covered[1::2], covered[2::2]))
+    assert max(n for _, n in starts) <= suffixes.BUFFER
+
+
+def test_merge_gives_order_and_common_prefixes():
+    rng = random.Random(2)
+    every = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    runs, sources = [], []
+    for s in range(7):
+        part = sorted(every[s::7])
+        lcps = suffixes._shared(part, 12)
+        runs.append(suffixes._Run({"lcps": lcps.astype(np.uint8).tobytes(), "lens": bytes(map(len, part)), "tails": b"".join(p[c:] for p, c in zip(part, lcps))}))
+        sources.append(part)
+    got = list(suffixes.merge(runs))
+    strings = [sources[s][i] for s, i, _ in got]
+    assert strings == sorted(every)
+    for a, b, (_, _, c) in zip(strings, strings[1:], got[1:]):
+        n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert c == n
+    assert list(suffixes.merge([])) == []
+
+
+def test_table(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").orderBy("doc_id")
+    _check(spark, [r["text"] for r in docs.collect()])
+
+
+def test_empty(spark):
+    assert suffixes.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
