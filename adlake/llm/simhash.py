@@ -68,35 +68,49 @@ def shingles(text: str | None, width: int, distinct: bool) -> list[bytes]:
     return list(set(found)) if distinct else found
 
 
-def _fingerprinter(width: int, distinct: bool):
+def _lanes(count: int) -> list[str]:
+    return [f"_fp{i}" for i in range(count)]
+
+
+def _fingerprinter(width: int, distinct: bool, lanes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hash64 = xxhash.xxh64_intdigest
         for batch in batches:
-            hashes, sizes = [], []
+            hashes, sizes = [[] for _ in range(lanes)], []
             for text in batch.column(0):
                 runs = shingles(text.as_py(), width, distinct)
                 sizes.append(len(runs))
-                hashes.append(np.array([hash64(s, HASH_SEED) for s in runs], np.uint64))
-            flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-            marks = _majority(flat, np.array(sizes, np.int64)).view(np.int64)
+                for lane, found in enumerate(hashes):
+                    seed = HASH_SEED + lane
+                    found.append(np.array([hash64(s, seed) for s in runs], np.uint64))
+            marks = []
+            for found in hashes:
+                flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+                marks.append(_majority(flat, np.array(sizes, np.int64)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(marks)], [*batch.schema.names[1:], "_fp"]
+                [*batch.columns[1:], *map(pa.array, marks)], [*batch.schema.names[1:], *_lanes(lanes)]
             )
 
     return run
 
 
-def fingerprints(docs: DataFrame, width: int = 4, distinct: bool = False) -> DataFrame:
-    """``docs`` (text, then any columns) without ``text``, with ``_fp`` (long, 64 bits)."""
-    rest = [c for c in docs.columns if c not in ("text", "_fp")]
+def fingerprints(
+    docs: DataFrame, width: int = 4, distinct: bool = False, lanes: int = 1
+) -> DataFrame:
+    """``docs`` (text, then any columns) without ``text``, with ``_fp0`` and so on (long).
+
+    Every lane is a fingerprint of 64 bits by a hash seed of its own.
+    """
+    rest = [c for c in docs.columns if c not in ("text", *_lanes(lanes))]
     kept = docs.select("text", *rest)
     schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:]] + ["_fp long"]
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[1:]]
+        + [f"{c} long" for c in _lanes(lanes)]
     )
-    return map_arrow(kept, _fingerprinter(width, distinct), schema)
+    return map_arrow(kept, _fingerprinter(width, distinct, lanes), schema)
 
 
-def segment_masks(distance: int, segments: int) -> list[int]:
+def segment_masks(distance: int, segments: int, bits: int = BITS) -> list[int]:
     """Bit masks of the keys: in one of them two fingerprints within ``distance`` differ by <= 1 bit.
 
     With m segments the smallest holds at most distance / m of the differing bits. If m
@@ -106,7 +120,7 @@ def segment_masks(distance: int, segments: int) -> list[int]:
     joint = max(1, segments - distance + 1)
     if distance // segments > 1:
         raise ValueError("too few segments for this distance")
-    edges = [round(i * BITS / segments) for i in range(segments + 1)]
+    edges = [round(i * bits / segments) for i in range(segments + 1)]
     parts = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
     return [sum(c) for c in combinations(parts, joint)]
 
@@ -122,23 +136,30 @@ def choose_segments(distance: int, n: int) -> int:
     return m
 
 
-def _variants(masks: list[int]):
-    """One row (key, wild, fp) per mask and deleted bit; keys name the mask and the bit."""
+_LANE = 2**64 - 1
+
+
+def _variants(masks: list[int], lanes: int):
+    """Rows (key, wild, node, lanes): one per mask and deleted bit; keys name both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.asarray(batch.column("fp")).view(np.uint64)
+            fps = [np.asarray(batch.column(c)).view(np.uint64) for c in _lanes(lanes)]
             for number, mask in enumerate(masks):
-                bits = [b for b in range(BITS) if mask >> b & 1]
+                bits = [b for b in range(BITS * lanes) if mask >> b & 1]
                 for first, bit in enumerate(bits):
-                    deleted = np.uint64(mask & ~(1 << bit))
-                    # A multiplication mixes the key's place into all bits.
-                    place = np.uint64((0x9E3779B97F4A7C15 * (number * BITS + bit + 1)) % 2**64)
-                    key = ((fp & deleted) * np.uint64(0xD6E8FEB86659FD93)) ^ place
-                    wild = np.full(len(fp), -1 if first == 0 else bit, np.int8)
+                    rest = mask & ~(1 << bit)
+                    # Multiplications mix the key's place into all bits.
+                    place = (0x9E3779B97F4A7C15 * (number * BITS * lanes + bit + 1)) & _LANE
+                    key = np.full(batch.num_rows, place, np.uint64)
+                    for lane, fp in enumerate(fps):
+                        deleted = np.uint64(rest >> (BITS * lane) & _LANE)
+                        if deleted:
+                            key ^= (fp & deleted) * np.uint64(0xD6E8FEB86659FD93 + 2 * lane)
+                    wild = np.full(batch.num_rows, -1 if first == 0 else bit, np.int16)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(wild), batch.column("fp")],
-                        ["key", "wild", "fp"],
+                        [pa.array(key.view(np.int64)), pa.array(wild), *batch.columns],
+                        ["key", "wild", *batch.schema.names],
                     )
 
     return run
@@ -172,86 +193,92 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarra
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (empty, empty)
 
 
-def _links_between(x: np.ndarray, y: np.ndarray | None, distance: int):
-    """Links within ``distance`` among the members of x, or of x and y: a spanning forest."""
-    every = x if y is None else np.concatenate([x, y])
+def _apart(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Differing bits over all lanes."""
+    return sum(np.bitwise_count(a ^ b).astype(np.int16) for a, b in zip(x, y))
+
+
+def _links_between(x: list[np.ndarray], y: list[np.ndarray] | None, distance: int):
+    """A spanning forest of the links within ``distance`` among x, or among x and y.
+
+    Gives positions in x, or in x followed by y.
+    """
+    n = len(x[0])
+    total = n if y is None else n + len(y[0])
     a, b = [], []
-    other, shift = (x, 0) if y is None else (y, len(x))
-    for at in range(0, len(x), 512):
-        near = np.bitwise_count(x[at : at + 512, None] ^ other[None, :]) <= distance
+    other, shift = (x, 0) if y is None else (y, n)
+    for at in range(0, n, 512):
+        near = _apart([v[at : at + 512, None] for v in x], [v[None, :] for v in other]) <= distance
         i, j = np.nonzero(near)
         i, j = i + at, j + shift
         keep = i < j
-        fa, fb = _forest(i[keep], j[keep], len(every))
+        fa, fb = _forest(i[keep], j[keep], total)
         a.append(fa)
         b.append(fb)
-    a, b = np.concatenate(a), np.concatenate(b)
-    fa, fb = _forest(a, b, len(every))
-    return every[fa], every[fb]
+    return _forest(np.concatenate(a), np.concatenate(b), total)
 
 
-def _batch(a, b, kind, key) -> pa.RecordBatch:
-    n = len(a)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.asarray(a, np.uint64).view(np.int64)),
-            pa.array(np.asarray(b, np.uint64).view(np.int64)),
-            pa.array(np.full(n, kind, np.int8)),
-            pa.array(np.full(n, key, np.int64)),
-        ],
-        ["a", "b", "kind", "key"],
-    )
+LINK, LARGE = 0, 1
 
 
-LINK, LARGE = 0, 1
+def _batch(lanes, a, b, kind, key, fps=None) -> pa.RecordBatch:
+    n = len(a)
+    zeros = np.zeros(n, np.int64)
+    given = [f.view(np.int64) for f in fps] if fps else [zeros] * lanes
+    columns = [np.asarray(a), np.asarray(b), np.full(n, kind, np.int8), np.full(n, key, np.int64), *given]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "kind", "key", *_lanes(lanes)])
 
 
-def _bucket_links(distance: int):
+def _bucket_links(distance: int, lanes: int):
     """Links inside the variants of a partition sorted by key.
 
     The members of small variants are compared in passes over the whole batch, each with
     the one ``step`` rows on. A variant above ``BUCKET`` members is passed on row by row.
     """
 
-    def small(key, wild, fp):
+    def small(key, wild, node, *fps):
         step = 1
         while True:
             same = key[step:] == key[:-step] if step < len(key) else np.zeros(0, bool)
             if not same.any():
                 return
             i = np.nonzero(same)[0]
-            x, y, w = fp[i], fp[i + step], wild[i]
-            differ = x ^ y
+            x, y, w = [f[i] for f in fps], [f[i + step] for f in fps], wild[i]
             # Pairs equal in the segment share all its variants; the first reports them.
-            own = (w < 0) | ((differ >> np.maximum(w, 0).astype(np.uint64)) & np.uint64(1) > 0)
-            near = own & (np.bitwise_count(differ) <= distance) & (differ > 0)
+            own = w < 0
+            for lane in range(lanes):
+                inside = (w >= BITS * lane) & (w < BITS * (lane + 1))
+                bit = np.where(inside, w - BITS * lane, 0).astype(np.uint64)
+                own |= inside & (((x[lane] ^ y[lane]) >> bit) & np.uint64(1) > 0)
+            near = own & (_apart(x, y) <= distance)
             if near.any():
-                yield _batch(x[near], y[near], LINK, 0)
+                yield _batch(lanes, node[i][near], node[i + step][near], LINK, 0)
             step += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, np.int64), np.zeros(0, np.int8), np.zeros(0, np.uint64)]
+        rest = None
         large = None  # the key of a variant that is being passed on
 
         def split(cols, last: bool):
             nonlocal large
-            key, wild, fp = cols
             out = []
             if large is not None:
-                n = int(np.searchsorted(key, large, "right"))
+                n = int(np.searchsorted(cols[0], large, "right"))
                 if n:
-                    out.append(_batch(fp[:n], fp[:n], LARGE, large))
-                key, wild, fp = key[n:], wild[n:], fp[n:]
-                if len(key):
+                    out.append(_batch(lanes, cols[2][:n], cols[2][:n], LARGE, large, [f[:n] for f in cols[3:]]))
+                cols = [c[n:] for c in cols]
+                if len(cols[0]):
                     large = None
+            key, _, node, *fps = cols
             if not len(key):
-                return out, [key, wild, fp]
+                return out, cols
             starts = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1])
             sizes = np.diff(np.concatenate([starts, [len(key)]]))
             keep = np.ones(len(key), bool)
             for s, n in zip(starts[sizes > BUCKET], sizes[sizes > BUCKET]):
-                out.append(_batch(fp[s : s + n], fp[s : s + n], LARGE, key[s]))
-                keep[s : s + n] = False
+                part = slice(s, s + n)
+                out.append(_batch(lanes, node[part], node[part], LARGE, key[s], [f[part] for f in fps]))
+                keep[part] = False
                 if s + n == len(key):
                     large = key[s]
             hold = len(key)
@@ -259,91 +286,114 @@ def _bucket_links(distance: int):
                 hold = int(starts[-1])
             done = keep.copy()
             done[hold:] = False
-            out += list(small(key[done], wild[done], fp[done]))
-            return out, [key[hold:], wild[hold:], fp[hold:]]
+            out += list(small(*[c[done] for c in cols]))
+            return out, [c[hold:] for c in cols]
 
         for batch in batches:
-            cols = [
-                np.asarray(batch.column("key")),
-                np.asarray(batch.column("wild")),
-                np.asarray(batch.column("fp")).view(np.uint64),
-            ]
-            out, rest = split([np.concatenate(p) for p in zip(rest, cols)], False)
+            cols = [np.asarray(c) for c in batch.columns[:3]]
+            cols += [np.asarray(batch.column(c)).view(np.uint64) for c in _lanes(lanes)]
+            out, rest = split([np.concatenate(p) for p in zip(rest, cols)] if rest else cols, False)
             yield from out
-        out, rest = split(rest, True)
-        yield from out
+        if rest:
+            yield from split(rest, True)[0]
 
     return run
 
 
-def _part_links(distance: int):
-    """Rows (key, i, j, xs, ys): the links between two parts of a large variant."""
+def _part_links(distance: int, lanes: int):
+    """Rows (i, j, xs, ys): the links between two parts of a large variant."""
+
+    def side(values) -> tuple[np.ndarray, list[np.ndarray]]:
+        fields = [np.asarray(values.field(c)) for c in ["node", *_lanes(lanes)]]
+        return fields[0], [f.view(np.uint64) for f in fields[1:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                xs = np.asarray(batch.column("xs")[r].values).view(np.uint64)
-                ys = np.asarray(batch.column("ys")[r].values).view(np.uint64)
-                same = batch.column("i")[r].as_py() == batch.column("j")[r].as_py()
-                a, b = _links_between(xs, None if same else ys, distance)
-                yield _batch(a, b, LINK, 0)
+                node, xs = side(batch.column("xs")[r].values)
+                if batch.column("i")[r].as_py() == batch.column("j")[r].as_py():
+                    a, b = _links_between(xs, None, distance)
+                else:
+                    other, ys = side(batch.column("ys")[r].values)
+                    node = np.concatenate([node, other])
+                    a, b = _links_between(xs, ys, distance)
+                yield _batch(lanes, node[a], node[b], LINK, 0)
 
     return run
 
 
-def links(distinct_fps: DataFrame, distance: int = 4, segments: int | None = None) -> DataFrame:
-    """Rows (a, b) that connect all fingerprints of ``distinct_fps`` (fp long) within ``distance``.
+def links(
+    distinct_fps: DataFrame, distance: int, masks: list[int], lanes: int = 1
+) -> DataFrame:
+    """Rows (a, b) of nodes that connect the fingerprints (node, lanes) within ``distance``.
 
-    Not every pair within the distance is listed, but each is connected by listed pairs,
-    every one of which is within the distance. ``segments`` defaults to the fewest whose
-    keys keep chance candidates rare for the number of fingerprints; any choice gives
-    the same classes.
+    ``masks`` are the keys. Not every pair within the distance is listed, but each that
+    differs by at most one bit in a key is connected by listed pairs, every one of which
+    is within the distance.
     """
-    n = distinct_fps.count()
-    masks = segment_masks(distance, segments or choose_segments(distance, n))
-    spread = map_arrow(distinct_fps.select("fp"), _variants(masks), "key long, wild byte, fp long", rows=8192)
+    names = _lanes(lanes)
+    values = ", ".join(f"{c} long" for c in names)
+    spread = map_arrow(
+        distinct_fps.select("node", *names),
+        _variants(masks, lanes),
+        f"key long, wild short, node long, {values}",
+        rows=8192,
+    )
     parts = int(distinct_fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = spread.repartition(parts, "key").sortWithinPartitions("key")
-    found = stored(
-        map_arrow(dealt, _bucket_links(distance), "a long, b long, kind byte, key long", rows=65536),
-        "links",
-    )
+    row = f"a long, b long, kind byte, key long, {values}"
+    found = stored(map_arrow(dealt, _bucket_links(distance, lanes), row, rows=65536), "links")
     small = found.filter(F.col("kind") == LINK).select("a", "b")
     # Large variants: parts of bounded size meet pair by pair, in tasks of their own.
-    rows = found.filter(F.col("kind") == LARGE).select("key", F.col("a").alias("fp"))
+    rows = found.filter(F.col("kind") == LARGE).select("key", F.col("a").alias("node"), *names)
     counts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     members = rows.join(counts, "key").withColumn("part", part)
     packed = stored(
-        members.groupBy("key", "part", "parts").agg(F.collect_list("fp").alias("fps")), "parts"
+        members.groupBy("key", "part", "parts").agg(F.collect_list(F.struct("node", *names)).alias("fps")),
+        "parts",
     )
     left = packed.select(
-        "key", F.col("part").alias("i"), F.col("fps").alias("xs"),
+        "key",
+        F.col("part").alias("i"),
+        F.col("fps").alias("xs"),
         F.explode(F.sequence("part", F.col("parts") - 1)).alias("j"),
     )
     right = packed.select("key", F.col("part").alias("j"), F.col("fps").alias("ys"))
     pairs = left.join(right, ["key", "j"]).repartition(parts, "key", "i", "j")
-    large = map_arrow(pairs, _part_links(distance), "a long, b long, kind byte, key long", rows=4)
+    large = map_arrow(pairs, _part_links(distance, lanes), row, rows=4)
     return small.union(large.select("a", "b"))
 
 
-def classes(prints: DataFrame, distance: int = 4, segments: int | None = None) -> DataFrame:
-    """``prints`` (doc_id, _fp, ...) with ``component_id``, the smallest doc_id reachable.
+def classes(
+    prints: DataFrame, distance: int = 4, segments: int | None = None, lanes: int = 1, sure: int | None = None
+) -> DataFrame:
+    """``prints`` (doc_id, lanes, ...) with ``component_id``, the smallest doc_id reachable.
+
+    Fingerprints link within ``distance`` differing bits. The keys find every pair within
+    ``sure`` bits (by default the distance, so that none is missed), and others as far as
+    one of their segments happens to differ by at most one bit. ``segments`` defaults to
+    the fewest whose keys keep chance candidates rare for the number of fingerprints.
 
     Rows of equal fingerprints are linked, those of null doc_id too; they never name a
     class unless no member has an id, which makes the id null.
     """
+    names = _lanes(lanes)
+    sure = distance if sure is None else sure
+    node = F.col(names[0]) if lanes == 1 else F.xxhash64(*names)
     per_print = stored(
-        prints.groupBy(F.col("_fp").alias("fp")).agg(F.min("doc_id").alias("first")), "prints"
+        prints.groupBy(*names).agg(F.min("doc_id").alias("first")).withColumn("node", node), "prints"
     )
-    found = components(links(per_print.select("fp"), distance, segments))
-    groups = per_print.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("component", "fp").alias("root"), "first"
+    segments = segments or choose_segments(sure, per_print.count())
+    masks = segment_masks(sure, segments, BITS * lanes)
+    found = components(links(per_print, distance, masks, lanes))
+    groups = per_print.join(found, "node", "left").select(
+        *names, F.coalesce("component", "node").alias("root"), "first"
     )
     least = groups.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = groups.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
+    named = groups.join(least, "root").select(*names, "component_id")
     rest = [c for c in prints.columns if c != "component_id"]
-    return prints.select(*rest).join(named, "_fp")
+    return prints.select(*rest).join(named, names)
 
 
 def near_duplicates(
@@ -358,22 +408,30 @@ def near_duplicates(
     """
     prints = stored(fingerprints(docs.select("doc_id", "text"), width, distinct), "fps")
     named = classes(prints, distance)
-    hexed = F.lower(F.lpad(F.hex("_fp"), 16, "0"))
+    hexed = F.lower(F.lpad(F.hex("_fp0"), 16, "0"))
     return named.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, width: int = 5, distance: int = 7) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, width: int = 5, lanes: int = 2, distance: int = 24, segments: int = 8
+) -> DataFrame:
     """``docs`` with one row per class of near-duplicates: the one of smallest doc_id.
 
-    Each distinct shingle counts once, so that a line repeated in a text does not stand
-    for the whole. Texts without words form one class. A row of null doc_id stays unless
-    it repeats another; of rows with equal doc_id and text one stays. All columns are kept.
+    At a similarity of 0.8 of the shingle sets, 15 % of the bits differ in the mean. Two
+    lanes estimate that well enough, and 24 of their 128 bits allow for the spread. Eight
+    segments find every pair within 15 bits and most of those within 24. Each distinct
+    shingle counts once, so that a line repeated in a text does not stand for the whole.
+
+    Texts without words form one class. A row of null doc_id stays unless it repeats
+    another; of rows with equal doc_id and text one stays. All columns are kept.
     """
-    prints = stored(fingerprints(docs.select("doc_id", "text"), width, True), "fps")
-    named = stored(classes(prints, distance), "classes")
-    losers = named.filter(F.col("doc_id") != F.col("component_id")).select("doc_id", "_fp")
+    names = _lanes(lanes)
+    prints = stored(fingerprints(docs.select("doc_id", "text"), width, True, lanes), "fps")
+    sure = 2 * segments - 1
+    named = stored(classes(prints, distance, segments, lanes, sure), "classes")
+    losers = named.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     # Rows that share id and fingerprint are told apart by their text.
-    twice = named.groupBy("doc_id", "_fp").count().filter("count > 1")
+    twice = named.groupBy("doc_id", *names).count().filter("count > 1")
     if not twice.isEmpty():
         docs = docs.dropDuplicates(["doc_id", "text"])
-    return docs.join(losers.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
