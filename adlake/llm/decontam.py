@@ -46,38 +46,34 @@ class _Words(dict):
     """Numbers the words seen and holds what a template needs of each; forgets when large."""
 
     LIMIT = 500_000
+    # Hash, kind, capital first letter, end of a sentence, no letter or digit.
+    TYPES = (np.uint64, np.int8, bool, bool, bool)
 
     def __init__(self):
         super().__init__()
-        self.hash, self.kind, self.capital, self.stop, self.blank, self.value = [], [], [], [], [], []
-        self.frozen = None
+        self.value: list[str] = []
+        self.tables = [np.zeros(1024, t) for t in self.TYPES]
 
     def __missing__(self, word: str) -> int:
         plain = _EDGE.sub("", word)
         lower = plain.lower()
         kind = _NUM if _NUMBER.match(lower) else _UNIT if lower in UNITS else _PLAIN
-        self.hash.append(_PLACES.get(kind) or np.uint64(xxhash.xxh64_intdigest(lower.encode("utf-8", "surrogatepass"), 7)))
-        self.kind.append(kind)
-        self.capital.append(kind == _PLAIN and plain[:1].isupper() and not (len(plain) > 1 and plain.isupper()))
-        self.stop.append(word[-1:] in ".!?:")
-        self.blank.append(not plain)
+        literal = xxhash.xxh64_intdigest(lower.encode("utf-8", "surrogatepass"), 7)
+        capital = plain[:1].isupper() and not (len(plain) > 1 and plain.isupper())
+        number = self[word] = len(self.value)
         self.value.append(lower)
-        number = self[word] = len(self.value) - 1
-        self.frozen = None
+        if number == len(self.tables[0]):
+            self.tables = [np.concatenate([t, np.zeros_like(t)]) for t in self.tables]
+        row = (_PLACES.get(kind, literal), kind, capital and kind == _PLAIN, word[-1:] in ".!?:", not plain)
+        for column, value in zip(self.tables, row):
+            column[number] = value
         return number
 
-    def tables(self):
-        if self.frozen is None:
-            self.frozen = tuple(
-                np.array(x, t) for x, t in ((self.hash, np.uint64), (self.kind, np.int8), (self.capital, bool), (self.stop, bool), (self.blank, bool))
-            )
-        return self.frozen
-
 
 def windows(words: _Words, text: str | None, width: int):
     """(hashes, usable, slot marks, word numbers) of the template windows of a text."""
     ids = np.fromiter(map(words.__getitem__, (text or "").split()), np.int64)
-    hashes, kinds, capitals, stops, blanks = words.tables()
+    hashes, kinds, capitals, stops, blanks = words.tables
     starts = np.concatenate([[True], stops[ids][:-1]]) if len(ids) else np.zeros(0, bool)
     solid = ~blanks[ids]
     # Marks without letters or digits are no words, but may end a sentence.
