@@ -184,12 +184,13 @@ def digest(found: DataFrame) -> DataFrame:
     """Per row of ``find_pii``: counts of the base kinds and the spans as text."""
     base = [k.name for k in KINDS if k.base]
     of_base = F.filter("pii", lambda s: s["rank"] < len(base))
+
+    def of_kind(number: int) -> Column:
+        return F.size(F.filter("pii", lambda s: s["rank"] == number)).cast("long")
+
     return found.select(
         "doc_id",
-        *[
-            F.size(F.filter("pii", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{name}")
-            for i, name in enumerate(base)
-        ],
+        *[of_kind(i).alias(f"n_{name}") for i, name in enumerate(base)],
         F.sha2(_listed(of_base), 256).alias("base_sha256"),
         _listed(F.col("pii")).alias("spans"),
     )
@@ -201,7 +202,9 @@ def redact(docs: DataFrame) -> DataFrame:
     Of overlapping spans the first gives the label and the whole covered stretch goes.
     Texts without spans, and null texts, stay as they are. All columns are kept.
     """
-    found = find_pii(docs)
+    names = docs.columns
+    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
+    found = find_pii(rows)
     parts_type = "array<struct<start:bigint,end:bigint,kind:string>>"
 
     def merge(acc: Column, s: Column) -> Column:
@@ -234,5 +237,5 @@ def redact(docs: DataFrame) -> DataFrame:
         F.concat(F.array_join(F.transform("_merged", piece), ""), tail)
     )
     return found.withColumn("_merged", merged).select(
-        *[cleaned.alias("text") if c == "text" else F.col(c) for c in docs.columns]
+        *[cleaned.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in names]
     )

@@ -140,7 +140,7 @@ def test_pii_of_odd_texts(spark):
     rows = pii.digest(pii.find_pii(df)).orderBy("doc_id").collect()
     _check_pii(rows, ODD)
     assert "iban:8:35" in rows[-1]["spans"] and rows[-1]["spans"].count("iban") == 1
-    assert "national:65:76" in rows[-1]["spans"]
+    assert "national:68:79" in rows[-1]["spans"]
     assert pii.digest(pii.find_pii(df.limit(0))).count() == 0
 
 
