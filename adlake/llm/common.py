@@ -8,11 +8,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adlake.session import work_path
+from adlake.session import materialize as stored
 
 # Rows that travel to a Python worker at once; long texts make larger batches a risk.
 ARROW_ROWS = 512
 
+__all__ = ["map_arrow", "running", "stored", "table"]
+
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -20,18 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it back.
-
-    Cuts the lineage, outlives lost executors, and later readers take only the columns
-    they need.
-    """
-    spark = df.sparkSession
-    path = work_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def map_arrow(df: DataFrame, fn: Batches, schema: str, rows: int = ARROW_ROWS) -> DataFrame:
     """``mapInArrow`` with batches of few rows, as single texts may be very long."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -58,6 +58,7 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     folded = data.astype(np.int64)
     pair = np.zeros(len(data), np.int64)
     pair[1:] = ((folded[:-1] * 31 + folded[1:]) * 0x9E3779B1 >> 7) % BUCKETS
+    pair[at == 0] = 0
     out[:, :BUCKETS] = np.bincount(passage * BUCKETS + pair, minlength=total * BUCKETS).reshape(total, -1) / lengths
     kind = _CLASS[data]
     out[:, BUCKETS : BUCKETS + _CLASSES] = np.bincount(passage * _CLASSES + kind, minlength=total * _CLASSES).reshape(total, -1) / lengths

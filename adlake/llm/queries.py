@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import decontam, langid, licenses, mixing, pii, quality, simhash, suffixes, topk, warc
+from adlake.llm import (
+    decontam,
+    langid,
+    licenses,
+    mixing,
+    oracles,
+    pii,
+    quality,
+    simhash,
+    suffixes,
+    topk,
+    warc,
+)
 from adlake.llm.common import table
 from adlake.session import work_path
 
@@ -62,10 +74,20 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {
-        f.__name__: f for f in (op1_mixing, op2_simhash, op3_licenses, op4_suffixes, op5_langid, op6_decontamination, op7_quality, op8_topk, op9_pii, op10_warc)
-    }
+    named = (
+        op1_mixing,
+        op2_simhash,
+        op3_licenses,
+        op4_suffixes,
+        op5_langid,
+        op6_decontamination,
+        op7_quality,
+        op8_topk,
+        op9_pii,
+        op10_warc,
+    )
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
