@@ -6,6 +6,7 @@ import importlib
 import os
 import sys
 from collections.abc import Callable
+from functools import lru_cache
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -14,16 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import oracle_queries
-from adlake.functions.scalars import rounded, safe_divide
+from adlake.functions.scalars import ratio, rounded, safe_divide
 from adlake.operators import quality
 from adlake.plans import ctr_model, examples, reports, segments
 from adlake.plans import features as feat
 from adlake.plans.marts import campaign_performance, campaign_summary
-from adlake.plans.silver import silver
+from adlake.plans.pipeline import LOGS
+from adlake.plans.silver import repair_money, silver, unparsed_values
 from adlake.plans.staging import stage_all
 from adlake.session import materialize, work_path
 from adlake.sources import landing, tables, testdata
-from adlake.sources.schemas import ENTITIES
+from adlake.sources.schemas import ENTITIES, PREDICTIONS_SCHEMA
 from adlake.streaming import daily, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,28 +131,92 @@ def _campaign_ctr_history(spark: SparkSession, sf: str) -> DataFrame:
     return feat.campaign_ctr_history(staged["impressions"], staged["clicks"])
 
 
+def _labelled(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """The stored training set, as its split reads it several times, in few columns."""
+    return materialize(_training(spark, sf).select("impression_id", "clicked", *columns))
+
+
 def _split(spark: SparkSession, sf: str) -> DataFrame:
-    # The split reads its rows several times, so the training set is stored first.
-    stored = materialize(_training(spark, sf))
-    return ctr_model.split(stored).select("impression_id", "clicked", "is_test")
+    return ctr_model.split(_labelled(spark, sf)).select("impression_id", "clicked", "is_test")
 
 
 def _train_part(spark: SparkSession, sf: str) -> DataFrame:
-    return ctr_model.split(materialize(_training(spark, sf))).filter(~F.col("is_test"))
+    return ctr_model.split(_labelled(spark, sf, *ctr_model.SCALED)).filter(~F.col("is_test"))
 
 
-# Few boosting rounds keep the trained queries short; the library default is 300.
-_ROUNDS = 10
+@lru_cache(maxsize=1)
+def _trained(spark: SparkSession, sf: str) -> tuple[ctr_model.ClickModel, DataFrame]:
+    """Model and test predictions; both trained queries of a session share one fit."""
+    return ctr_model.train_and_score(materialize(_training(spark, sf)))
 
 
 def _trained_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    stored = materialize(_training(spark, sf))
-    return ctr_model.train_and_score(stored, rounds=_ROUNDS)[1]
+    """The test rows as the model saw them, and whether score and class are sound."""
+    prob = F.col("predicted_prob")
+    predicted = F.coalesce((F.col("predicted_clicked") == 1) == (prob >= 0.5), F.lit(False))
+    return _trained(spark, sf)[1].select(
+        *[c for c in PREDICTIONS_SCHEMA.names if not c.startswith("predicted_")],
+        F.coalesce(prob.between(0, 1), F.lit(False)).alias("score_sound"),
+        predicted.alias("class_sound"),
+    )
 
 
 def _trained_importance(spark: SparkSession, sf: str) -> DataFrame:
-    model = ctr_model.fit(materialize(_training(spark, sf)), rounds=_ROUNDS)
-    return ctr_model.feature_importance(spark, model)
+    """The features that the model ranks; shares of the whole, as they add up to 1."""
+    found = ctr_model.feature_importance(spark, _trained(spark, sf)[0])
+    total = found.agg(F.sum("importance").alias("total"))
+    return found.select(
+        "feature", (F.col("importance") >= 0).alias("sound"), total.scalar().alias("total")
+    )
+
+
+def _top_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten model inputs that vary most against their mean over all training rows."""
+    rows = _training(spark, sf)
+    spread = rows.agg(
+        *[
+            ratio(F.stddev_pop(F.col(c).cast("double")), F.avg(F.col(c).cast("double"))).alias(c)
+            for c in (*ctr_model.SCALED, *ctr_model.PLAIN)
+        ]
+    )
+    named = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("importance")) for c in spread.columns]
+    return reports.top_features(spread.select(F.inline(F.array(*named))), 4)
+
+
+def _fitted_segments(trainer: str) -> Query:
+    """Users with their features, and whether their cluster is one of four and the nearest."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        features = materialize(_features(spark, sf))
+        scaled = segments.standardize(materialize(segments.model_input(features)))
+        centers = segments.TRAINERS[trainer](scaled)
+        near = segments.nearest_center(scaled, centers)
+        distances = F.array(*segments._squared_distances(centers, segments.FEATURES))
+        own = F.get(distances, F.col("user_cluster"))
+        checked = near.select("user_id", (own <= F.array_min(distances)).alias("nearest"))
+        return (
+            segments.assign_segments(features, centers)
+            .join(checked, "user_id")
+            .withColumn("in_range", F.col("user_cluster").between(0, 3))
+            .drop("user_cluster")
+        )
+
+    return run
+
+
+def _minibatch_gain(spark: SparkSession, sf: str) -> DataFrame:
+    """Four centres, and no more inertia after the mini-batches than with the seeds."""
+    scaled = materialize(_scaled(spark, sf))
+    seeds = segments.seed_centers(scaled)
+    centers = segments.fit_centers_minibatch(scaled)
+    before, after = (
+        segments.inertia(segments.nearest_center(scaled, c)).first() for c in (seeds, centers)
+    )
+    return scaled.agg(F.count(F.lit(1)).alias("users")).select(
+        "users",
+        F.lit(len(centers)).alias("centers"),
+        F.lit(after["inertia"] <= before["inertia"]).alias("improved"),
+    )
 
 
 def _quality_unique(spark: SparkSession, sf: str) -> DataFrame:
@@ -166,7 +232,7 @@ def _quality_not_null(spark: SparkSession, sf: str) -> DataFrame:
 
 def _quality_report(spark: SparkSession, sf: str) -> DataFrame:
     staged = dict(_staged(spark, sf))
-    staged["campaign_summary"] = campaign_summary(staged)
+    staged["campaign_summary"] = materialize(campaign_summary(staged), "mart")
     keys = [
         ("users", "user_id"),
         ("campaigns", "campaign_id"),
@@ -187,20 +253,34 @@ def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return silver(landing.to_bronze(landing.read_messages(spark, topic, "text")), "campaigns")
 
 
-def _stream_silver_clicks(spark: SparkSession, sf: str) -> DataFrame:
-    """Click records as messages, landed and cleaned by two streaming jobs."""
-    topic, bronze, out = (work_path(spark, n) for n in ("topic", "bronze", "silver"))
-    records = testdata.bronze_records(spark, sf, "clicks")
-    landing.write_messages(records.withColumnRenamed("json_record", "value"), topic, "text")
-    messages = landing.stream_messages(spark, topic, "text")
-    ingest.land_bronze(messages, bronze, work_path(spark, "landing"))
-    rows = ingest.stream_silver(landing.stream_messages(spark, bronze, "parquet"), "clicks")
-    ingest.run_available(rows, out, work_path(spark, "cleaning"))
-    return spark.read.parquet(out)
+def _stream_silver(entity: str) -> Query:
+    """Records in six files, the newest days first, each file a micro-batch of two jobs.
+
+    Second copies stand in the last file, records without a time in any.
+    """
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        topic, bronze, out = (work_path(spark, n) for n in ("topic", "bronze", "silver"))
+        records = testdata.bronze_records(spark, sf, entity, with_copy=True)
+        when = F.get_json_object("json_record", "$.timestamp").try_cast("timestamp")
+        by_day = F.coalesce(31 - F.dayofmonth(when), F.pmod(F.xxhash64("json_record"), F.lit(30)))
+        part = F.when(F.col("copy") == 2, 5).otherwise(F.least(F.floor(by_day / 6), F.lit(4)))
+        placed = materialize(records.select(F.col("json_record").alias("value"), part.alias("part")))
+        for number in range(6):
+            rows = placed.filter(F.col("part") == number).select("value").coalesce(1)
+            landing.write_messages(rows, topic, "text")
+        one = {"maxFilesPerTrigger": "1"}
+        messages = landing.stream_messages(spark, topic, "text", one)
+        ingest.land_bronze(messages, bronze, work_path(spark, "landing"))
+        landed = landing.stream_messages(spark, bronze, "parquet", one)
+        ingest.stream_silver(landed, entity, out, work_path(spark, "cleaning"))
+        return ingest.read_silver(spark, entity, out)
+
+    return run
 
 
 def _stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed days of the event stream, per kind of event."""
+    """All days of the event stream, per kind of event."""
     kinds = testdata.EVENT_TYPES
     entity = F.coalesce(*[F.when(F.col("event_type") == v, k) for k, v in kinds.items()])
     source = testdata.stream_events(spark, sf)
@@ -210,8 +290,79 @@ def _stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("revenue"),
     )
     out = work_path(spark, "daily")
-    ingest.run_available(daily.daily_totals(events, by=("entity",)), out, work_path(spark, "daily"))
-    return spark.read.parquet(out)
+    daily.stream_daily(events, out, work_path(spark, "days"), by=("entity",))
+    return daily.read_daily(spark, out, by=("entity",))
+
+
+RANGE = oracle_queries.RANGE
+
+
+def _daily_report_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Some days of logs that are stored by day."""
+    raw, root = _raw(spark, sf), work_path(spark, "lake")
+    logs = []
+    for log in LOGS:
+        tables.write_layer(ingest.with_event_date(raw[log]), root, "silver", log, "event_date")
+        logs.append(tables.read_layer(spark, root, "silver", log))
+    return reports.daily_report(raw["campaigns"], *logs, *RANGE)
+
+
+def _unparsed(spark: SparkSession, sf: str) -> DataFrame:
+    return unparsed_values(testdata.bronze_records(spark, sf, "conversions"), "conversions")
+
+
+def _forbid_negative(spark: SparkSession, sf: str) -> DataFrame:
+    """Revenues after a refund of 50 that may not make them negative."""
+    rows = _raw(spark, sf)["conversions"].withColumn("revenue", F.col("revenue") - 50)
+    return repair_money(rows, "conversions", forbid_negative=True).select("conversion_id", "revenue")
+
+
+def _publish_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows counted while the mart and the staged logs are written, and as read back."""
+    staged, rows = _staged(spark, sf), []
+    for name, df in {"campaign_summary": _mart(spark, sf), "clicks": staged["clicks"]}.items():
+        path = work_path(spark, name)
+        written = tables.publish(df, path, "parquet")
+        back = tables.load_table(spark, path, "parquet")
+        rows.append(
+            back.agg(F.count(F.lit(1)).alias("read")).select(
+                F.lit(name).alias("name"), F.lit(written).alias("written"), "read"
+            )
+        )
+    return rows[0].union(rows[1])
+
+
+def _stored_model(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart under a name, kept in memory, and asked in SQL."""
+    tables.register_model(tables.cache_result(_mart(spark, sf)), "adlake_mart")
+    return tables.load_table(
+        spark,
+        "select ad_format, count(*) as campaigns, sum(budget) as budget from adlake_mart"
+        " group by ad_format",
+        "sql",
+    )
+
+
+def _optional_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that exists and one that does not."""
+    tables.register_model(_staged(spark, sf)["clicks"], "adlake_clicks")
+    there = tables.load_optional(spark, "adlake_clicks", PREDICTIONS_SCHEMA)
+    missing = tables.load_optional(spark, "adlake_nothing", PREDICTIONS_SCHEMA)
+    count = F.count(F.lit(1)).alias("rows")
+    return there.agg(count).select(F.lit("adlake_clicks").alias("name"), "rows").union(
+        missing.agg(count).select(F.lit("adlake_nothing"), "rows")
+    )
+
+
+def _catalog_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Column lists of the staged tables, from the catalog."""
+    staged = _staged(spark, sf)
+    for name in ENTITIES:
+        tables.register_model(staged[name], f"adlake_stg_{name}")
+    listed = tables.column_listing(tables.catalog_columns(spark))
+    return listed.filter(F.col("table_name").startswith("adlake_stg_")).select(
+        "table_name", F.array_join("columns", ", ").alias("columns")
+    )
 
 
 def _queries() -> dict[str, Query]:
@@ -267,7 +418,11 @@ def _queries() -> dict[str, Query]:
         "score_histogram_by_format": _on_scores(
             lambda p: reports.score_histogram(p, 30, "ad_format")
         ),
-        "calibration": _on_scores(lambda p: reports.calibration(materialize(p))),
+        "calibration": _on_scores(
+            lambda p: reports.calibration(
+                materialize(p.select("predicted_prob", "actual_clicked"))
+            )
+        ),
         "classification_report": _on_scores(ctr_model.classification_report),
         "roc_auc": _on_scores(ctr_model.roc_auc),
         "stratified_split": _split,
@@ -305,7 +460,10 @@ def _queries() -> dict[str, Query]:
         # trained
         "ctr_predictions": _trained_predictions,
         "feature_importance": _trained_importance,
-        "user_segments": lambda spark, sf: segments.assign_segments(_features(spark, sf)),
+        "user_segments": _fitted_segments("parallel"),
+        "user_segments_minibatch": _fitted_segments("minibatch"),
+        "minibatch_training": _minibatch_gain,
+        "top_features": _top_features,
         # quality and small models
         "quality_unique": _quality_unique,
         "quality_not_null": _quality_not_null,
@@ -323,8 +481,17 @@ def _queries() -> dict[str, Query]:
             _staged(spark, sf)["clicks"].orderBy("click_id"), 50
         ),
         "csv_feed": _csv_round_trip,
+        "unparsed_values": _unparsed,
+        "forbid_negative": _forbid_negative,
+        # tables
+        "daily_report_range": _daily_report_range,
+        "publish_audit": _publish_audit,
+        "stored_model": _stored_model,
+        "optional_tables": _optional_tables,
+        "catalog_columns": _catalog_columns,
         # streaming
-        "stream_silver_clicks": _stream_silver_clicks,
+        "stream_silver_clicks": _stream_silver("clicks"),
+        "stream_silver_conversions": _stream_silver("conversions"),
         "stream_daily_counts": _stream_daily_counts,
     }
     return named

@@ -25,14 +25,14 @@ def lower_text(col: Column | str) -> Column:
     return F.lower(text(col))
 
 
-def tolerant_int(col: Column | str) -> Column:
-    """Whole part of a number written as text; null if it is no number.
+def tolerant_int(col: Column | str, kind: str = "int") -> Column:
+    """Whole part of a number written as text; null if it is no number of that type.
 
     Exports of optional integer columns often read ``17.0``, which a strict cast
     rejects.
     """
     whole = F.regexp_extract(text(col), r"^([+-]?\d+)(?:\.\d*)?$", 1)
-    return whole.try_cast("int")
+    return whole.try_cast(kind)
 
 
 def capitalize_words(column: str) -> Column:
@@ -68,13 +68,34 @@ def safe_divide(num: Column | str, den: Column | str, null_result: float | None
     )
 
 
+def exact_ratio(num: Column | str, den: Column | str, digits: int, times: int = 1) -> Column:
+    """num / den * times on decimals, rounded once (half away from zero), as double.
+
+    Null where den is zero or a side is null. Counts and money are exact as decimals, and
+    the quotient keeps at least eleven digits behind the point.
+    """
+    n, d = as_column(num).cast(MONEY) * times, as_column(den).cast(MONEY)
+    return F.round(n / non_zero(d), digits).cast("double")
+
+
+def money(col: Column | str) -> Column:
+    """As an exact amount; a value outside its range is an error, not a null."""
+    value = as_column(col)
+    exact = value.try_cast(MONEY)
+    fault = F.raise_error(F.concat(F.lit("amount out of range: "), value.cast("string")))
+    return F.when(value.isNotNull() & exact.isNull(), fault.cast(MONEY)).otherwise(exact)
+
+
 def rounded(col: Column | str, digits: int) -> Column:
     """Round half away from zero on the decimal value, returned as double.
 
     Rounding the binary double directly would turn 1.005 into 1.00 or 1.01
-    depending on the engine.
+    depending on the engine. Values too large for the decimal have no such digits and
+    stay as they are.
     """
-    return F.round(as_column(col).try_cast(_ROUNDING), digits).cast("double")
+    value = as_column(col)
+    exact = F.round(value.try_cast(_ROUNDING), digits).cast("double")
+    return F.coalesce(exact, value.cast("double"))
 
 
 def finite_number(col: Column | str) -> Column:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.functions.scalars import as_column
-from adlake.operators.joins import lookup_join
 from adlake.session import materialize
 
 
@@ -19,7 +18,7 @@ def running_total(
 
     The rows are range-partitioned by ``order_by`` (which should be unique), each
     range is summed once, and the totals of the preceding ranges - one row per
-    range - are added to the running sum inside the range. The checkpoint keeps the
+    range - are added to the running sum inside the range. Storing them keeps the
     assignment of rows to ranges fixed.
     """
     order = [as_column(c) for c in order_by]
@@ -72,7 +71,7 @@ def exact_quantiles(
     last = F.col("_upto") - F.col("_start") - 1
     # Each quantile needs the two values at the ranks next to it.
     hits = (
-        lookup_join(ranked, bounds, ["_group"], small=None if by else True)  # one row
+        ranked.join(bounds, "_group")
         .withColumn("prob", F.explode(wanted))
         .filter(below.between(first, last) | above.between(first, last))
         .groupBy("_group", "_size", "prob")

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from math import ceil, log
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlake.operators.ordered import running_total
+
+# Rows that share one hash prefix, about: those that one task ranks.
+PREFIX_ROWS = 4_096
+
 
 def unit_hash(*parts: Column | str | int) -> Column:
     """A number in (0, 1], fixed by the values of ``parts``."""
@@ -19,10 +26,12 @@ def stratified_split(
 
     Per label, the rows with the smallest hashed ids form the test part. Counting
     rows per hash prefix finds the prefix in which the cut falls, so only the rows of
-    that prefix (one in 65,536) are ranked. ``row_id`` must be unique.
+    that prefix are ranked. The prefix grows with the rows: about ``PREFIX_ROWS`` rows
+    share one. ``row_id`` must be unique, and ``label`` have few values.
     """
     keyed = df.withColumn("_hash", F.md5(F.concat_ws("|", F.col(row_id), F.lit(seed))))
-    keyed = keyed.withColumn("_prefix", F.substring("_hash", 1, 4))
+    digits = max(1, ceil(log(max(df.count(), 1) / PREFIX_ROWS + 1, 16)))
+    keyed = keyed.withColumn("_prefix", F.substring("_hash", 1, digits))
     counts = keyed.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
 
     # One row per label from here to `quota`.
@@ -46,10 +55,11 @@ def stratified_split(
         ),
     )
 
-    # At most 65,536 rows per label.
-    upto = F.sum("_n").over(Window.partitionBy(label).orderBy("_prefix"))
+    upto = running_total(counts.select(label, "_prefix", "_n"), [label, "_prefix"], "_n", "_all")
+    first = upto.groupBy(label).agg(F.min(F.col("_all") - F.col("_n")).alias("_start"))
     edge = (
-        counts.withColumn("_upto", upto)
+        upto.join(first, label)
+        .withColumn("_upto", F.col("_all") - F.col("_start"))
         .join(F.broadcast(quota), label)
         .filter(F.col("_quota").between(F.col("_upto") - F.col("_n") + 1, F.col("_upto")))
         .select(label, "_prefix", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_keep"))

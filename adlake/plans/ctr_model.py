@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from adlake.functions.scalars import ratio
 from adlake.operators.ordered import running_total
-from adlake.operators.sampling import stratified_split
+from adlake.operators.sampling import stratified_split, unit_hash
 from adlake.session import materialize
 
 CATEGORICAL = ("region", "device", "subscription_tier", "ad_format", "target_region")
@@ -78,6 +78,19 @@ class ClickModel:
     statistics: DataFrame
 
 
+# The most rows the trees are fitted to. Every level of every round reads them all, so
+# at a trillion impressions a sample of this size, split by label, stands for the rest.
+MAX_FIT_ROWS = 20_000_000
+
+
+def bounded(train: DataFrame, max_rows: int = MAX_FIT_ROWS, seed: int = 42) -> DataFrame:
+    """All rows, or of a larger frame about ``max_rows``, as many of each label as its share."""
+    rows = train.count()
+    if rows <= max_rows:
+        return train
+    return train.filter(unit_hash("impression_id", "clicked", seed) <= max_rows / rows)
+
+
 def fit(
     train: DataFrame,
     rounds: int = 300,
@@ -86,11 +99,17 @@ def fit(
     row_share: float = 0.8,
     feature_share: float = 0.8,
     seed: int = 42,
+    max_rows: int = MAX_FIT_ROWS,
 ) -> ClickModel:
-    """Boosted trees over encoded categories and scaled numbers, weighted by class."""
-    statistics = scaler_statistics(train)
+    """Boosted trees over encoded categories and scaled numbers, weighted by class.
+
+    Scaling and class weight come from all of ``train``, the trees from at most about
+    ``max_rows`` of its rows.
+    """
+    statistics = materialize(scaler_statistics(train), "scaler")
     weight = class_weight(train).first()["positive_weight"] or 1.0
-    rows = _tree_input(scale(train, statistics)).withColumn(
+    fitted = materialize(bounded(train, max_rows, seed).select("clicked", *FEATURES), "fit")
+    rows = _tree_input(scale(fitted, statistics)).withColumn(
         "weight", F.when(F.col("clicked") == 1, float(weight)).otherwise(1.0)
     )
     encoded = [f"{c}_code" for c in CATEGORICAL]

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.scalars import day_of_week, days_between, peak_hour_flag, ratio
-from adlake.operators.joins import fits_broadcast, lookup_join
 from adlake.session import materialize
 
 PAIR = ["user_id", "campaign_id"]
@@ -20,60 +19,46 @@ def first_click(clicks: DataFrame) -> DataFrame:
     return clicks.groupBy(*PAIR).agg(F.min("timestamp").alias("first_click_time"))
 
 
-def clicked_impressions(
-    impressions: DataFrame, clicks: DataFrame, small_clicks: bool | None = None
-) -> DataFrame:
+def clicked_impressions(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
     """Impressions of campaigns that the same user also clicked: (pair, impression_id).
 
-    ``small_clicks`` tells whether the clicked pairs may be broadcast, if known.
+    Both sides may be logs; adaptive execution broadcasts the pairs if their shuffle
+    turned out small, and splits the partitions of hot pairs otherwise.
     """
-    pairs = clicks.select(*PAIR)
-    if small_clicks is None:
-        small_clicks = fits_broadcast(pairs)
-    seen = impressions.select(*PAIR, "impression_id")
-    return lookup_join(seen, pairs.distinct(), PAIR, "left_semi", small=small_clicks)
+    return impressions.select(*PAIR, "impression_id").join(
+        clicks.select(*PAIR).distinct(), PAIR, "left_semi"
+    )
 
 
-def user_click_rate(
-    impressions: DataFrame, clicks: DataFrame, matched: DataFrame | None = None
-) -> DataFrame:
+def _click_rate(matched: DataFrame) -> DataFrame:
+    """Campaigns are counted on the distinct pairs, so that the log is not expanded."""
+    campaigns = (
+        matched.select(*PAIR)
+        .distinct()
+        .groupBy("user_id")
+        .agg(F.count("campaign_id").alias("campaigns"))
+    )
+    seen = matched.groupBy("user_id").agg(F.countDistinct("impression_id").alias("impressions"))
+    return campaigns.join(seen, "user_id").select(
+        "user_id", ratio("campaigns", "impressions").alias("user_click_rate")
+    )
+
+
+def user_click_rate(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
     """Per user: campaigns both seen and clicked / distinct impressions of those campaigns.
 
     Only distinct counts are taken, so the clicked impressions replace the
-    many-to-many join of the two logs. ``matched`` passes them if already built.
+    many-to-many join of the two logs.
     """
-    if matched is None:
-        matched = clicked_impressions(impressions, clicks)
-    counts = matched.groupBy("user_id").agg(
-        F.countDistinct("campaign_id").alias("campaigns"),
-        F.countDistinct("impression_id").alias("impressions"),
-    )
-    return counts.select("user_id", ratio("campaigns", "impressions").alias("user_click_rate"))
+    return _click_rate(clicked_impressions(impressions, clicks))
 
 
-def campaign_ctr_history(
-    impressions: DataFrame,
-    clicks: DataFrame,
-    matched: DataFrame | None = None,
-    small_clicks: bool | None = None,
-) -> DataFrame:
-    """Per campaign: distinct clicks by users who saw it / distinct impressions."""
-    if small_clicks is None:
-        small_clicks = fits_broadcast(clicks.select(*PAIR))
-    if matched is None:
-        matched = clicked_impressions(impressions, clicks, small_clicks)
-    seen = impressions.groupBy("campaign_id").agg(
-        F.countDistinct("impression_id").alias("impressions")
-    )
+def _ctr_history(log: DataFrame, seen_pairs: DataFrame, clicks: DataFrame) -> DataFrame:
+    seen = log.groupBy("campaign_id").agg(F.countDistinct("impression_id").alias("impressions"))
     # Pairs that were both seen and clicked: no more of them than clicks.
     clicked = (
-        lookup_join(
-            clicks.select(*PAIR, "click_id"),
-            matched.select(*PAIR).distinct(),
-            PAIR,
-            "left_semi",
-            small=small_clicks,
-        )
+        clicks.select(*PAIR, "click_id")
+        .join(seen_pairs, PAIR, "left_semi")
         .groupBy("campaign_id")
         .agg(F.countDistinct("click_id").alias("clicks"))
     )
@@ -83,6 +68,11 @@ def campaign_ctr_history(
     )
 
 
+def campaign_ctr_history(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
+    """Per campaign: distinct clicks by users who saw it / distinct impressions."""
+    return _ctr_history(impressions, impressions.select(*PAIR).distinct(), clicks)
+
+
 def click_label(first_click_time: Column, impression_time: Column) -> Column:
     """1 if the user's first click on the campaign came at or after the impression.
 
@@ -96,37 +86,30 @@ def click_label(first_click_time: Column, impression_time: Column) -> Column:
 def training_set(staged: Mapping[str, DataFrame]) -> DataFrame:
     """One row per impression with user, campaign and history features and the label.
 
-    What is known per user (or per campaign) is combined first, so that the
-    impression log is joined once per key. The history features use the whole log,
-    including the labelled events.
+    The impression log is read once: joined with the clicked pairs and stored narrow, as
+    the rates, the history and the rows all need it. What is known per user (or per
+    campaign) is combined first, so that the log is joined once per key. The history
+    features use the whole log, including the labelled events.
     """
-    impressions, clicks = staged["impressions"], staged["clicks"]
+    clicks = staged["clicks"]
     users = staged["users"].select("user_id", "region", "device", "subscription_tier")
     users = users.filter(F.col("region").isNotNull() & F.col("device").isNotNull())
     campaigns = staged["campaigns"].select("campaign_id", "ad_format", "target_region", "budget")
     campaigns = campaigns.filter(
         F.col("ad_format").isNotNull() & F.col("target_region").isNotNull()
     )
-
-    small_clicks = fits_broadcast(clicks.select(*PAIR))
-    matched = clicked_impressions(impressions, clicks, small_clicks)
-    if not small_clicks:
-        matched = materialize(matched)  # both rates read the result of this shuffle
-    rates = user_click_rate(impressions, clicks, matched)
-    history = campaign_ctr_history(impressions, clicks, matched, small_clicks)
+    log = materialize(
+        staged["impressions"]
+        .select("impression_id", *PAIR, F.col("timestamp").alias("impression_time"))
+        .join(first_click(clicks).withColumn("_paired", F.lit(True)), PAIR, "left"),
+        "log",
+    )
+    matched = log.filter("_paired")
+    rates = _click_rate(matched)
+    history = _ctr_history(log, matched.select(*PAIR).distinct(), clicks)
     per_user = users.join(rates, "user_id", "left")
     per_campaign = campaigns.join(history, "campaign_id", "left")
-    log = impressions.select("impression_id", *PAIR, F.col("timestamp").alias("impression_time"))
-
-    base = lookup_join(
-        log, per_user, ["user_id"], small=fits_broadcast(users), keys_from=impressions
-    )
-    base = lookup_join(
-        base, per_campaign, ["campaign_id"], small=fits_broadcast(campaigns), keys_from=impressions
-    )
-    base = lookup_join(
-        base, first_click(clicks), PAIR, "left", small=small_clicks, keys_from=impressions
-    )
+    base = log.join(per_user, "user_id").join(per_campaign, "campaign_id")
     time = F.col("impression_time")
     return base.select(
         "impression_id",
@@ -200,11 +183,9 @@ def user_scores(
     target and device the user's. ``compat`` compares the stored keys as they are:
     the impression's device in lower case and its ad slot against the region.
     """
-    scores = materialize(
-        predictions.groupBy("ad_format", "device", "target_region").agg(
-            F.sum("predicted_prob").alias("_score_sum"),
-            F.count("predicted_prob").alias("_score_rows"),
-        )
+    scores = predictions.groupBy("ad_format", "device", "target_region").agg(
+        F.sum("predicted_prob").alias("_score_sum"),
+        F.count("predicted_prob").alias("_score_rows"),
     )
     kind = ["ad_format", "device", "target_region"]
     impressions = staged["impressions"]
@@ -217,13 +198,13 @@ def user_scores(
         campaigns = staged["campaigns"].select("campaign_id", "target_region")
         per_pair = impressions.groupBy(*PAIR, "ad_format").agg(rows)
         seen = (
-            lookup_join(per_pair, campaigns, ["campaign_id"])
+            per_pair.join(campaigns, "campaign_id")
             .groupBy("user_id", "ad_format", "target_region")
             .agg(F.sum("_seen").alias("_seen"))
             .join(staged["users"].select("user_id", "device"), "user_id")
         )
     return (
-        lookup_join(seen, scores, kind)
+        seen.join(scores, kind)
         .groupBy("user_id")
         .agg(
             F.sum(F.col("_seen") * F.col("_score_sum")).alias("_sum"),

@@ -10,17 +10,38 @@ from pyspark.sql import functions as F
 from adlake.plans import ctr_model, segments
 from adlake.plans.features import training_set, user_features
 from adlake.plans.marts import campaign_summary
-from adlake.plans.silver import silver
+from adlake.plans.reports import top_features
+from adlake.plans.silver import silver, unparsed_values
 from adlake.plans.staging import stage_all
 from adlake.sources.schemas import ENTITIES
-from adlake.sources.tables import layer_path, read_layer, write_layer, write_parquet
+from adlake.sources.tables import (
+    cache_result,
+    layer_path,
+    load_table,
+    publish,
+    read_layer,
+    register_model,
+    write_layer,
+)
+from adlake.streaming.ingest import with_event_date
+
+
+LOGS = ("impressions", "clicks", "conversions")
 
 
 def build_silver(spark: SparkSession, root: str, forbid_negative: bool = False) -> None:
-    """Clean every bronze entity into the silver layer."""
+    """Clean every bronze entity into the silver layer, the logs by day of the event.
+
+    Beside each entity, ``<entity>_unparsed`` counts the values that did not parse.
+    """
     for entity in ENTITIES:
-        rows = silver(read_layer(spark, root, "bronze", entity), entity, forbid_negative)
-        write_layer(rows, root, "silver", entity)
+        bronze = read_layer(spark, root, "bronze", entity)
+        rows = silver(bronze, entity, forbid_negative)
+        if entity in LOGS:
+            write_layer(with_event_date(rows), root, "silver", entity, "event_date")
+        else:
+            write_layer(rows, root, "silver", entity)
+        write_layer(unparsed_values(bronze, entity), root, "silver", f"{entity}_unparsed")
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -32,27 +53,34 @@ def build_results(
     root: str,
     as_of: date | str,
     compat: bool = False,
+    trainer: str = "parallel",
     **fit_options: object,
-) -> None:
-    """Marts, model and segments from the silver layer, each stored before its use.
+) -> dict[str, int]:
+    """Marts, model and segments from the silver layer, each published before its use.
 
-    The user features read the predictions, so training comes before them.
+    Returns the number of rows written per result. The user features read the
+    predictions, so training comes before them.
     """
     staged = stage_all(read_silver(spark, root))
+    written: dict[str, int] = {}
 
     def store(df: DataFrame, name: str) -> DataFrame:
         path = layer_path(root, "gold", name)
-        write_parquet(df, path)
-        return spark.read.parquet(path)
+        written[name] = publish(df, path, "parquet")
+        return load_table(spark, path, "parquet")
 
-    store(campaign_summary(staged), "campaign_summary")
+    # The mart is kept for the reports that follow in this session.
+    mart = cache_result(store(campaign_summary(staged), "campaign_summary"))
+    register_model(mart, "campaign_summary")
     training = store(training_set(staged), "ctr_training_data")
     model, predictions = ctr_model.train_and_score(training, **fit_options)
     predictions = store(predictions, "ctr_predictions")
-    store(ctr_model.feature_importance(spark, model), "ctr_feature_importance")
+    importance = store(ctr_model.feature_importance(spark, model), "ctr_feature_importance")
+    store(top_features(importance), "ctr_top_features")
     features = store(user_features(staged, predictions, as_of, compat), "user_features")
-    users = store(segments.assign_segments(features), "user_segments")
+    users = store(segments.assign_segments(features, trainer=trainer), "user_segments")
     store(segments.cluster_summary(users), "user_cluster_summary")
+    return written
 
 
 def read_result(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -224,15 +224,37 @@ def daily_spend(campaigns: DataFrame) -> DataFrame:
     )
 
 
+def between_days(df: DataFrame, start: str | None, end: str | None, column: str) -> DataFrame:
+    """Rows whose date lies in the range, both ends included; no bound, no limit.
+
+    Logs stored by ``event_date`` are cut by their folders, so other days are not read.
+    """
+    if "event_date" in df.columns:
+        column = "event_date"
+    date = F.col(column) if column in ("event_date", "day") else day(column)
+    for bound, inside in ((start, Column.__ge__), (end, Column.__le__)):
+        if bound is not None:
+            df = df.filter(inside(date, F.lit(str(bound)).cast("date")))
+    return df
+
+
 def daily_report(
-    campaigns: DataFrame, impressions: DataFrame, clicks: DataFrame, conversions: DataFrame
+    campaigns: DataFrame,
+    impressions: DataFrame,
+    clicks: DataFrame,
+    conversions: DataFrame,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
     """Spend, impressions, clicks, revenue, cost per click and CTR of every day that has any.
 
-    Events without a time belong to no day.
+    Events without a time belong to no day. ``start`` and ``end`` bound the days.
     """
+    impressions, clicks, conversions = (
+        between_days(log, start, end, "timestamp") for log in (impressions, clicks, conversions)
+    )
     series = [
-        daily_spend(campaigns),
+        between_days(daily_spend(campaigns), start, end, "day"),
         daily_count(impressions, "impressions"),
         daily_count(clicks, "clicks"),
         daily_revenue(conversions),

@@ -31,6 +31,10 @@ CLUSTER_LABELS = {0: "Dormant", 1: "Casual Viewers", 2: "High Value", 3: "Active
 
 Centers = Sequence[Sequence[float]]
 
+GOLDEN = 0.6180339887498949
+# Rows of drawn batches that one partition holds.
+PARTITION_ROWS = 100_000
+
 
 def model_input(features: DataFrame) -> DataFrame:
     """User attributes and the clustering features as doubles, missing values as 0."""
@@ -157,12 +161,18 @@ def draw_batches(
     """Rows with a ``batch`` number; each batch takes about ``batch_size`` rows.
 
     One pass over the points draws all batches: a row falls into each batch with
-    probability batch_size / rows, decided by its hashed id.
+    probability batch_size / rows. Its hashed id, turned by the golden ratio from batch to
+    batch, decides.
     """
     share = min(1.0, batch_size / max(1, points.count()))
     numbers = F.sequence(F.lit(0), F.lit(batches - 1))
-    drawn = F.filter(numbers, lambda b: unit_hash(F.col(row_id), F.lit(seed), b) <= share)
-    return points.withColumn("batch", F.explode(drawn))
+    place = F.col("_place")
+    drawn = F.filter(numbers, lambda b: F.pmod(place + b * GOLDEN, F.lit(1.0)) < share)
+    return (
+        points.withColumn("_place", unit_hash(row_id, seed))
+        .withColumn("batch", F.explode(drawn))
+        .drop("_place")
+    )
 
 
 def fit_centers_minibatch(
@@ -177,8 +187,12 @@ def fit_centers_minibatch(
     """Centres by mini-batch k-means. Only the k centres pass through the driver."""
     centers = seed_centers(points, k, seed, columns, row_id)
     counts = [0] * len(centers)
+    # The batches are small whatever the number of points.
+    parts = max(1, batch_size * batches // PARTITION_ROWS)
     drawn = materialize(
-        draw_batches(points, batch_size, batches, seed, row_id).select("batch", *columns)
+        draw_batches(points, batch_size, batches, seed, row_id)
+        .select("batch", *columns)
+        .repartition(parts, "batch")
     )
     for number in range(batches):
         batch = drawn.filter(F.col("batch") == number)
@@ -188,13 +202,21 @@ def fit_centers_minibatch(
     return centers
 
 
+TRAINERS = {"parallel": fit_centers, "minibatch": fit_centers_minibatch}
+
+
 def assign_segments(
-    features: DataFrame, centers: Centers | None = None, k: int = 4, seed: int = 42
+    features: DataFrame,
+    centers: Centers | None = None,
+    k: int = 4,
+    seed: int = 42,
+    trainer: str = "parallel",
 ) -> DataFrame:
     """User attributes, features (unscaled) and ``user_cluster``.
 
-    ``centers`` are in standardized units; by default they are fitted. The input is
-    stored first, as the statistics, the fit and the assignment all read it.
+    ``centers`` are in standardized units; by default ``trainer`` fits them: ``parallel``
+    (k-means over all points) or ``minibatch``. The input is stored first, as the
+    statistics, the fit and the assignment all read it.
     """
     rows = materialize(model_input(features))
     scaled = scale(
@@ -202,7 +224,7 @@ def assign_segments(
         scaler_statistics(rows, FEATURES),
     )
     if centers is None:
-        centers = fit_centers(scaled, k, seed)
+        centers = TRAINERS[trainer](scaled, k=k, seed=seed)
     return nearest_center(scaled, centers).select(
         *ATTRIBUTES, *[F.col(f"_raw_{c}").alias(c) for c in FEATURES], "user_cluster"
     )

@@ -14,6 +14,7 @@ from adlake.sources.schemas import ENTITY_SPECS, MONEY_COLUMNS, record_schema
 
 _PARSERS = {
     "int": tolerant_int,
+    "long": lambda c: tolerant_int(c, "bigint"),
     "double": lambda c: text(c).try_cast("double"),
     "date": lambda c: text(c).try_cast("date"),
     "timestamp": lambda c: text(c).try_cast("timestamp"),
@@ -24,7 +25,7 @@ _PARSERS = {
 
 def parse_value(raw: Column, kind: str) -> Column:
     """A text value as its declared type; null if it does not parse."""
-    return _PARSERS.get(kind.removesuffix("_optional"), text)(raw)
+    return _PARSERS[kind](raw)
 
 
 def parse_records(bronze: DataFrame, entity: str, as_map: bool = False) -> DataFrame:
@@ -64,3 +65,25 @@ def silver(
     """Typed rows of one entity without exact duplicates."""
     rows = trim_text_columns(parse_records(bronze, entity, as_map)).dropDuplicates()
     return repair_money(rows, entity, forbid_negative)
+
+
+def unparsed_values(bronze: DataFrame, entity: str) -> DataFrame:
+    """Rows (column_name, unparsed): values present in the records that their type rejects.
+
+    The row ``json_record`` counts the records that are no JSON objects. One pass.
+    """
+    specs = ENTITY_SPECS[entity]
+    data = F.from_json("json_record", record_schema(entity))
+    raw = bronze.select("json_record", data.alias("data"))
+    # Keys alone tell a broken record: a null or an object without the declared keys.
+    broken = F.get_json_object("json_record", "$").isNull()
+    counts = [F.count_if(broken).alias("json_record")]
+    for name, kind in specs:
+        value = F.col("data").getItem(name)
+        given = value.isNotNull() & ~broken
+        counts.append(F.count_if(given & parse_value(value, kind).isNull()).alias(name))
+    found = raw.agg(*counts)
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("unparsed")) for c in found.columns
+    ]
+    return found.select(F.inline(F.array(*rows)))

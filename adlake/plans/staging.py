@@ -2,89 +2,78 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.functions.scalars import MONEY, capitalize_words
+from adlake.functions.scalars import capitalize_words, money
 from adlake.sources.tables import LazyTables
 
+_CASTS: dict[str, Callable[[str], Column]] = {
+    "title": capitalize_words,
+    "lower": F.lower,
+    "money": money,
+    "text": F.col,
+}
 
-def stage_users(users: DataFrame) -> DataFrame:
-    return users.filter(F.col("user_id").isNotNull()).select(
-        F.col("user_id").cast("int").alias("user_id"),
-        capitalize_words("region").alias("region"),
-        capitalize_words("device").alias("device"),
-        capitalize_words("subscription_tier").alias("subscription_tier"),
-        F.col("signup_date").cast("date").alias("signup_date"),
-    )
-
-
-def stage_campaigns(campaigns: DataFrame) -> DataFrame:
-    return campaigns.filter(F.col("campaign_id").isNotNull()).select(
-        F.col("campaign_id").cast("int").alias("campaign_id"),
-        "advertiser",
-        F.col("budget").try_cast(MONEY).alias("budget"),
-        capitalize_words("target_region").alias("target_region"),
-        F.lower("ad_format").alias("ad_format"),
-        F.col("start_date").cast("date").alias("start_date"),
-        F.col("end_date").cast("date").alias("end_date"),
-    )
-
-
-def _with_keys(df: DataFrame) -> DataFrame:
-    """Events that name both the user and the campaign."""
-    return df.filter("user_id is not null and campaign_id is not null")
-
-
-def stage_impressions(impressions: DataFrame) -> DataFrame:
-    return _with_keys(impressions).selectExpr(
-        "bigint(impression_id) as impression_id",
-        "int(user_id) as user_id",
-        "int(campaign_id) as campaign_id",
-        "timestamp(timestamp) as timestamp",
-        "lower(device) as device",
-        "lower(ad_slot) as ad_slot",
-        "lower(ad_format) as ad_format",
-    )
-
-
-def stage_clicks(clicks: DataFrame) -> DataFrame:
-    return _with_keys(clicks).selectExpr(
-        "bigint(click_id) as click_id",
-        "int(user_id) as user_id",
-        "int(campaign_id) as campaign_id",
-        "timestamp(timestamp) as timestamp",
-        "int(click_position) as click_position",
-    )
-
-
-def stage_conversions(conversions: DataFrame) -> DataFrame:
-    return _with_keys(conversions).selectExpr(
-        "bigint(conversion_id) as conversion_id",
-        "int(user_id) as user_id",
-        "int(campaign_id) as campaign_id",
-        "timestamp(timestamp) as timestamp",
-        "product_category",
-        f"try_cast(revenue as {MONEY.simpleString()}) as revenue",
+# Per entity: the keys a row needs, and the columns with their presentation or type.
+STAGED = {
+    "users": (
+        ("user_id",),
+        {
+            "user_id": "int",
+            "region": "title",
+            "device": "title",
+            "subscription_tier": "title",
+            "signup_date": "date",
+        },
+    ),
+    "campaigns": (
+        ("campaign_id",),
+        {
+            "campaign_id": "int",
+            "advertiser": "text",
+            "budget": "money",
+            "target_region": "title",
+            "ad_format": "lower",
+            "start_date": "date",
+            "end_date": "date",
+        },
+    ),
+}
+for _entity, _columns in {
+    "impressions": {"device": "lower", "ad_slot": "lower", "ad_format": "lower"},
+    "clicks": {"click_position": "int"},
+    "conversions": {"product_category": "text", "revenue": "money"},
+}.items():
+    STAGED[_entity] = (
+        ("user_id", "campaign_id"),
+        {
+            f"{_entity.removesuffix('s')}_id": "bigint",
+            "user_id": "int",
+            "campaign_id": "int",
+            "timestamp": "timestamp",
+            **_columns,
+        },
     )
 
 
-_STAGES = {
-    "users": stage_users,
-    "campaigns": stage_campaigns,
-    "impressions": stage_impressions,
-    "clicks": stage_clicks,
-    "conversions": stage_conversions,
-}
+def stage(rows: DataFrame, entity: str) -> DataFrame:
+    """Rows of a cleaned entity that have their keys, in their final types."""
+    keys, columns = STAGED[entity]
+    shown = [
+        (_CASTS[kind](name) if kind in _CASTS else F.col(name).cast(kind)).alias(name)
+        for name, kind in columns.items()
+    ]
+    return rows.dropna(subset=list(keys)).select(*shown)
 
 
 def stage_all(silver: Mapping[str, DataFrame]) -> LazyTables:
     """Staged tables under their entity names."""
 
     def make(name: str) -> DataFrame:
-        return _STAGES[name](silver[name])
+        return stage(silver[name], name)
 
-    return LazyTables({name: partial(make, name) for name in _STAGES if name in silver})
+    return LazyTables({name: partial(make, name) for name in STAGED if name in silver})

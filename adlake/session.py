@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,8 +23,6 @@ def build_session(app: str = "adlake", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        # Checkpoints are removed once nothing refers to them.
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -34,18 +33,19 @@ def build_session(app: str = "adlake", master: str | None = None, **conf: str) -
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) a local temporary folder takes its place.
+    The cluster names it in ``spark.checkpoint.dir``. Only in local mode, where driver and
+    executors are one process, may it be unset; a temporary folder takes its place.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(named)
-        return named
     current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="adlake-")
-        spark.sparkContext.setCheckpointDir(current)
+    if named or current:
+        if not current:
+            spark.sparkContext.setCheckpointDir(named)
+        return named or current
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    current = tempfile.mkdtemp(prefix="adlake-")
+    spark.sparkContext.setCheckpointDir(current)
     return current
 
 
@@ -54,7 +54,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, which outlives lost executors."""
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back.
+
+    This cuts the lineage, outlives lost executors, and lets later readers take only
+    the columns they need. The folder is scratch space that the cluster clears.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -25,42 +25,46 @@ _COLUMNS = {
 _DEVICE = "array('mobile', 'desktop', 'tablet')[int({key} % 3)]"
 _FORMAT = "array('banner', 'video', 'carousel')[int({key} % 3)]"
 
-# Every declared column of an entity; those the samples lack are null.
+# Event ids lie above the range of 32-bit integers. Some optional values are missing.
+_EVENT_ID = "event_id + 3000000000"
+_MAYBE = "if(event_id % {n} = 0, null, {value})"
+_SLOT = "array('top', 'side', 'feed')[int(event_id % 3)]"
+_OPTIONAL = (
+    _MAYBE.format(n=4, value=_DEVICE.format(key="user_id")) + " as device",
+    _MAYBE.format(n=5, value=_SLOT) + " as ad_slot",
+    _MAYBE.format(n=6, value=_FORMAT.format(key="campaign_id")) + " as ad_format",
+)
 _EVENT_COLUMNS = {
     "impressions": (
-        "int(event_id) as impression_id",
+        f"{_EVENT_ID} as impression_id",
         "int(user_id) as user_id",
         "campaign_id",
         "timestamp",
         _DEVICE.format(key="user_id") + " as device",
-        "array('top', 'side', 'feed')[int(event_id % 3)] as ad_slot",
+        f"{_SLOT} as ad_slot",
         _FORMAT.format(key="campaign_id") + " as ad_format",
     ),
     "clicks": (
-        "int(event_id) as click_id",
-        "int(null) as impression_id",
+        f"{_EVENT_ID} as click_id",
+        _MAYBE.format(n=3, value="event_id * 7 + 3000000000") + " as impression_id",
         "int(user_id) as user_id",
         "campaign_id",
         "timestamp",
         "int(event_id % 5 + 1) as click_position",
-        "string(null) as device",
-        "string(null) as ad_slot",
-        "string(null) as ad_format",
+        *_OPTIONAL,
     ),
     "conversions": (
-        "int(event_id) as conversion_id",
-        "int(null) as click_id",
+        f"{_EVENT_ID} as conversion_id",
+        _MAYBE.format(n=3, value="event_id * 5 + 3000000000") + " as click_id",
         "int(user_id) as user_id",
         "campaign_id",
-        "string(null) as order_id",
+        _MAYBE.format(n=7, value="concat('A-', event_id)") + " as order_id",
         "array('games', 'toys', 'food', 'books')[int(event_id % 4)] as product_category",
         "value as revenue",
-        "int(null) as impression_id",
+        _MAYBE.format(n=8, value="event_id * 7 + 3000000000") + " as impression_id",
         "timestamp",
-        "string(null) as device",
-        "string(null) as ad_slot",
-        "string(null) as ad_format",
-        "int(null) as click_position",
+        *_OPTIONAL,
+        _MAYBE.format(n=9, value="int(event_id % 5 + 1)") + " as click_position",
     ),
 }
 EVENT_TYPES = {"impressions": "view", "clicks": "click", "conversions": "purchase"}
@@ -138,12 +142,14 @@ def silver_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     return LazyTables({e: partial(sample_entity, spark, sf_dir, e) for e in ENTITIES})
 
 
-def bronze_records(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+def bronze_records(
+    spark: SparkSession, sf_dir: str, entity: str, with_copy: bool = False
+) -> DataFrame:
     """The entity as raw JSON records with the faults a feed shows.
 
     By the first key column k: text padded and upper-cased (k % 7 = 0), a bad date
     or number (k % 11 = 0), a whole number written as decimal (k % 13 = 0), the
-    record cut off (k % 97 = 0), and sent twice (k % 50 = 0).
+    record cut off (k % 97 = 0), and sent twice (k % 50 = 0; ``with_copy`` numbers them).
     """
     rows = sample_entity(spark, sf_dir, entity)
     key = F.col(ENTITY_SPECS[entity][0][0])
@@ -159,12 +165,13 @@ def bronze_records(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
             value = F.when(key % 7 == 0, padded).otherwise(value)
         elif name == broken:
             value = F.when(key % 11 == 0, F.lit("n/a")).otherwise(value)
-        elif kinds[name] == "int":
+        elif kinds[name] in ("int", "long"):
             value = F.when(key % 13 == 0, F.concat(value, F.lit(".0"))).otherwise(value)
         columns.append(value.alias(name))
     copies = F.when(key % 50 == 0, 2).otherwise(1)
     record = F.to_json(F.struct(*columns))
     cut = F.when(key % 97 == 0, F.substring(record, 1, 12)).otherwise(record)
-    return rows.select(
+    records = rows.select(
         cut.alias("json_record"), F.explode(F.sequence(F.lit(1), copies)).alias("copy")
-    ).drop("copy")
+    )
+    return records if with_copy else records.drop("copy")

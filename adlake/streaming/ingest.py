@@ -6,51 +6,128 @@ the position, so a rerun or a lost executor neither repeats nor skips records.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.utils import AnalysisException
 
-from adlake.plans.silver import parse_records, repair_money, trim_text_columns
+from adlake.plans.silver import silver
+from adlake.session import materialize
 from adlake.sources.landing import to_bronze
+from adlake.sources.schemas import silver_schema
 
+# The folder keys of a stored entity: the day of the event, and the run that wrote a row.
+DAY, BATCH = "event_date", "batch"
 
-def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Append everything available to a Parquet folder and wait for the end."""
+
+def _finish(writer: DataStreamWriter, checkpoint: str) -> None:
     query = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
 
 
+def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Append everything available to a Parquet folder and wait for the end."""
+    writer = stream.writeStream.format("parquet").option("path", path).outputMode("append")
+    _finish(writer, checkpoint)
+
+
+def run_batches(
+    stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str
+) -> None:
+    """Hand everything available to ``each`` in micro-batches and wait for the end."""
+    _finish(stream.writeStream.foreachBatch(each), checkpoint)
+
+
 def land_bronze(messages: DataFrame, path: str, checkpoint: str) -> None:
     """Messages of a topic or folder to ``json_record`` rows."""
     run_available(to_bronze(messages), path, checkpoint)
 
 
-def stream_silver(
-    bronze: DataFrame,
-    entity: str,
-    lateness: str = "1 day",
-    forbid_negative: bool = False,
-) -> DataFrame:
-    """Typed rows without exact duplicates, from a stream of bronze records.
-
-    Events with a time are compared within ``lateness``, so their state is dropped
-    once the watermark has passed; events without a time are kept as they come.
-    Users and campaigns carry no event time: the state holds their distinct rows.
+def with_event_date(df: DataFrame) -> DataFrame:
+    """Add ``event_date``, the folder key for date-partitioned logs."""
+    return df.withColumn(DAY, F.to_date("timestamp"))
+
+
+def _dated(df: DataFrame) -> DataFrame:
+    if "timestamp" in df.columns:
+        return with_event_date(df)
+    return df.withColumn(DAY, F.lit(None).cast("date"))
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    full = T.StructType(
+        [*schema.fields, T.StructField(DAY, T.DateType()), T.StructField(BATCH, T.LongType())]
+    )
+    try:
+        return spark.read.schema(full).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def overwrite_batch(df: DataFrame, path: str, batch: int, *keys: str) -> None:
+    """Write the rows of one micro-batch; a repeated batch replaces what it wrote before."""
+    (
+        df.withColumn(BATCH, F.lit(batch).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys, BATCH)
+        .parquet(path)
+    )
+
+
+def _same(left: str, right: str, columns: list[str]) -> Column:
+    parts = [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in columns]
+    return reduce(Column.__and__, parts)
+
+
+def append_silver(
+    bronze: DataFrame, batch: int, path: str, entity: str, forbid_negative: bool = False
+) -> None:
+    """Add the rows of one micro-batch that the stored entity does not hold yet.
+
+    They are compared with what earlier batches stored for the days they touch (records
+    without a time form a day of their own), however late they come, so that the result
+    equals cleaning all records at once. Only the folders of these days are read.
     """
-    rows = trim_text_columns(parse_records(bronze, entity))
-    if "timestamp" in rows.columns:
-        rows = rows.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark()
-    else:
-        rows = rows.dropDuplicates()
-    return repair_money(rows, entity, forbid_negative)
+    spark = bronze.sparkSession
+    schema = silver_schema(entity)
+    fresh = materialize(_dated(silver(bronze, entity, forbid_negative)), "batch")
+    stored = _stored(spark, path, schema)
+    if stored is not None:
+        # One value per day of the batch.
+        days = [r[DAY] for r in fresh.select(DAY).distinct().collect()]
+        known = [d for d in days if d is not None]
+        touched = F.col(DAY).isin(known) if known else F.lit(False)
+        if len(known) < len(days):
+            touched = touched | F.col(DAY).isNull()
+        earlier = stored.filter(touched & (F.col(BATCH) != batch))
+        fresh = fresh.alias("f").join(
+            earlier.alias("e"), _same("f", "e", [*schema.names, DAY]), "left_anti"
+        )
+    overwrite_batch(fresh, path, batch, DAY)
 
 
-def with_event_date(df: DataFrame) -> DataFrame:
-    """Add ``event_date``, the folder key for date-partitioned logs."""
-    return df.withColumn("event_date", F.to_date("timestamp"))
+def stream_silver(
+    bronze: DataFrame, entity: str, path: str, checkpoint: str, forbid_negative: bool = False
+) -> None:
+    """Clean a stream of bronze records into the folder of an entity and wait for the end."""
+
+    def each(records: DataFrame, batch: int) -> None:
+        append_silver(records, batch, path, entity, forbid_negative)
+
+    run_batches(bronze, each, checkpoint)
+
+
+def read_silver(spark: SparkSession, entity: str, path: str) -> DataFrame:
+    """The rows that ``stream_silver`` stored, in the columns of the entity."""
+    schema = silver_schema(entity)
+    stored = _stored(spark, path, schema)
+    return spark.createDataFrame([], schema) if stored is None else stored.select(*schema.names)

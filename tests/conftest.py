@@ -27,9 +27,9 @@ def spark():
 
 
 @pytest.fixture
-def no_broadcast(monkeypatch):
-    """Nothing is small enough to broadcast, and three rows make a key hot."""
-    from adlake.operators import joins
-
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(joins, "HOT_ROWS", 3)
+def no_broadcast(spark):
+    """Nothing is small enough to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

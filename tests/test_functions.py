@@ -41,8 +41,8 @@ def test_tolerant_int(spark, given, expected):
 
 @pytest.mark.parametrize(
     ("given", "digits", "expected"),
-    [(1.005, 2, 1.01), (-1.005, 2, -1.01), (2.5, 0, 3.0), (0.00125, 4, 0.0013),
-     (float("nan"), 2, None), (float("inf"), 2, None), (None, 2, None)],
+    [(1e35, 2, 1e35), (1.005, 2, 1.01), (-1.005, 2, -1.01), (2.5, 0, 3.0), (0.00125, 4, 0.0013),
+     (float("inf"), 2, float("inf")), (None, 2, None)],
 )
 def test_rounded_goes_away_from_zero(spark, given, digits, expected):
     df = spark.createDataFrame([(given,)], "v double")
@@ -102,3 +102,24 @@ def test_measures(spark):
     assert one(spark, kpi.revenue_per(n(10.0), n(None).cast("int"))) is None
     assert one(spark, kpi.return_on_ad_spend(n(10.0), n(4.0))) == 2.5
     assert one(spark, kpi.active_days(n(date(2024, 1, 5)), n(date(2024, 1, 1)))) == 4
+
+
+def test_large_ids_survive(spark):
+    df = spark.createDataFrame([("3000000000",), ("3000000000.0",), ("9" * 19,)], "v string")
+    got = [r[0] for r in df.select(s.tolerant_int("v", "bigint")).collect()]
+    assert got == [3_000_000_000, 3_000_000_000, None]
+
+
+def test_measures_are_rounded_once(spark):
+    # 2821 / 112167 = 0.02514999955, which two roundings would make 0.0252.
+    df = spark.createDataFrame([(2821, 112167)], "clicks long, impressions long")
+    assert df.select(kpi.click_through_rate("clicks", "impressions")).first()[0] == 0.0251
+    exact = df.select(kpi.cost_per(F.lit("1.005").cast("decimal(20,6)"), F.lit(1))).first()[0]
+    assert exact == 1.01
+
+
+def test_amounts_out_of_range_fail(spark):
+    df = spark.createDataFrame([(1e15,)], "v double")
+    with pytest.raises(Exception, match="amount out of range"):
+        df.select(s.money("v")).collect()
+    assert df.select(s.money(F.lit(None).cast("double"))).first()[0] is None

@@ -9,79 +9,38 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from adlake.operators import joins, ordered, quality, sampling
+from adlake.operators import ordered, quality, sampling
 from helpers import rows
 
 
-@pytest.fixture(scope="module")
-def log(spark):
-    """A third of the rows belong to key 7; some have no key."""
-    random.seed(1)
-    keys = [7] * 100 + [None] * 20 + [random.randrange(20) for _ in range(180)]
-    return spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, v int").cache()
-
-
-@pytest.fixture(scope="module")
-def keyed(spark):
-    return spark.createDataFrame([(k, f"n{k}") for k in range(0, 20, 2)] + [(7, "hot")], "k int, n string")
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-@pytest.mark.parametrize("hot_rows", [1, 5, 1000])
-def test_skew_join_equals_plain_join(log, keyed, how, hot_rows):
-    want = log.join(keyed, ["k"], how)
-    got = joins.skew_join(log, keyed, ["k"], how, hot_rows=hot_rows)
-    assert got.columns == want.columns
-    assert rows(got) == rows(want)
-
-
-def test_skew_join_splits_the_hot_key(log, keyed):
-    hot = {r["k"]: r["_splits"] for r in joins.hot_keys(log, ["k"], 30).collect()}
-    rows_of = Counter(r["k"] for r in log.collect())
-    assert hot == {k: math.ceil(n / 30) for k, n in rows_of.items() if n > 30}
-    assert hot[7] >= 4
-
-
-def test_skew_join_of_copies(spark, keyed):
-    log = spark.createDataFrame([(7, 1)] * 200 + [(2, 2)] * 3, "k int, v int").repartition(5)
-    got = joins.skew_join(log, keyed, ["k"], hot_rows=10)
-    assert rows(got) == rows(log.join(keyed, ["k"]))
-
-
-def test_hot_keys_from_a_sample(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_EVIDENCE", 50)
-    log = spark.range(20000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-    hot = joins.hot_keys(log, ["k"], 1000).collect()
-    assert [r["k"] for r in hot] == [7]
-    assert 4 <= hot[0]["_splits"] <= 10
-
-
-def test_skew_join_takes_the_keys_of_another_frame(log, keyed):
-    wide = log.withColumn("w", F.lit("x"))
-    got = joins.skew_join(wide, keyed, ["k"], hot_rows=5, keys_from=log)
-    assert rows(got) == rows(wide.join(keyed, ["k"]))
-
-
-def test_skew_join_rejects_other_types(log, keyed):
-    with pytest.raises(ValueError):
-        joins.skew_join(log, keyed, ["k"], "full")
-
-
-def test_lookup_join_both_ways(log, keyed, monkeypatch):
-    want = rows(log.join(keyed, ["k"], "left"))
-    assert rows(joins.lookup_join(log, keyed, ["k"], "left")) == want
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
-    monkeypatch.setattr(joins, "HOT_ROWS", 5)
-    assert rows(joins.lookup_join(log, keyed, ["k"], "left")) == want
-
-
-def test_fits_broadcast(spark):
-    df = spark.createDataFrame([("x" * 100,)] * 10, "s string")
-    assert joins.fits_broadcast(df)
-    assert joins.fits_broadcast(df, max_rows=10)
-    assert not joins.fits_broadcast(df, max_rows=9)
-    assert not joins.fits_broadcast(df, max_bytes=900)
-    assert joins.fits_broadcast(df.limit(0))
+def test_adaptive_execution_splits_a_hot_key(spark):
+    """The one mechanism against hot keys in joins: no task gets a whole hot key."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        # One key holds most rows; their payload does not compress.
+        rows_ = spark.range(60_000).repartition(6).select(
+            F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"),
+            F.sha2(F.col("id").cast("string"), 512).alias("text"),
+        )
+        joined = rows_.join(spark.range(60_000).withColumnRenamed("id", "k"), "k")
+        assert joined.groupBy().agg(F.count("text")).first()[0] == 60_000
+        # Of the text too, as a lone constant key would take no room.
+        counted = joined.groupBy(F.spark_partition_id()).agg(
+            F.count("text").alias("count"), F.max("text")
+        )
+        assert counted.agg(F.max("count")).first()[0] < 20_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_running_total(spark):

@@ -52,6 +52,32 @@ def test_reports_read_the_stored_results(spark, root):
     assert segments.segment_kpis(users, summary).first()["total_users"] == users.count()
 
 
+def test_written_rows_are_counted(spark, root):
+    written = pipeline.build_results(
+        spark, root, "2024-02-01", trainer="minibatch", rounds=1, depth=1
+    )
+    for name, rows in written.items():
+        assert pipeline.read_result(spark, root, name).count() == rows
+    assert spark.table("campaign_summary").count() == written["campaign_summary"]
+
+
+def test_logs_are_cut_by_their_folders(spark, root):
+    lake = pipeline.read_silver(spark, root)
+    logs = [lake[log] for log in pipeline.LOGS]
+    days = reports.daily_report(lake["campaigns"], *logs, "2024-01-03", "2024-01-06")
+    assert [str(r["day"]) for r in days.collect()] == [f"2024-01-0{d}" for d in range(3, 7)]
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(event_date") >= 3
+    every = reports.daily_report(lake["campaigns"], *logs)
+    kept = every.filter("day between date'2024-01-03' and date'2024-01-06'")
+    assert sorted(map(str, days.collect())) == sorted(map(str, kept.collect()))
+
+
+def test_unparsed_values_are_stored(spark, root):
+    found = tables.read_layer(spark, root, "silver", "conversions_unparsed")
+    assert {r["column_name"] for r in found.filter("unparsed > 0").collect()} >= {"revenue"}
+
+
 def test_tenure_of_today(spark):
     staged = staged_frames(spark)
     none = spark.createDataFrame(

@@ -10,11 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import oracle_queries as oracle
-from adlake.operators import joins
 from adlake.plans import ctr_model, reports
 from adlake.plans import features as feat
 from adlake.plans.marts import campaign_performance, campaign_summary
 from check_oracle import actual, expected
+from adlake.plans.staging import stage_all
+from adlake.sources import testdata
 from helpers import by_key, rows, silver_frames, staged_frames
 
 
@@ -84,10 +85,22 @@ def test_training_set(staged, con):
     assert actual(rounded(feat.training_set(staged))) == want
 
 
-def test_training_set_with_hot_keys(staged, con, no_broadcast):
-    got = feat.training_set(staged)
+def test_training_set_without_broadcasts(staged, con, no_broadcast):
     test_training_set(staged, con)
-    assert "_salt" not in got.columns
+
+
+def test_training_set_reads_the_impressions_once(spark):
+    """One write before the action (a job for each of its shuffles), and the stored log after."""
+    staged = stage_all(testdata.silver_tables(spark, "/root/testdata/sf0.001"))
+    tracker, group = spark.sparkContext.statusTracker(), "training-set"
+    spark.sparkContext.setJobGroup(group, "building")
+    rows = feat.training_set(staged)
+    assert len(tracker.getJobIdsForGroup(group)) <= 3
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "ad_slot" not in plan and rows.count() > 100
+    files = [f for f in rows.inputFiles() if "events" in f]
+    assert len(files) <= 1  # the clicks
 
 
 def test_rates(staged, con, no_broadcast):
@@ -119,11 +132,7 @@ def scores(staged):
 
 
 @pytest.mark.parametrize("compat", [False, True])
-@pytest.mark.parametrize("large", [False, True])
-def test_user_features(staged, con, compat, large, monkeypatch):
-    if large:
-        monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-        monkeypatch.setattr(joins, "HOT_ROWS", 2)
+def test_user_features(staged, con, compat, no_broadcast):
     source = "features_compat" if compat else "features"
     sql = with_parts(f"select {oracle._FEATURES_OUT} from {source}", *FEATURES)
     got = feat.user_features(staged, scores(staged), oracle.AS_OF, compat)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -21,33 +22,72 @@ def put(folder, name: str, *lines: str) -> None:
     (folder / name).write_text("\n".join(lines) + "\n")
 
 
-def test_two_runs_equal_one_batch(spark, tmp_path):
-    topic, bronze, out = tmp_path / "topic", str(tmp_path / "bronze"), str(tmp_path / "silver")
+def _clean(spark, topic, entity, tmp_path, **options):
+    one = {"maxFilesPerTrigger": "1", **options}
+    bronze = landing.to_bronze(landing.stream_messages(spark, str(topic), "text", one))
+    ingest.stream_silver(bronze, entity, str(tmp_path / "silver"), str(tmp_path / "c"))
+    return rows(ingest.read_silver(spark, entity, str(tmp_path / "silver")))
 
-    def run():
-        messages = landing.stream_messages(spark, str(topic), "text")
-        ingest.land_bronze(messages, bronze, str(tmp_path / "c1"))
-        rows_ = ingest.stream_silver(landing.stream_messages(spark, bronze, "parquet"), "clicks")
-        ingest.run_available(rows_, out, str(tmp_path / "c2"))
-        return rows(spark.read.parquet(out))
 
+def test_several_runs_equal_one_batch(spark, tmp_path):
+    topic = tmp_path / "topic"
     put(topic, "1.txt", click(1, "2024-01-01 10:00:00"), click(1, "2024-01-01 10:00:00"), "broken")
-    first = run()
+    first = _clean(spark, topic, "clicks", tmp_path)
     assert len(first) == 2
-    assert run() == first  # nothing new, nothing added
+    assert _clean(spark, topic, "clicks", tmp_path) == first  # nothing new, nothing added
     # a copy of an earlier record and a new one
     put(topic, "2.txt", click(1, "2024-01-01 10:00:00"), click(2, "2024-01-01 11:00:00"))
-    second = run()
-    assert second == rows(silver(spark.read.parquet(bronze), "clicks"))
+    second = _clean(spark, topic, "clicks", tmp_path)
+    assert second == rows(silver(landing.to_bronze(spark.read.text(str(topic))), "clicks"))
     assert len(second) == 3
 
 
+def test_late_and_timeless_records(spark, tmp_path):
+    """Files that go back in time, each with a copy of a record without a time."""
+    topic = tmp_path / "topic"
+    for number, day in enumerate((20, 15, 10, 5, 1)):
+        put(
+            topic,
+            f"{number}.txt",
+            f'{{"conversion_id": "{number}", "revenue": "1", "timestamp": "2024-01-{day:02} 10:00:00"}}',
+            '{"conversion_id": "99", "revenue": "7"}',
+        )
+        os.utime(topic / f"{number}.txt", (1_700_000_000 + number, 1_700_000_000 + number))
+    got = _clean(spark, topic, "conversions", tmp_path)
+    assert got == rows(silver(landing.to_bronze(spark.read.text(str(topic))), "conversions"))
+    assert len(got) == 6
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    bronze = spark.createDataFrame([(click(1, "2024-01-01 10:00:00"),)], "json_record string")
+    path = str(tmp_path / "silver")
+    for batch in (0, 0, 1, 1):
+        ingest.append_silver(bronze, batch, path, "clicks")
+    assert ingest.read_silver(spark, "clicks", path).count() == 1
+    assert ingest.read_silver(spark, "clicks", str(tmp_path / "nothing")).count() == 0
+
+
 def test_records_without_event_time(spark, tmp_path):
-    topic, out = tmp_path / "topic", str(tmp_path / "out")
+    topic = tmp_path / "topic"
     put(topic, "1.txt", '{"user_id": "1", "region": " US "}', '{"user_id": "1", "region": "us"}')
-    bronze = landing.to_bronze(landing.stream_messages(spark, str(topic), "text"))
-    ingest.run_available(ingest.stream_silver(bronze, "users"), out, str(tmp_path / "c"))
-    assert rows(spark.read.parquet(out)) == [(1, "us", None, None, None)]
+    put(topic, "2.txt", '{"user_id": "1", "region": "us "}', '{"user_id": "2"}')
+    got = _clean(spark, topic, "users", tmp_path)
+    assert got == [(1, "us", None, None, None), (2, None, None, None, None)]
+
+
+def test_all_days_with_late_rows(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "days")
+
+    def run():
+        events = spark.readStream.schema("timestamp timestamp, revenue double").json(str(source))
+        daily.stream_daily(events, out, str(tmp_path / "c"))
+        return rows(daily.read_daily(spark, out))
+
+    put(source, "1.json", '{"timestamp": "2024-01-05T10:00:00", "revenue": 1.5}')
+    assert run() == [(date(2024, 1, 5), 1, 1.5)]
+    put(source, "2.json", '{"timestamp": "2024-01-01T10:00:00", "revenue": 2}',
+        '{"timestamp": "2024-01-05T23:00:00"}')
+    assert run() == [(date(2024, 1, 1), 1, 2.0), (date(2024, 1, 5), 2, 1.5)]
 
 
 def test_daily_totals_close_and_drop_late_rows(spark, tmp_path):
@@ -58,7 +98,7 @@ def test_daily_totals_close_and_drop_late_rows(spark, tmp_path):
             spark.readStream.schema("timestamp timestamp, revenue double")
             .json(str(source))
         )
-        ingest.run_available(daily.daily_totals(events, "1 hour"), out, checkpoint)
+        ingest.run_available(daily.closed_days(events, "1 hour"), out, checkpoint)
         return rows(spark.read.parquet(out))
 
     def event(when, revenue):
@@ -78,7 +118,7 @@ def test_stream_of_sample_events(spark, tmp_path):
         "cast(ts as timestamp) as timestamp", "value as revenue"
     )
     out = str(tmp_path / "out")
-    ingest.run_available(daily.daily_totals(events), out, str(tmp_path / "c"))
+    ingest.run_available(daily.closed_days(events), out, str(tmp_path / "c"))
     batch = testdata.silver_tables(spark, SF)["impressions"]
     last = batch.agg(F.max("timestamp")).first()[0]
     want = {
