@@ -77,9 +77,10 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         letters = np.add.reduceat((~blanks).astype(np.int64), begin)
         own = passage[begin]
         words = np.maximum(np.bincount(own, minlength=total), 1)
+        text = np.repeat(np.arange(len(datas)), sizes)[begin]
         same = np.zeros((2, len(begin)))
-        same[0, 1:] = word[1:] == word[:-1]
-        same[1, 2:] = word[2:] == word[:-2]
+        same[0, 1:] = (word[1:] == word[:-1]) & (text[1:] == text[:-1])
+        same[1, 2:] = (word[2:] == word[:-2]) & (text[2:] == text[:-2])
         column = BUCKETS + _CLASSES
         out[:, column] = np.bincount(own, letters, minlength=total) / words / 10
         out[:, column + 1] = np.bincount(own, same[0], minlength=total) / words
