@@ -157,8 +157,24 @@ RUNS = (
 _RUN_NAMES = [f.split()[0] for f in RUNS.split(", ")]
 
 
+_CODEC = pa.Codec("zstd", 1)
+
+
+def _unpacked(row: dict) -> dict:
+    """A row of RUNS with its packed columns as they were; their sizes follow from the others."""
+    rest = sum(row["lens"]) - sum(row["lcps"])
+    members = int(np.frombuffer(row["members"], np.int32).sum())
+    sizes = {"tails": rest, "lefts": sum(row["left_lens"]), "keys": 16 * members, "places": 8 * members}
+    for name, size in sizes.items():
+        row[name] = _CODEC.decompress(row[name], size, asbytes=True)
+    return row
+
+
 def _coded_run(entries: dict, buckets: int) -> list[list]:
     """The sorted, front-coded parts of a run, one per bucket."""
+    def packed(data: bytes) -> bytes:
+        return _CODEC.compress(data, asbytes=True)
+
     parts: dict[int, list] = {}
     for (right, left), (h, members) in entries.items():
         parts.setdefault(h % buckets, []).append((right, left, members))
@@ -173,12 +189,12 @@ def _coded_run(entries: dict, buckets: int) -> list[list]:
                 bucket,
                 lcps.astype(np.uint8).tobytes(),
                 np.array([len(r) for r in rights], np.uint8).tobytes(),
-                b"".join(r[c:] for r, c in zip(rights, lcps.tolist())),
-                b"".join(e[1] for e in part),
+                packed(b"".join(r[c:] for r, c in zip(rights, lcps.tolist()))),
+                packed(b"".join(e[1] for e in part)),
                 np.array([len(e[1]) for e in part], np.uint8).tobytes(),
                 np.array([len(m) for m in members], np.int32).tobytes(),
-                b"".join(k for m in members for k, _ in m),
-                np.array([p for m in members for _, p in m], np.int64).tobytes(),
+                packed(b"".join(k for m in members for k, _ in m)),
+                packed(np.array([p for m in members for _, p in m], np.int64).tobytes()),
                 np.array([t for m in members for t in m.values()], np.int32).tobytes(),
             ]
         )
@@ -373,7 +389,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held and held[0]["bucket"] != row["bucket"]:
                 yield _bucket_spans(held)
                 held = []
-            held.append(row)
+            held.append(_unpacked(row))
     if held:
         yield _bucket_spans(held)
 
