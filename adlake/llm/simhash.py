@@ -140,14 +140,14 @@ _LANE = 2**64 - 1
 
 
 def _variants(masks: list[int], lanes: int):
-    """Rows (key, wild, node, lanes): one per mask and deleted bit; keys name both."""
+    """Rows (key, node, lanes): one per mask and deleted bit; keys name both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [np.asarray(batch.column(c)).view(np.uint64) for c in _lanes(lanes)]
             for number, mask in enumerate(masks):
                 bits = [b for b in range(BITS * lanes) if mask >> b & 1]
-                for first, bit in enumerate(bits):
+                for bit in bits:
                     rest = mask & ~(1 << bit)
                     # Multiplications mix the key's place into all bits.
                     place = (0x9E3779B97F4A7C15 * (number * BITS * lanes + bit + 1)) & _LANE
@@ -156,41 +156,33 @@ def _variants(masks: list[int], lanes: int):
                         deleted = np.uint64(rest >> (BITS * lane) & _LANE)
                         if deleted:
                             key ^= (fp & deleted) * np.uint64(0xD6E8FEB86659FD93 + 2 * lane)
-                    wild = np.full(batch.num_rows, -1 if first == 0 else bit, np.int16)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(wild), *batch.columns],
-                        ["key", "wild", *batch.schema.names],
+                        [pa.array(key.view(np.int64)), *batch.columns], ["key", *batch.schema.names]
                     )
 
     return run
 
 
-def _roots(parent: np.ndarray) -> np.ndarray:
-    while True:
-        up = parent[parent]
-        if np.array_equal(up, parent):
-            return parent
-        parent = up
-
-
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links (a, b) over n members: at most n - 1 of them."""
-    parent = np.arange(n)
-    out_a, out_b = [], []
+def _union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Joins the sets of all a[i] and b[i]; every member points at the smallest of its set."""
     while len(a):
         ra, rb = parent[a], parent[b]
-        open_ = ra != rb
-        a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
-        if not len(a):
-            break
-        high, low = np.maximum(ra, rb), np.minimum(ra, rb)
-        _, pick = np.unique(high, return_index=True)
-        out_a.append(a[pick])
-        out_b.append(b[pick])
-        parent[high[pick]] = low[pick]
-        parent = _roots(parent)
-    empty = np.zeros(0, np.int64)
-    return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (empty, empty)
+        apart = ra != rb
+        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+        # One new parent for each root; what that leaves open comes again.
+        parent[np.maximum(ra, rb)] = np.minimum(ra, rb)
+        while True:
+            up = parent[parent]
+            if np.array_equal(up, parent):
+                break
+            parent = up
+    return parent
+
+
+def _star(nodes: np.ndarray, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each member with the smallest of its set: fewer rows than members, however many links."""
+    moved = np.nonzero(parent != np.arange(len(parent)))[0]
+    return nodes[moved], nodes[parent[moved]]
 
 
 def _apart(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -198,24 +190,19 @@ def _apart(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return sum(np.bitwise_count(a ^ b).astype(np.int16) for a, b in zip(x, y))
 
 
-def _links_between(x: list[np.ndarray], y: list[np.ndarray] | None, distance: int):
-    """A spanning forest of the links within ``distance`` among x, or among x and y.
+def _sets_between(x: list[np.ndarray], y: list[np.ndarray] | None, distance: int) -> np.ndarray:
+    """The sets that links within ``distance`` among x, or between x and y, make.
 
-    Gives positions in x, or in x followed by y.
+    Gives the parents of the members of x, or of x followed by y.
     """
     n = len(x[0])
-    total = n if y is None else n + len(y[0])
-    a, b = [], []
+    parent = np.arange(n if y is None else n + len(y[0]))
     other, shift = (x, 0) if y is None else (y, n)
     for at in range(0, n, 512):
         near = _apart([v[at : at + 512, None] for v in x], [v[None, :] for v in other]) <= distance
         i, j = np.nonzero(near)
-        i, j = i + at, j + shift
-        keep = i < j
-        fa, fb = _forest(i[keep], j[keep], total)
-        a.append(fa)
-        b.append(fb)
-    return _forest(np.concatenate(a), np.concatenate(b), total)
+        parent = _union(parent, i + at, j + shift)
+    return parent
 
 
 LINK, LARGE = 0, 1
@@ -230,30 +217,25 @@ def _batch(lanes, a, b, kind, key, fps=None) -> pa.RecordBatch:
 
 
 def _bucket_links(distance: int, lanes: int):
-    """Links inside the variants of a partition sorted by key.
+    """What the links inside the variants of a partition sorted by key connect.
 
     The members of small variants are compared in passes over the whole batch, each with
     the one ``step`` rows on. A variant above ``BUCKET`` members is passed on row by row.
     """
 
-    def small(key, wild, node, *fps):
+    def small(key, node, *fps):
+        nodes, own = np.unique(node, return_inverse=True)
+        parent = np.arange(len(nodes))
         step = 1
-        while True:
-            same = key[step:] == key[:-step] if step < len(key) else np.zeros(0, bool)
-            if not same.any():
-                return
-            i = np.nonzero(same)[0]
-            x, y, w = [f[i] for f in fps], [f[i + step] for f in fps], wild[i]
-            # Pairs equal in the segment share all its variants; the first reports them.
-            own = w < 0
-            for lane in range(lanes):
-                inside = (w >= BITS * lane) & (w < BITS * (lane + 1))
-                bit = np.where(inside, w - BITS * lane, 0).astype(np.uint64)
-                own |= inside & (((x[lane] ^ y[lane]) >> bit) & np.uint64(1) > 0)
-            near = own & (_apart(x, y) <= distance)
-            if near.any():
-                yield _batch(lanes, node[i][near], node[i + step][near], LINK, 0)
+        while step < len(key):
+            i = np.nonzero(key[step:] == key[:-step])[0]
+            if not len(i):
+                break
+            x, y = [f[i] for f in fps], [f[i + step] for f in fps]
+            near = i[_apart(x, y) <= distance]
+            parent = _union(parent, own[near], own[near + step])
             step += 1
+        yield _batch(lanes, *_star(nodes, parent), LINK, 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -265,11 +247,11 @@ def _bucket_links(distance: int, lanes: int):
             if large is not None:
                 n = int(np.searchsorted(cols[0], large, "right"))
                 if n:
-                    out.append(_batch(lanes, cols[2][:n], cols[2][:n], LARGE, large, [f[:n] for f in cols[3:]]))
+                    out.append(_batch(lanes, cols[1][:n], cols[1][:n], LARGE, large, [f[:n] for f in cols[2:]]))
                 cols = [c[n:] for c in cols]
                 if len(cols[0]):
                     large = None
-            key, _, node, *fps = cols
+            key, node, *fps = cols
             if not len(key):
                 return out, cols
             starts = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1])
@@ -290,7 +272,7 @@ def _bucket_links(distance: int, lanes: int):
             return out, [c[hold:] for c in cols]
 
         for batch in batches:
-            cols = [np.asarray(c) for c in batch.columns[:3]]
+            cols = [np.asarray(c) for c in batch.columns[:2]]
             cols += [np.asarray(batch.column(c)).view(np.uint64) for c in _lanes(lanes)]
             out, rest = split([np.concatenate(p) for p in zip(rest, cols)] if rest else cols, False)
             yield from out
@@ -312,12 +294,12 @@ def _part_links(distance: int, lanes: int):
             for r in range(batch.num_rows):
                 node, xs = side(batch.column("xs")[r].values)
                 if batch.column("i")[r].as_py() == batch.column("j")[r].as_py():
-                    a, b = _links_between(xs, None, distance)
+                    parent = _sets_between(xs, None, distance)
                 else:
                     other, ys = side(batch.column("ys")[r].values)
                     node = np.concatenate([node, other])
-                    a, b = _links_between(xs, ys, distance)
-                yield _batch(lanes, node[a], node[b], LINK, 0)
+                    parent = _sets_between(xs, ys, distance)
+                yield _batch(lanes, *_star(node, parent), LINK, 0)
 
     return run
 
@@ -327,16 +309,16 @@ def links(
 ) -> DataFrame:
     """Rows (a, b) of nodes that connect the fingerprints (node, lanes) within ``distance``.
 
-    ``masks`` are the keys. Not every pair within the distance is listed, but each that
-    differs by at most one bit in a key is connected by listed pairs, every one of which
-    is within the distance.
+    ``masks`` are the keys. Pairs are not listed one by one: every task gives each node the
+    smallest one that its links reach, so that a group of n nodes gives rows in proportion
+    to n. What pairs within the distance that share a variant connect, the rows connect.
     """
     names = _lanes(lanes)
     values = ", ".join(f"{c} long" for c in names)
     spread = map_arrow(
         distinct_fps.select("node", *names),
         _variants(masks, lanes),
-        f"key long, wild short, node long, {values}",
+        f"key long, node long, {values}",
         rows=8192,
     )
     parts = int(distinct_fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
