@@ -55,9 +55,17 @@ class _Words(dict):
         self.tables = [np.zeros(1024, t) for t in self.TYPES]
 
     def __missing__(self, word: str) -> int:
-        plain = _EDGE.sub("", word)
+        # Most words are letters, perhaps with one mark behind: no pattern needed.
+        if word.isalpha():
+            plain = word
+        elif word[-1] in ".,;:!?" and word[:-1].isalpha():
+            plain = word[:-1]
+        else:
+            plain = _EDGE.sub("", word)
         lower = plain.lower()
-        kind = _NUM if _NUMBER.match(lower) else _UNIT if lower in UNITS else _PLAIN
+        kind = _UNIT if lower in UNITS else _PLAIN
+        if not plain.isalpha() and _NUMBER.match(lower):
+            kind = _NUM
         literal = xxhash.xxh64_intdigest(lower.encode("utf-8", "surrogatepass"), 7)
         capital = plain[:1].isupper() and not (len(plain) > 1 and plain.isupper())
         number = self[word] = len(self.value)
