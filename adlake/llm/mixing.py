@@ -129,8 +129,13 @@ def mix(
     kept = [c for c in docs.columns if c not in added]
     key = F.when(F.col("source").isNull(), F.lit("2")).otherwise(F.concat(F.lit("1"), "source"))
     drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string")))
+    # The columns travel as one, so that no name of theirs meets one of the mix.
     sized = docs.select(
-        *kept, word_count(F.col("text")).alias("size"), key.alias("_key"), drawn.alias("_drawn")
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
+        F.col("doc_id").alias("_id"),
+        word_count(F.col("text")).alias("size"),
+        key.alias("_key"),
+        drawn.alias("_drawn"),
     )
     narrow = stored(sized.select("_key", "_drawn", "size"), "sizes")
     sources = narrow.groupBy(F.col("_key").alias("key")).agg(
@@ -197,7 +202,7 @@ def mix(
             _draw(seed, F.col("_key"), F.col("_shard").cast("string")).alias("start"),
         )
     )
-    in_shard = Window.partitionBy("_key", "_shard").orderBy("_drawn", F.col("doc_id"), "size")
+    in_shard = Window.partitionBy("_key", "_shard").orderBy("_drawn", "_id", "size")
     placed = (
         sharded(sized)
         .withColumn("_end", F.sum("size").over(in_shard.rowsBetween(Window.unboundedPreceding, 0)))
@@ -221,7 +226,7 @@ def mix(
         F.aggregate(F.sequence(first, last), F.lit(0).cast("long"), overlap),
     ).otherwise(F.lit(0))
     return placed.select(
-        *kept,
+        "_row.*",
         "size",
         "source_size",
         "target",

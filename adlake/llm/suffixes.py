@@ -480,10 +480,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spans = repeated_spans(docs.select(key.alias("key"), "text"))
     # All stretches of one text: bounded by the text.
     per_text = spans.groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("_spans"))
-    keyed = docs.select("text", key.alias("_key"), *[f"`{f.name}`" for f in rest])
+    # The columns travel as one, so that no name of theirs meets one of the join.
+    row = F.struct(*[F.col(f"`{f.name}`") for f in rest])
+    keyed = docs.select("text", key.alias("_key"), row.alias("_row"))
     joined = keyed.join(per_text.withColumnRenamed("key", "_key"), "_key", "left")
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in rest]
         + ["n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"]
     )
-    return map_arrow(joined.select("text", "_spans", *[f"`{f.name}`" for f in rest]), _remover, schema)
+    return map_arrow(joined.select("text", "_spans", "_row.*"), _remover, schema)

@@ -37,8 +37,9 @@ def _digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record_id(page: int | None, turn: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}:{turn}')}>"
+def _record_id(page: int | None, digest: str, turn: int) -> str:
+    """Fixed by the page, its payload, and the place among rows that repeat both."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}:{digest}:{turn}')}>"
 
 
 def _clean(url: str | None) -> str:
@@ -54,7 +55,7 @@ def _member(page, turn, url, payload: bytes | None, size: int, digest: str, refe
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if payload is not None else 'revisit'}",
-        f"WARC-Record-ID: {_record_id(page, turn)}",
+        f"WARC-Record-ID: {_record_id(page, digest, turn)}",
         f"WARC-Target-URI: {_clean(url)}",
         f"WARC-Date: {DATE}",
         f"WARC-Payload-Digest: sha1:{digest}",
@@ -64,7 +65,7 @@ def _member(page, turn, url, payload: bytes | None, size: int, digest: str, refe
     if payload is None:
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
         if refers_to is not None:
-            lines.append(f"WARC-Refers-To: {_record_id(refers_to, 0)}")
+            lines.append(f"WARC-Refers-To: {_record_id(refers_to, digest, 0)}")
             lines.append(f"Refers-To-Page-ID: {refers_to}")
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     raw = "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -141,29 +142,19 @@ def _writer(root: str, limit: int):
         roller = _Roller(root, TaskContext.get().partitionId(), limit)
         # Of each run of rows with one page and payload, the first is the decision.
         current, first_page, turn = None, None, 0
-        turns: dict[int | None, int] = {}
         for batch in batches:
             for r in zip(*[batch.column(n).to_pylist() for n in ("page_id", "digest", "tag", "first_page", "url", "html")]):
                 page, digest, tag, first, url, html = r
                 if tag == 0:
-                    current, first_page, fresh = (page, digest), first, True
+                    current, first_page, turn = (page, digest), first, 0
                     continue
                 if current != (page, digest):
                     raise RuntimeError("a page without its decision")
                 payload = (html or "").encode()
-                answers = fresh and page == first_page
-                fresh = False
-                turns = turns if page in turns else {page: 0}
-                member = _member(
-                    page,
-                    0 if answers else turns[page] + 1,
-                    url,
-                    payload if answers else None,
-                    len(payload),
-                    _digest(payload),
-                    first_page,
-                )
-                turns[page] += 1
+                answers = turn == 0 and page == first_page
+                size, code = len(payload), _digest(payload)
+                member = _member(page, turn, url, payload if answers else None, size, code, first_page)
+                turn += 1
                 roller.add(member)
         roller.close()
         yield pa.RecordBatch.from_pylist(roller.done, schema=_MANIFEST_ARROW)

@@ -60,10 +60,10 @@ def test_mix_reaches_its_targets(spark):
 def test_mix_of_odd_rows(spark):
     docs = [(i, "hot", "a b c " * (i % 40)) for i in range(150)]
     docs += [(7, None, "x y\x0bz"), (7, None, "x y\x0bz"), (None, None, None), (9, "", ""), (10, "é", "w " * 5000)]
-    df = spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id long, source string, text string, size long, _key2 int")
+    df = spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id long, source string, text string, size long, _key int")
     rows = mixing.mix(df, shard_words=300, shard_docs=20).collect()
     _check_mix(rows, docs)
-    assert "_key2" in rows[0].asDict()
+    assert "_key" in rows[0].asDict()
     empty = mixing.mix(df.limit(0))
     assert empty.count() == 0
 

@@ -29,7 +29,7 @@ def brute(texts, length=200):
 
 
 def _check(spark, texts):
-    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, kept string")
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, kept string, _key int")
     rows = suffixes.remove_repeats(df.repartition(4)).orderBy("doc_id").collect()
     want = brute(texts)
     for r, w in zip(rows, want, strict=True):
