@@ -217,7 +217,8 @@ def _runs(bits: np.ndarray, mask: int, part: int, parts: int, buckets: int):
         for batch in batches:
             keys = batch.column("key").to_pylist()
             for i, data, place, h in _anchored(grams, batch):
-                keep = bits[(h & _U(mask)).astype(np.int64)] & (h % _U(parts) == _U(part))
+                slot = (h & _U(mask)).astype(np.int64)
+                keep = (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 > 0) & (h % _U(parts) == _U(part))
                 for p, v in zip(place[keep].tolist(), h[keep].tolist()):
                     context = (data[p : p + LENGTH], data[max(0, p - reach) : p])
                     members = entries.setdefault(context, (v >> 8, {}))[1]
@@ -426,7 +427,7 @@ def _remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _filter_bits(hashes: DataFrame, size: int) -> np.ndarray:
-    """A bit per hash modulo ``size``; gathered as words, so at most size / 32 rows."""
+    """A bit per hash modulo ``size``, eight to a byte; gathered as at most size / 32 words."""
     slot = F.col("h").bitwiseAND(F.lit(size - 1))
     words = (
         hashes.select(F.shiftright(slot, 5).alias("word"), F.expr(f"shiftleft(1L, cast((h & {size - 1}) & 31 as int))").alias("bit"))
@@ -437,7 +438,7 @@ def _filter_bits(hashes: DataFrame, size: int) -> np.ndarray:
     out = np.zeros(size // 32, np.uint32)
     if words.num_rows:
         out[np.asarray(words.column("word").combine_chunks())] = np.asarray(words.column("bits").combine_chunks()).astype(np.uint32)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+    return out.view(np.uint8)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
