@@ -394,26 +394,155 @@ def near_duplicates(
     return named.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+# The stage of the pipeline: shingle sets are near copies from this similarity on (4 of 5).
+SIMILAR = (4, 5)
+# Members and shingles of a candidate group that a task compares with as many others;
+# larger groups are cut into such parts that meet pair by pair.
+PART, PART_SHINGLES = 4096, 1 << 21
+
+
+def _set_prints(width: int, lanes: int):
+    """(text, columns ...) to (columns ..., node, size, lanes); ``node`` names the shingle set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes, hashes = [], [], [[] for _ in range(lanes)]
+            for text in batch.column(0):
+                runs = shingles(text.as_py(), width, True)
+                for lane, found in enumerate(hashes):
+                    found.append(np.array([xxhash.xxh64_intdigest(s, HASH_SEED + lane) for s in runs], np.uint64))
+                nodes.append(xxhash.xxh64_intdigest(np.sort(hashes[0][-1]).tobytes(), HASH_SEED))
+                sizes.append(len(runs))
+            marks = [_majority(np.concatenate(h), np.array(sizes, np.int64)).view(np.int64) if h else [] for h in hashes]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
+                 *[pa.array(m, pa.int64()) for m in marks]],
+                [*batch.schema.names[1:], "node", "size", *_lanes(lanes)],
+            )
+
+    return run
+
+
+def _set_hashes(width: int):
+    """(text, columns ...) to (columns ..., hashes): the shingle set of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [
+                np.array([xxhash.xxh64_intdigest(s, HASH_SEED) for s in shingles(t.as_py(), width, True)], np.uint64)
+                for t in batch.column(0)
+            ]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+            found = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], found], [*batch.schema.names[1:], "hashes"])
+
+    return run
+
+
+def _similar_sets(sets: list[np.ndarray]) -> np.ndarray:
+    """Parents of the sets that pairs of a similarity of at least ``SIMILAR`` connect.
+
+    Every pair is decided by its exact similarity, except those already connected.
+    """
+    least, whole = SIMILAR
+    sizes = np.array([len(s) for s in sets], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    held = np.zeros(len(ids), bool)
+    parent = np.arange(len(sets))
+    for i in range(len(sets) - 1):
+        rest = np.nonzero(parent[i + 1 :] != parent[i])[0] + i + 1
+        low, high = np.minimum(sizes[i], sizes[rest]), np.maximum(sizes[i], sizes[rest])
+        rest = rest[(low * whole >= high * least) & (low > 0)]
+        if not len(rest):
+            continue
+        own = ids[starts[i] : starts[i] + sizes[i]]
+        held[own] = True
+        firsts = np.cumsum(sizes[rest]) - sizes[rest]
+        at = np.repeat(starts[rest] - firsts, sizes[rest]) + np.arange(sizes[rest].sum())
+        common = np.add.reduceat(held[ids[at]].astype(np.int64), firsts)
+        held[own] = False
+        near = rest[common * (least + whole) >= least * (sizes[i] + sizes[rest])]
+        parent = _union(parent, np.full(len(near), i), near)
+    return parent
+
+
+def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b) that connect the similar sets of each group, over rows sorted by group."""
+
+    def links_of(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        a, b = _star(np.array(nodes, np.int64), _similar_sets(sets))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    group, nodes, sets = None, [], []
+    for batch in batches:
+        names = list(zip(*[batch.column(c).to_pylist() for c in ("component", "i", "j")]))
+        for r, name in enumerate(names):
+            if name != group:
+                if len(nodes) > 1:
+                    yield links_of(nodes, sets)
+                group, nodes, sets = name, [], []
+            nodes.append(batch.column("node")[r].as_py())
+            sets.append(np.array(batch.column("hashes")[r].values))
+    if len(nodes) > 1:
+        yield links_of(nodes, sets)
+
+
+def similar_links(prints: DataFrame, candidates: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Rows (a, b) that connect the nodes whose shingle sets are similar.
+
+    ``prints`` has one row (node, size, text_key) per set, ``candidates`` (a, b) connect the
+    nodes to compare, ``texts`` holds (text, text_key). Within what the candidates connect,
+    every pair is decided by its exact similarity, whether it was a candidate or not.
+    """
+    spark = prints.sparkSession
+    found = components(candidates)
+    roots = found.select(F.col("component").alias("node"), "component").distinct()
+    members = stored(found.select("node", "component").union(roots).join(prints, "node"), "members")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / PART), F.ceil(F.sum("size") / PART_SHINGLES)).cast("int")
+    counts = members.groupBy("component").agg(parts.alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    placed = members.join(counts, "component").select("node", "component", "text_key", "parts", part.alias("part"))
+    # One text for each set: copies of a text share its key.
+    read = placed.join(texts, "text_key").dropDuplicates(["node"])
+    schema = "node long, component long, parts int, part int, hashes array<long>"
+    sets = map_arrow(read.select("text", "node", "component", "parts", "part"), _set_hashes(width), schema)
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    met = sets.select("node", "component", "hashes", "part", other)
+    grouped = met.select("component", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "hashes")
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = grouped.repartition(shuffles, "component", "i", "j").sortWithinPartitions("component", "i", "j")
+    return map_arrow(dealt, _group_links, "a long, b long")
+
+
 def drop_near_duplicates(
     docs: DataFrame, width: int = 5, lanes: int = 2, distance: int = 24, segments: int = 8
 ) -> DataFrame:
     """``docs`` with one row per class of near-duplicates: the one of smallest doc_id.
 
-    At a similarity of 0.8 of the shingle sets, 15 % of the bits differ in the mean. Two
-    lanes estimate that well enough, and 24 of their 128 bits allow for the spread. Eight
-    segments find every pair within 15 bits and most of those within 24. Each distinct
-    shingle counts once, so that a line repeated in a text does not stand for the whole.
+    Two texts are near-duplicates if the exact similarity (Jaccard) of their sets of
+    shingles is at least ``SIMILAR``; a class is what such pairs connect. Fingerprints of
+    ``lanes`` times 64 bits only name the candidates. Each distinct shingle counts once, so
+    that a line repeated in a text does not stand for the whole.
 
     Texts without words form one class. A row of null doc_id stays unless it repeats
     another; of rows with equal doc_id and text one stays. All columns are kept.
     """
     names = _lanes(lanes)
-    prints = stored(fingerprints(docs.select("doc_id", "text"), width, True, lanes), "fps")
-    sure = 2 * segments - 1
-    named = stored(classes(prints, distance, segments, lanes, sure), "classes")
-    losers = named.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    # Rows that share id and fingerprint are told apart by their text.
-    twice = named.groupBy("doc_id", *names).count().filter("count > 1")
+    text_key = F.xxhash64("text").alias("text_key")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = ", ".join([f"doc_id {kind}, text_key long, node long, size long", *[f"{c} long" for c in names]])
+    prints = stored(map_arrow(docs.select("text", "doc_id", text_key), _set_prints(width, lanes), schema), "fps")
+    firsts = [F.first(c).alias(c) for c in ("size", *names)]
+    per_set = stored(prints.groupBy("node").agg(F.min("text_key").alias("text_key"), *firsts), "prints")
+    near = links(per_set, distance, segment_masks(2 * segments - 1, segments, BITS * lanes), lanes)
+    found = components(similar_links(per_set.select("node", "size", "text_key"), near, docs.select("text", text_key), width))
+    rooted = prints.select("doc_id", "text_key", "node").join(found, "node", "left")
+    named = stored(rooted.select("doc_id", "text_key", F.coalesce("component", "node").alias("root")), "classes")
+    least = named.groupBy("root").agg(F.min("doc_id").alias("least"))
+    losers = named.join(least, "root").filter(F.col("doc_id") != F.col("least")).select("doc_id").distinct()
+    twice = named.groupBy("doc_id", "text_key").count().filter("count > 1")
     if not twice.isEmpty():
         docs = docs.dropDuplicates(["doc_id", "text"])
     return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
