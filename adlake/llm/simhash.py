@@ -4,6 +4,9 @@ A fingerprint is cut into so few segments that two fingerprints within the dista
 differ by at most one bit in one segment (or joint group of segments). Every segment
 is indexed once per bit with that bit deleted; equal variants are the candidates, and
 each is verified on the whole fingerprint. Only distinct fingerprints take part.
+
+The stage of the pipeline takes its candidates from least hashes (MinHash) instead and
+decides by the exact similarity of the shingle sets.
 """
 
 from __future__ import annotations
@@ -307,21 +310,27 @@ def _part_links(distance: int, lanes: int):
 def links(
     distinct_fps: DataFrame, distance: int, masks: list[int], lanes: int = 1
 ) -> DataFrame:
-    """Rows (a, b) of nodes that connect the fingerprints (node, lanes) within ``distance``.
-
-    ``masks`` are the keys. Pairs are not listed one by one: every task gives each node the
-    smallest one that its links reach, so that a group of n nodes gives rows in proportion
-    to n. What pairs within the distance that share a variant connect, the rows connect.
-    """
+    """``keyed_links`` of the fingerprints (node, lanes), by the variants that ``masks`` give."""
     names = _lanes(lanes)
-    values = ", ".join(f"{c} long" for c in names)
     spread = map_arrow(
         distinct_fps.select("node", *names),
         _variants(masks, lanes),
-        f"key long, node long, {values}",
+        f"key long, node long, {', '.join(f'{c} long' for c in names)}",
         rows=8192,
     )
-    parts = int(distinct_fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keyed_links(spread, distance, lanes)
+
+
+def keyed_links(spread: DataFrame, distance: int, lanes: int = 1) -> DataFrame:
+    """Rows (a, b) of nodes that connect fingerprints (key, node, lanes) within ``distance``.
+
+    Nodes of one key are compared. Pairs are not listed one by one: every task gives each node the
+    smallest one that its links reach, so that a group of n nodes gives rows in proportion
+    to n. What pairs within the distance that share a key connect, the rows connect.
+    """
+    names = _lanes(lanes)
+    values = ", ".join(f"{c} long" for c in names)
+    parts = int(spread.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = spread.repartition(parts, "key").sortWithinPartitions("key")
     row = f"a long, b long, kind byte, key long, {values}"
     found = stored(map_arrow(dealt, _bucket_links(distance, lanes), row, rows=65536), "links")
@@ -401,23 +410,60 @@ SIMILAR = (4, 5)
 PART, PART_SHINGLES = 4096, 1 << 21
 
 
-def _set_prints(width: int, lanes: int):
-    """(text, columns ...) to (columns ..., node, size, lanes); ``node`` names the shingle set."""
+# Candidates: each band is a key of so many least hashes (MinHash). A pair of similarity s
+# shares a band with probability 1 - (1 - s ** ROWS) ** BANDS: all but 5e-8 at 0.8.
+BANDS, ROWS = 32, 4
+# One bit of each least hash: (1 - s) / 2 of the 128 differ, 13 in the mean at 0.8.
+# Pairs in a bucket that differ in more (5.7 standard deviations) are no candidates.
+APART = 32
+
+
+def _constants(name: bytes, count: int) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(name + b"%d" % i, HASH_SEED) for i in range(count)], np.uint64)
+
+
+_FACTORS = _constants(b"factor", BANDS * ROWS)[:, None] | np.uint64(1)
+_ADDED = _constants(b"added", BANDS * ROWS)[:, None]
+_PLACES = _constants(b"band", BANDS)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
+
+
+def _least(hashes: np.ndarray) -> np.ndarray:
+    """The least value of the hashes under each of the permutations; no hashes: the largest."""
+    out = np.full(BANDS * ROWS, _LANE, np.uint64)
+    for at in range(0, len(hashes), 256):
+        np.minimum(out, (hashes[at : at + 256] * _FACTORS + _ADDED).min(axis=1), out=out)
+    return out
+
+
+def _set_prints(width: int):
+    """(text, columns ...) to (columns ..., node, size, lanes, bands); ``node`` names the shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, hashes = [], [], [[] for _ in range(lanes)]
-            for text in batch.column(0):
+            nodes, sizes = [], []
+            least = np.empty((batch.num_rows, BANDS * ROWS), np.uint64)
+            for r, text in enumerate(batch.column(0)):
                 runs = shingles(text.as_py(), width, True)
-                for lane, found in enumerate(hashes):
-                    found.append(np.array([xxhash.xxh64_intdigest(s, HASH_SEED + lane) for s in runs], np.uint64))
-                nodes.append(xxhash.xxh64_intdigest(np.sort(hashes[0][-1]).tobytes(), HASH_SEED))
+                hashes = np.array([xxhash.xxh64_intdigest(s, HASH_SEED) for s in runs], np.uint64)
+                hashes.sort()
+                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), HASH_SEED))
                 sizes.append(len(runs))
-            marks = [_majority(np.concatenate(h), np.array(sizes, np.int64)).view(np.int64) if h else [] for h in hashes]
+                least[r] = _least(hashes)
+            bits = np.packbits((least * _MIX >> np.uint64(63)).astype(np.uint8), axis=1)
+            marks = np.ascontiguousarray(bits).view(np.int64).reshape(batch.num_rows, -1)
+            rows = least.reshape(batch.num_rows, BANDS, ROWS)
+            keys = np.tile(_PLACES, (batch.num_rows, 1))
+            for r in range(ROWS):
+                keys = (keys ^ rows[:, :, r]) * _MIX
+                keys ^= keys >> np.uint64(32)
+            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * BANDS
+            bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64)))
+            columns = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64())]
+            columns += [pa.array(np.ascontiguousarray(m)) for m in marks.T]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
-                 *[pa.array(m, pa.int64()) for m in marks]],
-                [*batch.schema.names[1:], "node", "size", *_lanes(lanes)],
+                [*batch.columns[1:], *columns, bands],
+                [*batch.schema.names[1:], "node", "size", *_lanes(marks.shape[1]), "bands"],
             )
 
     return run
@@ -516,27 +562,26 @@ def similar_links(prints: DataFrame, candidates: DataFrame, texts: DataFrame, wi
     return map_arrow(dealt, _group_links, "a long, b long")
 
 
-def drop_near_duplicates(
-    docs: DataFrame, width: int = 5, lanes: int = 2, distance: int = 24, segments: int = 8
-) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     """``docs`` with one row per class of near-duplicates: the one of smallest doc_id.
 
     Two texts are near-duplicates if the exact similarity (Jaccard) of their sets of
-    shingles is at least ``SIMILAR``; a class is what such pairs connect. Fingerprints of
-    ``lanes`` times 64 bits only name the candidates. Each distinct shingle counts once, so
-    that a line repeated in a text does not stand for the whole.
+    shingles is at least ``SIMILAR``; a class is what such pairs connect. Candidates share
+    one of ``BANDS`` keys and differ in at most ``APART`` of 128 bits. Each distinct shingle
+    counts once, so that a line repeated in a text does not stand for the whole.
 
     Texts without words form one class. A row of null doc_id stays unless it repeats
     another; of rows with equal doc_id and text one stays. All columns are kept.
     """
+    lanes = BANDS * ROWS // BITS
     names = _lanes(lanes)
     text_key = F.xxhash64("text").alias("text_key")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = ", ".join([f"doc_id {kind}, text_key long, node long, size long", *[f"{c} long" for c in names]])
-    prints = stored(map_arrow(docs.select("text", "doc_id", text_key), _set_prints(width, lanes), schema), "fps")
-    firsts = [F.first(c).alias(c) for c in ("size", *names)]
+    schema = ", ".join([f"doc_id {kind}, text_key long, node long, size long", *[f"{c} long" for c in names], "bands array<long>"])
+    prints = stored(map_arrow(docs.select("text", "doc_id", text_key), _set_prints(width), schema), "fps")
+    firsts = [F.first(c).alias(c) for c in ("size", *names, "bands")]
     per_set = stored(prints.groupBy("node").agg(F.min("text_key").alias("text_key"), *firsts), "prints")
-    near = links(per_set, distance, segment_masks(2 * segments - 1, segments, BITS * lanes), lanes)
+    near = keyed_links(per_set.select(F.explode("bands").alias("key"), "node", *names), APART, lanes)
     found = components(similar_links(per_set.select("node", "size", "text_key"), near, docs.select("text", text_key), width))
     rooted = prints.select("doc_id", "text_key", "node").join(found, "node", "left")
     named = stored(rooted.select("doc_id", "text_key", F.coalesce("component", "node").alias("root")), "classes")

@@ -73,3 +73,20 @@ def test_groups_in_parts(spark, monkeypatch):
         text[rng.randrange(10, 110)] = f"v{i}"
         docs.append((i, " ".join(text)))
     assert _left(spark, docs) == _kept(docs) == [0]
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.85])
+def test_pairs_at_the_limit_go(spark, similarity):
+    docs = [*_pairs(similarity, 300, 180), *_pairs(0.7, 20, 90)[1::2]]
+    docs = [(i, t) for i, (_, t) in enumerate(docs)]
+    kept = _kept(docs)
+    assert len(kept) == 320
+    assert _left(spark, docs) == kept
+
+
+def test_table_of_near_copies(spark):
+    rows = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").collect()
+    docs = [(r["doc_id"], r["text"]) for r in rows][:2500]
+    kept = _kept(docs)
+    assert len(kept) < len(docs)
+    assert _left(spark, docs) == kept
