@@ -1,12 +1,13 @@
 """Licence scan by sentence rules, in DataFrame functions.
 
-Texts are cut into sentences, the normalised sentences looked up among the known
+Texts are cut into sentences, wrapped lines joined again, the normalised sentences looked up among the known
 sentences of licences, and the sequence of identifiers found in a document matched
 against rules, each an ordered list of identifiers.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,6 +74,31 @@ def known_sentences(spark: SparkSession) -> DataFrame:
     return rows.select("sentence_id", normalized(F.col("sentence")).alias("sentence"))
 
 
+def pieces(text: Column) -> Column:
+    """The normalised text, a line for each piece; a sentence may go on in the next line.
+
+    Pieces are cut by ``BREAK``. After a full stop and at a blank line (one of comment marks
+    only, too) an empty line follows, over which no sentence goes on.
+    """
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    unmarked = F.regexp_replace(lowered, r"(?md)^[\x20\t]*[^a-z0-9\s]+[\x20\t]+", "")
+    stops = F.regexp_replace(unmarked, r"(?<=[.!?])(?:[\x20\t\r]*\n|[\x20\t]+)", "\n\n")
+    colons = F.regexp_replace(stops, r"(?<=:)[\x20\t]+(?![\x20\t\r\n])", "\n")
+    plain = F.regexp_replace(colons, r"[^a-z0-9.\n]+|\.(?![0-9])", " ")
+    lines = F.concat(F.lit("\n"), F.regexp_replace(plain, " +", " "), F.lit("\n"))
+    return F.regexp_replace(lines, " ?\n ?", "\n")
+
+
+def _plain(sentence: str) -> str:
+    return " ".join(re.sub(r"[^a-z0-9.]+|\.(?![0-9])", " ", sentence.lower()).split())
+
+
+def sentence_pattern() -> str:
+    """Any known sentence from one break to another, the longer of two first."""
+    known = sorted({_plain(v) for v in SENTENCES.values()}, key=lambda v: (-len(v), v))
+    return r"(?<=\n)(?:" + "|".join("[ \n]".join(map(re.escape, v.split())) for v in known) + r")(?=\n)"
+
+
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row (doc_id, n_sentences, sentence_ids, licenses, license_class) per row of ``docs``.
 
@@ -80,19 +106,17 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     text, ``licenses`` the licences of all rules that match, sorted and joined with
     commas (no rule: empty), and ``license_class`` is the class of the first such rule,
     in order of precedence, or ``none``. A rule matches if its sentences stand in the
-    text in its order. A sentence counts only as a whole; a licence line glued to other
-    words of its sentence is another sentence. Null and empty texts have no sentences.
+    text in its order. A sentence may be wrapped over lines, with comment marks before each,
+    but not over a blank line. It counts only as a whole; a licence line glued to other
+    words of its line is another sentence. Null and empty texts have no sentences.
     Repeated rows give equal results; other columns are left out.
     """
     wanted = {k: v for k, v in SENTENCES.items()}
     # The table of sentences is part of the code, so the map has a fixed size.
     known = F.create_map(*[x for k, v in sorted(wanted.items()) for x in (normalized(F.lit(v)), F.lit(k))])
-    # A cheap test on the first words leaves few sentences to normalise.
-    cues = "|".join(sorted({v.split()[0].lower() for v in wanted.values()}))
-    pieces = F.split(F.coalesce(F.col("text"), F.lit("")), BREAK, -1)
-    likely = F.filter(pieces, lambda s: s.rlike(rf"(?i)^[^a-z0-9]*(?:{cues})\b"))
+    found = F.regexp_extract_all(pieces(F.col("text")), F.lit(sentence_pattern()), F.lit(0))
     ids = F.filter(
-        F.transform(likely, lambda s: F.try_element_at(known, normalized(s))), lambda i: i.isNotNull()
+        F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " "))), lambda i: i.isNotNull()
     )
     listed = docs.select("doc_id", ids.alias("_ids")).withColumn(
         "_line", F.concat(F.lit(","), F.array_join("_ids", ","), F.lit(","))
