@@ -508,7 +508,8 @@ def _optional(module: str):
 
 
 _LLM = _optional("adlake.llm.queries")
-_PIPELINE = _optional("corpus_pipeline")
+# The pipeline is made of the operators of that subpackage.
+_PIPELINE = _optional("corpus_pipeline") if _LLM else None
 
 
 def _comparable(query: Query) -> Query:
