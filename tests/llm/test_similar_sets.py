@@ -11,7 +11,7 @@ from adlake.llm import simhash
 from adlake.llm.common import table
 
 
-def _kept(docs: list[tuple]) -> list:
+def kept_ids(docs: list[tuple]) -> list:
     """Ids of (doc_id, text) left if pairs at 0.8 or more, compared exactly, are connected."""
     sets = {d: frozenset(simhash.shingles(t, 5, True)) for d, t in docs}
     root = {d: d for d in sets}
@@ -51,8 +51,8 @@ def _left(spark, docs):
 
 def test_pairs_below_stay(spark):
     docs = _pairs(0.7, 150)
-    assert _kept(docs) == sorted(d for d, _ in docs)
-    assert _left(spark, docs) == _kept(docs)
+    assert kept_ids(docs) == sorted(d for d, _ in docs)
+    assert _left(spark, docs) == kept_ids(docs)
 
 
 def test_short_texts_stay(spark):
@@ -72,14 +72,14 @@ def test_groups_in_parts(spark, monkeypatch):
         text = base[:]
         text[rng.randrange(10, 110)] = f"v{i}"
         docs.append((i, " ".join(text)))
-    assert _left(spark, docs) == _kept(docs) == [0]
+    assert _left(spark, docs) == kept_ids(docs) == [0]
 
 
 @pytest.mark.parametrize("similarity", [0.8, 0.85])
 def test_pairs_at_the_limit_go(spark, similarity):
     docs = [*_pairs(similarity, 300, 180), *_pairs(0.7, 20, 90)[1::2]]
     docs = [(i, t) for i, (_, t) in enumerate(docs)]
-    kept = _kept(docs)
+    kept = kept_ids(docs)
     assert len(kept) == 320
     assert _left(spark, docs) == kept
 
@@ -87,6 +87,6 @@ def test_pairs_at_the_limit_go(spark, similarity):
 def test_table_of_near_copies(spark):
     rows = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").collect()
     docs = [(r["doc_id"], r["text"]) for r in rows][:2500]
-    kept = _kept(docs)
+    kept = kept_ids(docs)
     assert len(kept) < len(docs)
     assert _left(spark, docs) == kept
