@@ -221,6 +221,82 @@ select t.doc_id, length(h) // 2 as n_bytes, coalesce(n_removed, 0)::bigint as n_
 from texts t left join cut using (doc_id)"""
 
 
+def _least(*candidates: str) -> str:
+    return f"list_sort([{', '.join(candidates)}])[1]"
+
+
+def conversations() -> str:
+    """All conversations at once, row by row: the least (cost, audit) for each state.
+
+    Words of one cost that lead to one state are no prefixes of each other, so the least
+    of them stays the least whatever follows.
+    """
+
+    def edit(state: str, cost: str, letter: str, line: str) -> str:
+        more = f"{state}.t || [{line}]" if line else f"{state}.t"
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {more}}}"
+
+    def keep(state: str, initial: str) -> str:
+        return edit(state, f"extra + case when initial = '{initial}' then 0 else 1000000000 end", "K", "role || ':' || text")
+
+    def rerole(state: str, role: str) -> str:
+        return edit(state, "extra + 2", "R", f"'{role}:' || text")
+
+    def insert(state: str, role: str) -> str:
+        return edit(state, "2", "I", f"'{role}:'")
+
+    user = _least("s2", *[insert(f"s{n}", "user") for n in (0, 1, 3)])
+    none = "{'c': 1000000000000, 'a': '', 't': []::varchar[]}"
+    byte = "list_reduce(list_prepend(xor(acc, b), range(8)), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)"
+    blanks = r"\x20\x09-\x0D"
+    return rf"""
+with recursive given as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+hashed as (
+  select *, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(k, ''), lambda c: ord(c)::bigint)),
+                            lambda acc, b: {byte}), 4294967295) % 20 as fault from given),
+damaged as (
+  select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+         case when fault = 1 then '' when fault = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+         role as was, md5(text) as digest, unnest(case when fault = 3 then [0, 1] else [0] end) as copy
+  from hashed where fault <> 0),
+numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, was, digest, copy) as i, left(role, 1) as initial,
+         not regexp_matches(text, '[^{blanks}]') as blank, regexp_matches(text, '[^.!?{blanks}][{blanks}]*\z') as cut
+  from damaged),
+flagged as (
+  select *, not blank and row_number() over (partition by conv_id, role, text order by i) > 1 as twice,
+         lag(initial) over (partition by conv_id order by i) || initial as pair from numbered),
+steps as (
+  select *, case when blank or twice then 1000000000 when cut then 1 else 0 end as extra from flagged),
+walk as (
+  select conv_id, 0::bigint as i, {{'c': 0::bigint, 'a': '', 't': []::varchar[]}} as s0, {none} as s1, {none} as s2, {none} as s3
+  from (select distinct conv_id from damaged)
+  union all
+  select w.conv_id, w.i + 1, {edit('s0', '3', 'D', '')},
+         {_least(edit('s1', '3', 'D', ''), keep('s0', 's'))},
+         {_least(edit('s2', '3', 'D', ''), *[keep(f's{n}', 'u') for n in (0, 1, 3)], *[rerole(f's{n}', 'user') for n in (0, 1, 3)])},
+         {_least(edit('s3', '3', 'D', ''), keep('s2', 'a'), rerole('s2', 'assistant'))}
+  from (select conv_id, i, s0, s1, u as s2, {_least('s3', insert('u', 'assistant'))} as s3
+        from (select *, {user} as u from walk)) w
+  join steps r on r.conv_id is not distinct from w.conv_id and r.i = w.i + 1),
+closed as (
+  select conv_id, i, {_least('s0', 's3', insert(user, 'assistant'))} as s from walk),
+sums as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (where blank) as blank, count(*) filter (where twice) as duplicate,
+         count(*) filter (where not blank and not twice and cut) as truncated,
+         count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal, count(*) as n
+  from steps group by conv_id),
+solved as (
+  select m.*, c.s from sums m join closed c on c.conv_id is not distinct from m.conv_id and c.i = m.n)
+select g.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+       coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(s.c, 0)::bigint as cost,
+       coalesce(s.a, '') as audit, sha256(coalesce(array_to_string(s.t, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) g left join solved v on v.conv_id is not distinct from g.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mixing": mix(),
@@ -229,4 +305,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_topk": nearest(),
         "op9_pii": personal_data(),
         "op10_warc": archive(),
+        "op11_conversations": conversations(),
     }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.llm import (
+    conversations,
     decontam,
     langid,
     licenses,
@@ -73,6 +74,11 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.read_warc(manifest, root)
 
 
+def op11_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    given = table(spark, sf, "conversations")
+    return conversations.repair(given, conversations.damage(given))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_mixing,
@@ -85,6 +91,7 @@ def queries() -> dict[str, Query]:
         op8_topk,
         op9_pii,
         op10_warc,
+        op11_conversations,
     )
     return {f.__name__: f for f in named}
 
