@@ -297,6 +297,44 @@ select g.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint
 from (select distinct conv_id from conversations) g left join solved v on v.conv_id is not distinct from g.conv_id"""
 
 
+def clusters(k: int = 8, rounds: int = 10, seed: int = 3) -> str:
+    """Round by round, each one's centroids (number, place, value) from the round before."""
+
+    def assigned(number: int) -> str:
+        return f"""
+a{number} as materialized (
+  select n, arg_min(number, (d, number)) as cluster, min(d) as distance from (
+    select n, number, sum((v.x - c.x) * (v.x - c.x)) as d
+    from long v join c{number} c using (place) group by n, number) group by n)"""
+
+    def moved(number: int) -> str:
+        floor = "(s - ((s % m) + m) % m) // m"
+        return f"""
+c{number + 1} as materialized (
+  select c.number, c.place, coalesce(x, c.x)::bigint as x from c{number} c left join (
+    select cluster as number, place, {floor} as x from (
+      select cluster, place, sum(x)::hugeint as s, count(*)::hugeint as m from a{number} join long using (n) group by cluster, place))
+  m using (number, place))"""
+
+    steps = ",".join(assigned(r) + "," + moved(r) for r in range(rounds)) + "," + assigned(rounds)
+    return f"""
+with kept as (
+  select row_number() over () as n, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+held as materialized (select * from kept),
+long as materialized (select n, unnest(range(64)) as place, unnest(v) as x from held),
+seeds as (
+  select n, row_number() over (order by sha256('{seed}:' || coalesce(vec_id::varchar, '')), v) - 1 as number from held
+  qualify number < {k}),
+c0 as materialized (select number, place, x from seeds join long using (n)),{steps},
+digests as (
+  select number as cluster, sha256(string_agg(x::varchar, ',' order by place)) as centroid_sha256 from c{rounds} group by number)
+select vec_id, cluster::int as cluster, distance::bigint as distance,
+       (sum(distance) over (partition by cluster))::bigint as cluster_inertia, (sum(distance) over ())::bigint as inertia,
+       centroid_sha256
+from held join a{rounds} using (n) join digests using (cluster)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mixing": mix(),
@@ -306,4 +344,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_pii": personal_data(),
         "op10_warc": archive(),
         "op11_conversations": conversations(),
+        "op13_centroids": clusters(),
     }

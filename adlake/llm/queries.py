@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.llm import (
+    centroids,
     conversations,
     decontam,
     langid,
@@ -79,6 +80,10 @@ def op11_conversations(spark: SparkSession, sf: str) -> DataFrame:
     return conversations.repair(given, conversations.damage(given))
 
 
+def op13_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.cluster(centroids.whole_vectors(table(spark, sf, "embeddings")))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_mixing,
@@ -92,6 +97,7 @@ def queries() -> dict[str, Query]:
         op9_pii,
         op10_warc,
         op11_conversations,
+        op13_centroids,
     )
     return {f.__name__: f for f in named}
 
