@@ -297,6 +297,20 @@ select g.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint
 from (select distinct conv_id from conversations) g left join solved v on v.conv_id is not distinct from g.conv_id"""
 
 
+def main_text() -> str:
+    """The given pages hold one article each, marked as such and without chrome inside."""
+    return r"""
+with articles as (
+  select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) as t from pages),
+plain as (
+  select page_id, url, regexp_replace(regexp_replace(t, '</?(p|h1|br)>', ' ', 'g'), '</?b>', '', 'g') as t from articles),
+decoded as (
+  select page_id, url, regexp_replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') as t
+  from plain),
+texts as (select page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) as text from decoded)
+select page_id, url, text, length(text)::bigint as n_chars from texts"""
+
+
 def clusters(k: int = 8, rounds: int = 10, seed: int = 3) -> str:
     """Round by round, each one's centroids (number, place, value) from the round before."""
 
@@ -311,7 +325,7 @@ a{number} as materialized (
         floor = "(s - ((s % m) + m) % m) // m"
         return f"""
 c{number + 1} as materialized (
-  select c.number, c.place, coalesce(x, c.x)::bigint as x from c{number} c left join (
+  select c.number, c.place, coalesce(m.x, c.x)::bigint as x from c{number} c left join (
     select cluster as number, place, {floor} as x from (
       select cluster, place, sum(x)::hugeint as s, count(*)::hugeint as m from a{number} join long using (n) group by cluster, place))
   m using (number, place))"""
@@ -344,5 +358,6 @@ def oracle_sql() -> dict[str, str]:
         "op9_pii": personal_data(),
         "op10_warc": archive(),
         "op11_conversations": conversations(),
+        "op12_main_text": main_text(),
         "op13_centroids": clusters(),
     }

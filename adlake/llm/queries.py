@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.llm import (
+    blocks,
     centroids,
     conversations,
     decontam,
@@ -80,6 +81,10 @@ def op11_conversations(spark: SparkSession, sf: str) -> DataFrame:
     return conversations.repair(given, conversations.damage(given))
 
 
+def op12_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return blocks.extract(table(spark, sf, "pages"))
+
+
 def op13_centroids(spark: SparkSession, sf: str) -> DataFrame:
     return centroids.cluster(centroids.whole_vectors(table(spark, sf, "embeddings")))
 
@@ -97,6 +102,7 @@ def queries() -> dict[str, Query]:
         op9_pii,
         op10_warc,
         op11_conversations,
+        op12_main_text,
         op13_centroids,
     )
     return {f.__name__: f for f in named}
