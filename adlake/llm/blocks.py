@@ -51,7 +51,7 @@ CLOSE_P = frozenset(
 HEAD = frozenset("html head title meta link script style base noscript template".split())
 MARK = "data-main"
 
-PAGES, ROUNDS, RATE, DECAY = 500, 80, 0.2, 1e-4
+PAGES, ROUNDS, RATE, DECAY = 600, 120, 0.15, 1e-4
 CHROME, TEXT = 0, 1
 
 
@@ -121,7 +121,8 @@ class _Reader(HTMLParser):
                 return
 
     def handle_endtag(self, tag: str) -> None:
-        if tag not in INLINE:
+        # What was never opened ends nothing, but for </p>, which is an empty paragraph.
+        if tag not in INLINE and (self.opened.get(tag) or tag in ("p", "br")):
             self.current = None
         if not self.opened.get(tag):
             return
