@@ -150,7 +150,9 @@ def read_blocks(html: str | None) -> list[tuple[str, Block]]:
     """(text, block) of every leaf block with text, in page order; white space is one space."""
     reader = _Reader()
     reader.feed(html or "")
-    reader.close()
+    # A tag or comment that the page ends in is no text.
+    if not re.match(r"<[a-zA-Z/!?]", reader.rawdata):
+        reader.close()
     texts = ((" ".join("".join(b.parts).split()), b) for b in reader.blocks)
     return [(text, block) for text, block in texts if text]
 
@@ -269,6 +271,8 @@ class _Maker:
         roll = rng.random()
         if roll < 0.15:
             head = f"<header>{head}</header>"
+        elif roll < 0.35:
+            head = ""
         for kind in ("ad", "aside", "form", "social", "notice", "nav"):
             if rng.random() < 0.08:
                 parts.insert(rng.randint(0, len(parts)), self.chrome(kind))
@@ -288,6 +292,8 @@ class _Maker:
         rng = self.rng
         before = [k for k in ("header", "nav", "notice", "ad", "form", "social") if rng.random() < 0.4]
         after = [k for k in ("aside", "comments", "ad", "social", "nav", "footer", "notice") if rng.random() < 0.4]
+        if rng.random() < 0.15:
+            before, after = [], []
         rng.shuffle(before)
         body = "".join(map(self.chrome, before)) + self.article() + "".join(map(self.chrome, after))
         if rng.random() < 0.3:
