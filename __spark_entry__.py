@@ -379,6 +379,7 @@ def _queries() -> dict[str, Query]:
         "user_click_rate": _user_click_rate,
         "campaign_ctr_history": _campaign_ctr_history,
         "ctr_training_data": _training,
+        "ctr_training_as_of": lambda spark, sf: feat.training_set_as_of(_staged(spark, sf)),
         "user_features": _features,
         "user_features_compat": lambda spark, sf: _features(spark, sf, compat=True),
         # campaign reports

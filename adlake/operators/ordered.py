@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +46,54 @@ def running_total(
     )
 
 
+def running_totals_by(
+    df: DataFrame, by: str, order_by: Sequence[Column | str], totals: Mapping[str, Column | str]
+) -> DataFrame:
+    """Add per key the sums over its rows up to and including this one, for each of ``totals``.
+
+    A key may own any share of the rows: they are dealt into ranges of (key, order), summed
+    inside each range, and what the key had in the ranges before is added. Only the first
+    key of a range can have such rows, so one row per range is carried over. Null keys form
+    a key of their own. Rows that are equal in ``order_by`` are summed in no fixed order.
+    """
+    order = [as_column(c) for c in order_by]
+    values = {f"_value{i}": as_column(v) for i, v in enumerate(totals.values())}
+    ranged = materialize(
+        df.withColumns(values)
+        .repartitionByRange(by, *order)
+        .withColumn("_range", F.spark_partition_id())
+    )
+    firsts = ranged.groupBy("_range").agg(F.min(F.struct(F.col(by).alias("key"))).alias("_first"))
+    # One row per shuffle partition each, so the broadcasts and this window stay small.
+    border = firsts.select(F.col("_first.key").alias("_key")).distinct()
+    same_key = F.col(by).eqNullSafe(F.col("_key"))
+    sums = (
+        ranged.join(F.broadcast(border), same_key)
+        .groupBy("_range", "_key")
+        .agg(*[F.sum(v).alias(v) for v in values])
+    )
+    before = Window.partitionBy("_key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(
+        F.col("_range").alias("_at"),
+        "_key",
+        *[F.sum(v).over(before).alias(f"{v}_before") for v in values],
+    )
+    inside = (
+        Window.partitionBy("_range", by)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    sofar = {
+        out: F.coalesce(F.col(f"{v}_before"), F.lit(0)) + F.coalesce(F.sum(v).over(inside), F.lit(0))
+        for out, v in zip(totals, values)
+    }
+    return (
+        ranged.join(F.broadcast(carried), (F.col("_range") == F.col("_at")) & same_key, "left")
+        .withColumns(sofar)
+        .drop("_range", "_at", "_key", *values, *[f"{v}_before" for v in values])
+    )
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probs: Sequence[float], by: str | None = None
 ) -> DataFrame:

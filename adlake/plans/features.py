@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.scalars import day_of_week, days_between, peak_hour_flag, ratio
+from adlake.operators.ordered import running_totals_by
 from adlake.session import materialize
 
 PAIR = ["user_id", "campaign_id"]
@@ -83,33 +84,27 @@ def click_label(first_click_time: Column, impression_time: Column) -> Column:
     return F.when(hit, 1).otherwise(0)
 
 
-def training_set(staged: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per impression with user, campaign and history features and the label.
-
-    The impression log is read once: joined with the clicked pairs and stored narrow, as
-    the rates, the history and the rows all need it. What is known per user (or per
-    campaign) is combined first, so that the log is joined once per key. The history
-    features use the whole log, including the labelled events.
-    """
-    clicks = staged["clicks"]
+def _dimensions(staged: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Users and campaigns whose attributes the click model needs and are known."""
     users = staged["users"].select("user_id", "region", "device", "subscription_tier")
-    users = users.filter(F.col("region").isNotNull() & F.col("device").isNotNull())
     campaigns = staged["campaigns"].select("campaign_id", "ad_format", "target_region", "budget")
-    campaigns = campaigns.filter(
-        F.col("ad_format").isNotNull() & F.col("target_region").isNotNull()
+    return (
+        users.filter(F.col("region").isNotNull() & F.col("device").isNotNull()),
+        campaigns.filter(F.col("ad_format").isNotNull() & F.col("target_region").isNotNull()),
     )
-    log = materialize(
+
+
+def _click_log(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """The impressions with the first click of their pair, stored narrow: the log is read once."""
+    return materialize(
         staged["impressions"]
         .select("impression_id", *PAIR, F.col("timestamp").alias("impression_time"))
-        .join(first_click(clicks).withColumn("_paired", F.lit(True)), PAIR, "left"),
+        .join(first_click(staged["clicks"]).withColumn("_paired", F.lit(True)), PAIR, "left"),
         "log",
     )
-    matched = log.filter("_paired")
-    rates = _click_rate(matched)
-    history = _ctr_history(log, matched.select(*PAIR).distinct(), clicks)
-    per_user = users.join(rates, "user_id", "left")
-    per_campaign = campaigns.join(history, "campaign_id", "left")
-    base = log.join(per_user, "user_id").join(per_campaign, "campaign_id")
+
+
+def _training_rows(base: DataFrame) -> DataFrame:
     time = F.col("impression_time")
     return base.select(
         "impression_id",
@@ -130,6 +125,107 @@ def training_set(staged: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def training_set(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per impression with user, campaign and history features and the label.
+
+    The impression log is read once: joined with the clicked pairs and stored narrow, as
+    the rates, the history and the rows all need it. What is known per user (or per
+    campaign) is combined first, so that the log is joined once per key. The history
+    features use the whole log, including the labelled events; ``training_set_as_of``
+    uses only what was known before each impression.
+    """
+    users, campaigns = _dimensions(staged)
+    log = _click_log(staged)
+    matched = log.filter("_paired")
+    rates = _click_rate(matched)
+    history = _ctr_history(log, matched.select(*PAIR).distinct(), staged["clicks"])
+    per_user = users.join(rates, "user_id", "left")
+    per_campaign = campaigns.join(history, "campaign_id", "left")
+    return _training_rows(log.join(per_user, "user_id").join(per_campaign, "campaign_id"))
+
+
+def _counted_before(rows: DataFrame, key: str, events: Mapping[str, DataFrame]) -> DataFrame:
+    """Add to ``rows`` (with impression_time) how many events of their key came before.
+
+    ``events`` maps a new column to a frame (key, at), one row for each thing that counts,
+    at the time from which it does. Rows and events are put on one time axis per key, the
+    rows ahead of the events of the same moment, and the events are summed along it.
+    """
+    kept = [c for c in rows.columns if c != key]
+    axis = rows.select(
+        key, F.col("impression_time").alias("at"), F.lit(0).alias("event"), F.struct(*kept).alias("row"),
+        *[F.lit(0).cast("long").alias(c) for c in events],
+    )
+    shape = axis.schema["row"].dataType
+    for name, frame in events.items():
+        # Summed per moment first: copies of a moment are one row.
+        steps = frame.groupBy(key, "at").agg(F.count(F.lit(1)).alias("n"))
+        axis = axis.union(
+            steps.select(
+                key, "at", F.lit(1), F.lit(None).cast(shape),
+                *[(F.col("n") if c == name else F.lit(0).cast("long")).alias(c) for c in events],
+            )
+        )
+    summed = running_totals_by(axis, key, ["at", "event"], {f"_{c}": c for c in events})
+    return summed.filter("event = 0").select(
+        key, "row.*", *[F.col(f"_{c}").alias(c) for c in events]
+    )
+
+
+def history_as_of(log: DataFrame, clicks: DataFrame) -> DataFrame:
+    """Add both history features as they stood before each impression of ``log``.
+
+    ``log`` holds impression_id, the pair, impression_time and first_click_time, the first
+    click of the pair. Something counts from the moment on at which all of it is known:
+
+    - a campaign of a user from its first view or first click by the user, the later one;
+    - an impression of a user from its own time or that first click, the later one;
+    - an impression of a campaign from its own time;
+    - a click of a campaign from its own time or the user's first view, the later one.
+
+    Repeated ids count once per user or campaign, from the earliest such moment. Events at
+    the very time of an impression are not before it. Events without a time never count,
+    and impressions without one have no history. Nothing is joined by time.
+    """
+    known = log.filter(F.col("impression_time").isNotNull())
+    paired = known.filter(F.col("first_click_time").isNotNull())
+    both = F.greatest("impression_time", "first_click_time")
+    per_user = {
+        "campaigns": paired.groupBy(*PAIR).agg(F.min(both).alias("at")),
+        "impressions": paired.groupBy("user_id", "impression_id").agg(F.min(both).alias("at")),
+    }
+    views = known.groupBy(*PAIR).agg(F.min("impression_time").alias("first_view"))
+    seen_clicks = (
+        clicks.filter(F.col("timestamp").isNotNull())
+        .select("click_id", "timestamp", *PAIR)
+        .join(views, PAIR)
+        .groupBy("campaign_id", "click_id")
+        .agg(F.min(F.greatest("timestamp", "first_view")).alias("at"))
+    )
+    per_campaign = {
+        "clicks": seen_clicks,
+        "shown": known.groupBy("campaign_id", "impression_id").agg(F.min("impression_time").alias("at")),
+    }
+    rows = _counted_before(known, "user_id", per_user)
+    rate = ratio("campaigns", "impressions").alias("user_click_rate")
+    rows = rows.select(*known.columns, rate)
+    rows = _counted_before(rows, "campaign_id", per_campaign)
+    history = ratio("clicks", "shown").alias("campaign_ctr_history")
+    timeless = log.filter(F.col("impression_time").isNull())
+    nothing = [F.lit(None).cast("double").alias(c) for c in ("user_click_rate", "campaign_ctr_history")]
+    return rows.select(*known.columns, "user_click_rate", history).union(timeless.select("*", *nothing))
+
+
+def training_set_as_of(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """``training_set`` with the history features as they stood before each impression.
+
+    No feature of a row knows its label or anything else that came at or after it.
+    """
+    users, campaigns = _dimensions(staged)
+    rows = history_as_of(_click_log(staged), staged["clicks"])
+    return _training_rows(rows.join(users, "user_id").join(campaigns, "campaign_id"))
+
+
 def _per_user(events: DataFrame, key: str, out: str, *extra: Column) -> DataFrame:
     return events.groupBy("user_id").agg(
         F.countDistinct(key).alias(out), F.count(F.lit(1)).alias(f"_{out}_rows"), *extra
