@@ -24,7 +24,7 @@ from adlake.plans.pipeline import LOGS
 from adlake.plans.silver import repair_money, silver, unparsed_values
 from adlake.plans.staging import stage_all
 from adlake.session import materialize, work_path
-from adlake.sources import landing, tables, testdata
+from adlake.sources import landing, tables, testdata, versions
 from adlake.sources.schemas import ENTITIES, PREDICTIONS_SCHEMA
 from adlake.streaming import daily, ingest
 
@@ -332,6 +332,22 @@ def _publish_audit(spark: SparkSession, sf: str) -> DataFrame:
     return rows[0].union(rows[1])
 
 
+def _replaced_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that is replaced from itself: as its readers still see it, as it is, by number."""
+    path = work_path(spark, "campaigns")
+    versions.replace(_staged(spark, sf)["campaigns"], path, partition_by="ad_format")
+    pinned = versions.read(spark, path)
+    versions.replace(pinned.filter("ad_format = 'video'"), path, partition_by="ad_format")
+    seen = {"pinned": pinned, "current": versions.read(spark, path), "first": versions.read(spark, path, 1)}
+    rows = [
+        df.agg(F.count(F.lit(1)).alias("campaigns"), F.sum("budget").alias("budget")).select(
+            F.lit(name).alias("name"), "campaigns", "budget"
+        )
+        for name, df in seen.items()
+    ]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
 def _stored_model(spark: SparkSession, sf: str) -> DataFrame:
     """The mart under a name, kept in memory, and asked in SQL."""
     tables.register_model(tables.cache_result(_mart(spark, sf)), "adlake_mart")
@@ -487,6 +503,7 @@ def _queries() -> dict[str, Query]:
         # tables
         "daily_report_range": _daily_report_range,
         "publish_audit": _publish_audit,
+        "replaced_table": _replaced_table,
         "stored_model": _stored_model,
         "optional_tables": _optional_tables,
         "catalog_columns": _catalog_columns,

@@ -84,7 +84,7 @@ def build_results(
 
 
 def read_result(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(layer_path(root, "gold", name))
+    return read_layer(spark, root, "gold", name)
 
 
 def today() -> Column:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adlake.sources import versions
+
 
 class LazyTables(Mapping[str, DataFrame]):
     """Named frames, each defined when it is first asked for."""
@@ -55,7 +57,8 @@ def layer_path(root: str, layer: str, entity: str) -> str:
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, entity: str) -> DataFrame:
-    return spark.read.parquet(layer_path(root, layer, entity))
+    """An entity as it is now: the current version, or the files of a plain folder."""
+    return load_table(spark, layer_path(root, layer, entity), "parquet")
 
 
 def write_layer(
@@ -66,15 +69,12 @@ def write_layer(
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Overwrite a Parquet folder.
+    """Replace a Parquet table in one step (see ``versions``).
 
     With ``partition_by`` (such as an event date) the reports on a date range read
     only their folders.
     """
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    versions.replace(df, path, partition_by=partition_by)
 
 
 def publish(
@@ -85,20 +85,28 @@ def publish(
 ) -> int:
     """Replace a result table and return the number of rows written.
 
-    ``fmt`` is ``table`` (catalog), ``jdbc`` (``options`` hold url, user, ...) or a
-    file format with ``target`` as path. The rows are counted while they are
-    written, not in a second scan.
+    ``fmt`` is ``table`` (catalog), ``jdbc`` (``options`` hold url, user, ...), ``view`` or
+    a file format with ``target`` as path. Files are replaced in one step: whoever reads
+    them meanwhile has the whole old table, and keeps it if the write fails. ``view`` keeps
+    such files at ``options["path"]`` and points the view of this name at the new ones. The
+    rows are counted while they are written, not in a second scan.
     """
+    if fmt == "view":
+        path = (options or {})["path"]
+        done = versions.replace(df, path)
+        files = f"{path.rstrip('/')}/{done.folder}".replace("`", "``")
+        df.sparkSession.sql(f"create or replace view {target} as select * from parquet.`{files}`")
+        return done.rows
+    if fmt not in ("table", "jdbc"):
+        return versions.replace(df, target, fmt, options=options).rows
     audit = Observation()
     counted = df.observe(audit, F.count(F.lit(1)).alias("rows"))
     if fmt == "table":
         counted.write.mode("overwrite").saveAsTable(target)
-    elif fmt == "jdbc":
+    else:
         counted.write.format("jdbc").options(dbtable=target, **(options or {})).mode(
             "overwrite"
         ).save()
-    else:
-        counted.write.format(fmt).options(**(options or {})).mode("overwrite").save(target)
     return audit.get["rows"]
 
 
@@ -108,13 +116,18 @@ def load_table(
     fmt: str = "table",
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """A catalog table, a SQL text (``fmt='sql'``), a JDBC table or a file folder."""
+    """A catalog table, a SQL text (``fmt='sql'``), a JDBC table or a file folder.
+
+    A folder that was replaced in versions gives the current one.
+    """
     if fmt == "table":
         return spark.table(name)
     if fmt == "sql":
         return spark.sql(name)
     if fmt == "jdbc":
         return spark.read.format("jdbc").options(dbtable=name, **(options or {})).load()
+    if versions.is_versioned(spark, name):
+        return versions.read(spark, name)
     return spark.read.format(fmt).options(**(options or {})).load(name)
 
 

@@ -119,7 +119,7 @@ def test_partitioned_write_prunes(spark, tmp_path):
     path = str(tmp_path / "clicks")
     clicks = testdata.silver_tables(spark, SF)["clicks"].withColumn("event_date", F.to_date("timestamp"))
     tables.write_parquet(clicks, path, "event_date")
-    back = spark.read.parquet(path).filter(F.col("event_date") == "2024-01-05")
+    back = tables.load_table(spark, path, "parquet").filter(F.col("event_date") == "2024-01-05")
     plan = back._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert back.count() == clicks.filter(F.col("event_date") == "2024-01-05").count() > 0
