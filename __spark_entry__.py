@@ -253,32 +253,55 @@ def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return silver(landing.to_bronze(landing.read_messages(spark, topic, "text")), "campaigns")
 
 
-def _stream_silver(entity: str) -> Query:
-    """Records in six files, the newest days first, each file a micro-batch of two jobs.
+def _feed(spark: SparkSession, sf: str, entity: str) -> tuple[str, dict[str, str]]:
+    """Records in six parts, the newest days first, and the options that read part by part.
 
-    Second copies stand in the last file, records without a time in any.
+    Second copies stand in the last part, records without a time in any. Each part is
+    written by as many tasks as a shuffle has.
     """
+    topic = work_path(spark, "topic")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    records = testdata.bronze_records(spark, sf, entity, with_copy=True)
+    when = F.get_json_object("json_record", "$.timestamp").try_cast("timestamp")
+    by_day = F.coalesce(31 - F.dayofmonth(when), F.pmod(F.xxhash64("json_record"), F.lit(30)))
+    part = F.when(F.col("copy") == 2, 5).otherwise(F.least(F.floor(by_day / 6), F.lit(4)))
+    placed = materialize(records.select(F.col("json_record").alias("value"), part.alias("part")))
+    for number in range(6):
+        rows = placed.filter(F.col("part") == number).select("value").repartition(files)
+        landing.write_messages(rows, topic, "text")
+    return topic, {"maxFilesPerTrigger": str(files)}
+
+
+def _stream_silver(entity: str) -> Query:
+    """The feed through bronze to silver, in micro-batches of two jobs."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        topic, bronze, out = (work_path(spark, n) for n in ("topic", "bronze", "silver"))
-        records = testdata.bronze_records(spark, sf, entity, with_copy=True)
-        when = F.get_json_object("json_record", "$.timestamp").try_cast("timestamp")
-        by_day = F.coalesce(31 - F.dayofmonth(when), F.pmod(F.xxhash64("json_record"), F.lit(30)))
-        part = F.when(F.col("copy") == 2, 5).otherwise(F.least(F.floor(by_day / 6), F.lit(4)))
-        placed = materialize(records.select(F.col("json_record").alias("value"), part.alias("part")))
-        for number in range(6):
-            rows = placed.filter(F.col("part") == number).select("value").coalesce(1)
-            landing.write_messages(rows, topic, "text")
-        one = {"maxFilesPerTrigger": "1"}
-        messages = landing.stream_messages(spark, topic, "text", one)
+        topic, some = _feed(spark, sf, entity)
+        bronze, out = work_path(spark, "bronze"), work_path(spark, "silver")
+        messages = landing.stream_messages(spark, topic, "text", some)
         ingest.land_bronze(messages, bronze, work_path(spark, "landing"))
-        landed = landing.stream_messages(spark, bronze, "parquet", one)
+        landed = landing.stream_messages(spark, bronze, "parquet", some)
         ingest.stream_silver(landed, entity, out, work_path(spark, "cleaning"))
         return ingest.read_silver(spark, entity, out)
 
     return run
 
 
+def _stream_state(entity: str) -> Query:
+    """The feed to silver by remembered digests: ten days recent, the days before compared."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        topic, some = _feed(spark, sf, entity)
+        out = work_path(spark, "silver")
+        bronze = landing.to_bronze(landing.stream_messages(spark, topic, "text", some))
+        clock = F.lit("2024-01-31 00:00:00").cast("timestamp")
+        how = {"horizon_hours": 240, "clock": clock}
+        ingest.stream_silver_by_state(bronze, entity, out, work_path(spark, "cleaning"), **how)
+        return ingest.read_silver(spark, entity, out)
+
+    return run
+
+
 def _stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
     """All days of the event stream, per kind of event."""
     kinds = testdata.EVENT_TYPES
@@ -510,6 +533,8 @@ def _queries() -> dict[str, Query]:
         # streaming
         "stream_silver_clicks": _stream_silver("clicks"),
         "stream_silver_conversions": _stream_silver("conversions"),
+        "stream_state_clicks": _stream_state("clicks"),
+        "stream_state_users": _stream_state("users"),
         "stream_daily_counts": _stream_daily_counts,
     }
     return named
