@@ -6,24 +6,23 @@ import importlib
 import os
 import sys
 from collections.abc import Callable
-from functools import lru_cache
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import oracle_queries
 from adlake.functions.scalars import ratio, rounded, safe_divide
 from adlake.operators import quality
-from adlake.plans import ctr_model, examples, reports, segments
+from adlake.plans import ctr_model, examples, model_store, reports, segments
 from adlake.plans import features as feat
 from adlake.plans.marts import campaign_performance, campaign_summary
 from adlake.plans.pipeline import LOGS
 from adlake.plans.silver import repair_money, silver, unparsed_values
 from adlake.plans.staging import stage_all
-from adlake.session import materialize, work_path
+from adlake.session import materialize, work_dir, work_path
 from adlake.sources import landing, tables, testdata, versions
 from adlake.sources.schemas import ENTITIES, PREDICTIONS_SCHEMA
 from adlake.streaming import daily, ingest
@@ -144,26 +143,59 @@ def _train_part(spark: SparkSession, sf: str) -> DataFrame:
     return ctr_model.split(_labelled(spark, sf, *ctr_model.SCALED)).filter(~F.col("is_test"))
 
 
-@lru_cache(maxsize=1)
-def _trained(spark: SparkSession, sf: str) -> tuple[ctr_model.ClickModel, DataFrame]:
-    """Model and test predictions; both trained queries of a session share one fit."""
-    return ctr_model.train_and_score(materialize(_training(spark, sf)))
+def _model_store(spark: SparkSession) -> str:
+    return f"{work_dir(spark).rstrip('/')}/models/clicks"
 
 
-def _trained_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """The test rows as the model saw them, and whether score and class are sound."""
+def _marked(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(ctr_model.split(materialize(_training(spark, sf))))
+
+
+def _click_model(spark: SparkSession, sf: str, marked: DataFrame | None = None) -> ctr_model.ClickModel:
+    """The stored model of these files; the trained queries share one fit, in whatever session."""
+
+    def fit() -> tuple[ctr_model.ClickModel, int]:
+        rows = _marked(spark, sf) if marked is None else marked
+        train = rows.filter(~F.col("is_test"))
+        return ctr_model.fit(train), train.count()
+
+    return model_store.get_or_fit(spark, _model_store(spark), _raw(spark, sf), fit)
+
+
+def _sound(predictions: DataFrame) -> DataFrame:
+    """The rows as the model saw them, and whether score and class are sound."""
     prob = F.col("predicted_prob")
     predicted = F.coalesce((F.col("predicted_clicked") == 1) == (prob >= 0.5), F.lit(False))
-    return _trained(spark, sf)[1].select(
+    return predictions.select(
         *[c for c in PREDICTIONS_SCHEMA.names if not c.startswith("predicted_")],
         F.coalesce(prob.between(0, 1), F.lit(False)).alias("score_sound"),
         predicted.alias("class_sound"),
     )
 
 
+def _trained_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    marked = _marked(spark, sf)
+    model = _click_model(spark, sf, marked)
+    return _sound(ctr_model.predict(model, marked.filter("is_test")))
+
+
+def _scored_from_store(spark: SparkSession, sf: str) -> DataFrame:
+    """All impressions, scored by the stored model without a fit of their own."""
+    _click_model(spark, sf)
+    model = model_store.load(spark, _model_store(spark))
+    return _sound(ctr_model.predict(model, _training(spark, sf)))
+
+
+def _model_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest model of the store: the rows it was fitted to and how its inputs are scaled."""
+    _click_model(spark, sf)
+    newest = model_store.model_table(spark, _model_store(spark)).orderBy(F.desc("version")).limit(1)
+    return newest.select("fit_rows", F.inline("scaled"))
+
+
 def _trained_importance(spark: SparkSession, sf: str) -> DataFrame:
     """The features that the model ranks; shares of the whole, as they add up to 1."""
-    found = ctr_model.feature_importance(spark, _trained(spark, sf)[0])
+    found = ctr_model.feature_importance(spark, _click_model(spark, sf))
     total = found.agg(F.sum("importance").alias("total"))
     return found.select(
         "feature", (F.col("importance") >= 0).alias("sound"), total.scalar().alias("total")
@@ -171,7 +203,29 @@ def _trained_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _top_features(spark: SparkSession, sf: str) -> DataFrame:
-    """The ten model inputs that vary most against their mean over all training rows."""
+    """The ten features that the stored model ranks highest, and whether they are just these.
+
+    Ranked: not above the one before. Above: not below the features left out. All
+    importances together are one.
+    """
+    every = ctr_model.feature_importance(spark, _click_model(spark, sf))
+    top = reports.top_features(every, 10)
+    left = every.join(top, "feature", "left_anti").agg(F.max("importance").alias("most"))
+    total = every.agg(F.sum("importance").alias("total"))
+    # Ten rows.
+    ranked = Window.orderBy(F.desc("importance"), "feature")
+    before = F.lag("importance").over(ranked)
+    return top.select(
+        F.row_number().over(ranked).alias("position"),
+        F.col("feature").isin(*ctr_model.FEATURES).alias("known"),
+        F.coalesce(F.col("importance") <= before, F.lit(True)).alias("ranked"),
+        (F.col("importance") >= left.scalar()).alias("above"),
+        total.scalar().alias("total"),
+    )
+
+
+def _feature_spread(spark: SparkSession, sf: str) -> DataFrame:
+    """The model inputs that vary most against their mean over all training rows."""
     rows = _training(spark, sf)
     spread = rows.agg(
         *[
@@ -503,7 +557,10 @@ def _queries() -> dict[str, Query]:
         "user_segments": _fitted_segments("parallel"),
         "user_segments_minibatch": _fitted_segments("minibatch"),
         "minibatch_training": _minibatch_gain,
+        "scored_from_store": _scored_from_store,
+        "model_table": _model_table,
         "top_features": _top_features,
+        "feature_spread": _feature_spread,
         # quality and small models
         "quality_unique": _quality_unique,
         "quality_not_null": _quality_not_null,

@@ -7,8 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.plans import ctr_model, segments
-from adlake.plans.features import training_set, user_features
+from adlake.plans import ctr_model, model_store, segments
+from adlake.plans.features import training_set, training_set_as_of, user_features
 from adlake.plans.marts import campaign_summary
 from adlake.plans.reports import top_features
 from adlake.plans.silver import silver, unparsed_values
@@ -54,12 +54,14 @@ def build_results(
     as_of: date | str,
     compat: bool = False,
     trainer: str = "parallel",
+    history_as_of: bool = False,
     **fit_options: object,
 ) -> dict[str, int]:
     """Marts, model and segments from the silver layer, each published before its use.
 
     Returns the number of rows written per result. The user features read the
-    predictions, so training comes before them.
+    predictions, so training comes before them. The model is kept beside the results.
+    ``history_as_of`` trains on histories that end before each impression.
     """
     staged = stage_all(read_silver(spark, root))
     written: dict[str, int] = {}
@@ -72,9 +74,12 @@ def build_results(
     # The mart is kept for the reports that follow in this session.
     mart = cache_result(store(campaign_summary(staged), "campaign_summary"))
     register_model(mart, "campaign_summary")
-    training = store(training_set(staged), "ctr_training_data")
+    impressions = (training_set_as_of if history_as_of else training_set)(staged)
+    training = store(impressions, "ctr_training_data")
     model, predictions = ctr_model.train_and_score(training, **fit_options)
     predictions = store(predictions, "ctr_predictions")
+    fitted = written["ctr_training_data"] - written["ctr_predictions"]
+    model_store.save(spark, model_path(root), model, fitted, settings=fit_options)
     importance = store(ctr_model.feature_importance(spark, model), "ctr_feature_importance")
     store(top_features(importance), "ctr_top_features")
     features = store(user_features(staged, predictions, as_of, compat), "user_features")
@@ -83,6 +88,15 @@ def build_results(
     return written
 
 
+def model_path(root: str) -> str:
+    return layer_path(root, "gold", "ctr_model")
+
+
+def score_stored(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
+    """Predictions for rows of the training set's columns by the model of the last run."""
+    return ctr_model.predict(model_store.load(spark, model_path(root)), rows)
+
+
 def read_result(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_layer(spark, root, "gold", name)
 

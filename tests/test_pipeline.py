@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adlake.plans import ctr_model, pipeline, reports, segments
-from adlake.plans.features import user_features
+from adlake.plans.features import training_set_as_of, user_features
 from adlake.plans.staging import stage_all
 from adlake.session import work_dir, work_path
 from adlake.sources import schemas, tables, testdata
@@ -61,6 +61,23 @@ def test_written_rows_are_counted(spark, root):
     assert spark.table("campaign_summary").count() == written["campaign_summary"]
 
 
+def test_the_model_is_kept(spark, root):
+    """Scores of the stored model are those of the run that stored it."""
+    stored = pipeline.read_result(spark, root, "ctr_predictions")
+    rows = pipeline.read_result(spark, root, "ctr_training_data").join(stored.select("impression_id"), "impression_id", "left_semi")
+    again = pipeline.score_stored(spark, root, rows)
+    key = ["impression_id", "predicted_prob", "predicted_clicked"]
+    assert sorted(map(tuple, again.select(key).collect())) == sorted(map(tuple, stored.select(key).collect()))
+
+
+def test_training_on_histories_that_end_before(spark, root):
+    pipeline.build_results(spark, root, "2024-02-01", history_as_of=True, rounds=1, depth=1)
+    staged = stage_all(pipeline.read_silver(spark, root))
+    got = pipeline.read_result(spark, root, "ctr_training_data")
+    want = training_set_as_of(staged)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
 def test_logs_are_cut_by_their_folders(spark, root):
     lake = pipeline.read_silver(spark, root)
     logs = [lake[log] for log in pipeline.LOGS]
