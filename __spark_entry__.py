@@ -20,7 +20,7 @@ from adlake.plans import ctr_model, examples, model_store, reports, segments
 from adlake.plans import features as feat
 from adlake.plans.marts import campaign_performance, campaign_summary
 from adlake.plans.pipeline import LOGS
-from adlake.plans.silver import repair_money, silver, unparsed_values
+from adlake.plans.silver import clean_and_rejected, repair_money, silver, unparsed_values
 from adlake.plans.staging import stage_all
 from adlake.session import materialize, work_dir, work_path
 from adlake.sources import landing, tables, testdata, versions
@@ -388,6 +388,13 @@ def _unparsed(spark: SparkSession, sf: str) -> DataFrame:
     return unparsed_values(testdata.bronze_records(spark, sf, "conversions"), "conversions")
 
 
+def _rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """What the faulty conversion feed lost, and of which sale, where that can be read."""
+    _, rejected = clean_and_rejected(testdata.bronze_records(spark, sf, "conversions"), "conversions")
+    sale = F.get_json_object("json_record", "$.conversion_id").cast("double").cast("long")
+    return rejected.select(sale.alias("conversion_id"), "column_name", "value", "reason")
+
+
 def _forbid_negative(spark: SparkSession, sf: str) -> DataFrame:
     """Revenues after a refund of 50 that may not make them negative."""
     rows = _raw(spark, sf)["conversions"].withColumn("revenue", F.col("revenue") - 50)
@@ -579,6 +586,7 @@ def _queries() -> dict[str, Query]:
         ),
         "csv_feed": _csv_round_trip,
         "unparsed_values": _unparsed,
+        "rejected_records": _rejected,
         "forbid_negative": _forbid_negative,
         # tables
         "daily_report_range": _daily_report_range,

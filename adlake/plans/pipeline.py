@@ -11,7 +11,7 @@ from adlake.plans import ctr_model, model_store, segments
 from adlake.plans.features import training_set, training_set_as_of, user_features
 from adlake.plans.marts import campaign_summary
 from adlake.plans.reports import top_features
-from adlake.plans.silver import silver, unparsed_values
+from adlake.plans.silver import clean_and_rejected, count_rejected
 from adlake.plans.staging import stage_all
 from adlake.sources.schemas import ENTITIES
 from adlake.sources.tables import (
@@ -32,16 +32,18 @@ LOGS = ("impressions", "clicks", "conversions")
 def build_silver(spark: SparkSession, root: str, forbid_negative: bool = False) -> None:
     """Clean every bronze entity into the silver layer, the logs by day of the event.
 
-    Beside each entity, ``<entity>_unparsed`` counts the values that did not parse.
+    Beside each entity, ``<entity>_rejected`` holds the values that did not parse with
+    their records, and ``<entity>_unparsed`` counts them. Bronze is read once.
     """
     for entity in ENTITIES:
         bronze = read_layer(spark, root, "bronze", entity)
-        rows = silver(bronze, entity, forbid_negative)
+        rows, rejected = clean_and_rejected(bronze, entity, forbid_negative)
         if entity in LOGS:
             write_layer(with_event_date(rows), root, "silver", entity, "event_date")
         else:
             write_layer(rows, root, "silver", entity)
-        write_layer(unparsed_values(bronze, entity), root, "silver", f"{entity}_unparsed")
+        write_layer(rejected, root, "silver", f"{entity}_rejected")
+        write_layer(count_rejected(rejected, entity), root, "silver", f"{entity}_unparsed")
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from adlake.plans import examples
 from adlake.plans.pipeline import build_silver, read_silver
-from adlake.plans.silver import repair_money, silver, trim_text_columns
+from adlake.plans.silver import (
+    clean_and_rejected,
+    count_rejected,
+    repair_money,
+    silver,
+    trim_text_columns,
+    unparsed_values,
+)
 from adlake.plans.staging import stage_all
 from adlake.sources import landing, schemas, tables, testdata
 from helpers import rows, silver_frames, staged_frames
@@ -53,6 +60,38 @@ def test_silver_types_and_faults(spark, as_map):
     )
 
 
+@pytest.mark.parametrize("entity", schemas.ENTITIES)
+def test_clean_and_rejected_in_one_pass(spark, tmp_path, entity):
+    """The rows of ``silver``, the counts of ``unparsed_values``, and bronze read by one job."""
+    path = str(tmp_path / "bronze")
+    testdata.bronze_records(spark, SF, entity).write.parquet(path)
+    records = spark.read.parquet(path)
+    typed, rejected = clean_and_rejected(records, entity)
+    assert not [f for df in (typed, rejected) for f in df.inputFiles() if path in f]
+    assert rows(typed) == rows(silver(records, entity)) and typed.schema == silver(records, entity).schema
+    assert rows(count_rejected(rejected, entity)) == rows(unparsed_values(records, entity))
+
+
+def test_rejected_values_come_with_their_records(spark):
+    late = '{"click_id": "8", "user_id": "x", "timestamp": "not a time", "click_position": " "}'
+    records = bronze(spark, CLICK, late, '{"click_id": "9", ', "garbage", None, "[1]", '{"click_id": null}')
+    typed, rejected = clean_and_rejected(records, "clicks")
+    assert rows(rejected) == sorted(
+        [
+            (CLICK, "click_position", "x", "no int"),
+            (late, "user_id", "x", "no int"),
+            (late, "timestamp", "not a time", "no timestamp"),
+            (late, "click_position", " ", "no int"),
+            ('{"click_id": "9", ', "json_record", None, "no JSON object"),
+            ("garbage", "json_record", None, "no JSON object"),
+            (None, "json_record", None, "no JSON object"),
+        ],
+        key=lambda r: tuple(map(str, r)),
+    )
+    assert rows(typed) == rows(silver(records, "clicks"))
+    assert clean_and_rejected(records.limit(0), "clicks")[1].count() == 0
+
+
 def test_silver_keeps_case_of_order_id(spark):
     got = silver(bronze(spark, '{"order_id": " Ab-C ", "product_category": " Toys", "revenue": "-2.5"}'), "conversions")
     row = got.first()
