@@ -6,6 +6,7 @@ import importlib
 import os
 import sys
 from collections.abc import Callable
+from datetime import timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -16,14 +17,14 @@ from pyspark.sql import types as T
 import oracle_queries
 from adlake.functions.scalars import ratio, rounded, safe_divide
 from adlake.operators import quality
-from adlake.plans import ctr_model, examples, model_store, reports, segments
+from adlake.plans import ctr_model, examples, incremental, model_store, reports, segments
 from adlake.plans import features as feat
 from adlake.plans.marts import campaign_performance, campaign_summary
 from adlake.plans.pipeline import LOGS
 from adlake.plans.silver import clean_and_rejected, repair_money, silver, unparsed_values
 from adlake.plans.staging import stage_all
 from adlake.session import materialize, work_dir, work_path
-from adlake.sources import landing, tables, testdata, versions
+from adlake.sources import landing, results, tables, testdata, versions
 from adlake.sources.schemas import ENTITIES, PREDICTIONS_SCHEMA
 from adlake.streaming import daily, ingest
 
@@ -432,6 +433,34 @@ def _replaced_table(spark: SparkSession, sf: str) -> DataFrame:
     return rows[0].union(rows[1]).union(rows[2])
 
 
+def _incremental_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart from counts per day: logs up to a day, then later days and late rows of one."""
+    raw, staged = _raw(spark, sf), _staged(spark, sf)
+    silver_of, counts = {log: work_path(spark, log) for log in LOGS}, work_path(spark, "counts")
+    day = F.dayofmonth("timestamp")
+    late = (day > 24) | ((day == 20) & (F.col("user_id") % 50 == 0))
+    for batch, part in enumerate((~late, late)):
+        for log, path in silver_of.items():
+            rows = ingest.with_event_date(raw[log]).filter(part)
+            ingest.overwrite_batch(rows, path, batch, ingest.DAY)
+        incremental.update_counts(spark, silver_of, counts)
+    return incremental.summary_from_counts(spark, counts, staged["campaigns"])
+
+
+def _cached_result(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart's sums as stored, asked again, and renewed once they are too old."""
+    root = work_path(spark, "results")
+    by_format = lambda: _mart(spark, sf).groupBy("ad_format").agg(
+        F.count(F.lit(1)).alias("campaigns"), F.sum("budget").alias("budget")
+    )
+    asked = []
+    for step, age in (("stored", 300), ("again", 300), ("renewed", 0)):
+        got = results.cached(by_format(), root, timedelta(seconds=age))
+        number = versions.current(spark, f"{root}/{results.result_key(by_format())}").number
+        asked.append(got.select(F.lit(step).alias("step"), F.lit(number).alias("version"), "*"))
+    return asked[0].union(asked[1]).union(asked[2])
+
+
 def _stored_model(spark: SparkSession, sf: str) -> DataFrame:
     """The mart under a name, kept in memory, and asked in SQL."""
     tables.register_model(tables.cache_result(_mart(spark, sf)), "adlake_mart")
@@ -592,6 +621,8 @@ def _queries() -> dict[str, Query]:
         "daily_report_range": _daily_report_range,
         "publish_audit": _publish_audit,
         "replaced_table": _replaced_table,
+        "incremental_mart": _incremental_mart,
+        "cached_result": _cached_result,
         "stored_model": _stored_model,
         "optional_tables": _optional_tables,
         "catalog_columns": _catalog_columns,

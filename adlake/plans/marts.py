@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +33,12 @@ def campaign_performance(staged: Mapping[str, DataFrame]) -> DataFrame:
         events_per_campaign(staged["clicks"], "clicks_count"),
         conversions_per_campaign(staged["conversions"]),
     ]
-    out = staged["campaigns"].select("campaign_id")
+    return with_facts(staged["campaigns"], facts)
+
+
+def with_facts(campaigns: DataFrame, facts: Sequence[DataFrame]) -> DataFrame:
+    """Every campaign with its row of each fact, if there is one."""
+    out = campaigns.select("campaign_id")
     for fact in facts:
         out = out.join(fact, "campaign_id", "left")
     return out
@@ -41,7 +46,12 @@ def campaign_performance(staged: Mapping[str, DataFrame]) -> DataFrame:
 
 def campaign_summary(staged: Mapping[str, DataFrame]) -> DataFrame:
     """Campaign attributes, counts and all performance measures."""
-    joined = campaign_performance(staged).join(staged["campaigns"], "campaign_id")
+    return summarized(campaign_performance(staged), staged["campaigns"])
+
+
+def summarized(performance: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """The campaign summary from the counts and revenue of each campaign."""
+    joined = performance.join(campaigns, "campaign_id")
     days = kpi.active_days("end_date", "start_date")
     return joined.select(
         "campaign_id",

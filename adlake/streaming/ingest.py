@@ -61,7 +61,8 @@ def _dated(df: DataFrame) -> DataFrame:
     return df.withColumn(DAY, F.lit(None).cast("date"))
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def read_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """An entity's rows with the keys of its folders, day and batch; None if there is no folder."""
     full = T.StructType(
         [*schema.fields, T.StructField(DAY, T.DateType()), T.StructField(BATCH, T.LongType())]
     )
@@ -102,7 +103,7 @@ def _append_new(
     doubtful = fresh if compared is None else fresh.filter(compared)
     # One value per day of the batch.
     days = [r[DAY] for r in doubtful.select(DAY).distinct().collect()]
-    stored = _stored(spark, path, schema) if days else None
+    stored = read_folder(spark, path, schema) if days else None
     if stored is None:
         overwrite_batch(fresh.select(*columns), path, batch, DAY)
         return
@@ -240,5 +241,5 @@ def stream_silver_by_state(
 def read_silver(spark: SparkSession, entity: str, path: str) -> DataFrame:
     """The rows that ``stream_silver`` stored, in the columns of the entity."""
     schema = silver_schema(entity)
-    stored = _stored(spark, path, schema)
+    stored = read_folder(spark, path, schema)
     return spark.createDataFrame([], schema) if stored is None else stored.select(*schema.names)

@@ -36,13 +36,13 @@ class Feed:
             f.write("\n".join(lines) + "\n")
         self.count += 1
         bronze = landing.to_bronze(landing.stream_messages(self.spark, self.topic, "text"))
-        plain, looked = ingest._stored, []
-        ingest._stored = lambda spark, path, schema: looked.append(path) or plain(spark, path, schema)
+        plain, looked = ingest.read_folder, []
+        ingest.read_folder = lambda spark, path, schema: looked.append(path) or plain(spark, path, schema)
         try:
             how = {"clock": F.lit(datetime.fromisoformat(clock)), **self.how} if clock else self.how
             ingest.stream_silver_by_state(bronze, self.entity, self.out, self.checkpoint, **how)
         finally:
-            ingest._stored = plain
+            ingest.read_folder = plain
         self.read_back.append(len(looked))
 
     def check(self):
