@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 import oracle_queries
 from adlake.functions.scalars import ratio, rounded, safe_divide
-from adlake.operators import quality
+from adlake.operators import daily_keys, quality, sketches
 from adlake.plans import ctr_model, examples, incremental, model_store, reports, segments
 from adlake.plans import features as feat
 from adlake.plans.marts import campaign_performance, campaign_summary
@@ -279,6 +279,42 @@ def _quality_unique(spark: SparkSession, sf: str) -> DataFrame:
     return quality.not_unique(_staged(spark, sf)["impressions"], "user_id")
 
 
+def _quality_unique_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from digests per day: half of the month, then the other half."""
+    lake, keys = work_path(spark, "lake"), work_path(spark, "keys")
+    log = ingest.with_event_date(_staged(spark, sf)["impressions"])
+    tables.write_layer(log, lake, "silver", "impressions", "event_date")
+    log = tables.read_layer(spark, lake, "silver", "impressions")
+    days = sorted((r[0] for r in log.select("event_date").distinct().collect()), key=str)
+    for part in (days[: len(days) // 2], days[len(days) // 2 :]):
+        daily_keys.check_days(log, "user_id", keys, part)
+    return daily_keys.repeated_keys(log, "user_id", keys)
+
+
+def _revenue_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Revenue quartiles per format over some days, from sketches per day: whether the rank
+    of each among all revenues of these days is as near as stated."""
+    staged = _staged(spark, sf)
+    formats = staged["campaigns"].select("campaign_id", "ad_format")
+    sold = ingest.with_event_date(staged["conversions"]).join(formats, "campaign_id")
+    kept = materialize(sketches.value_sketches(sold, "revenue", ["event_date", "ad_format"]), "sketches")
+    some = F.col("event_date").between(*RANGE)
+    found = sketches.sketched_quantiles(kept.filter(some), (0.25, 0.5, 0.75), ["ad_format"])
+    values = sold.filter(some).select("ad_format", F.col("revenue").cast("double").alias("value"))
+    return (
+        values.join(F.broadcast(found), "ad_format")
+        .groupBy("ad_format", "prob", "quantile", "n")
+        .agg(F.count("value").alias("rows"), F.count_if(F.col("value") < F.col("quantile")).alias("below"), F.count_if(F.col("value") <= F.col("quantile")).alias("upto"))
+        .select(
+            "ad_format", "prob", "rows", (F.col("n") == F.col("rows")).alias("all_seen"),
+            (
+                (F.col("below") / F.col("rows") <= F.col("prob") + sketches.RANK_ERROR)
+                & (F.col("upto") / F.col("rows") >= F.col("prob") - sketches.RANK_ERROR)
+            ).alias("within"),
+        )
+    )
+
+
 def _quality_not_null(spark: SparkSession, sf: str) -> DataFrame:
     """Users of the cleaned feed that lack a signup date."""
     users = silver(testdata.bronze_records(spark, sf, "users"), "users")
@@ -599,6 +635,8 @@ def _queries() -> dict[str, Query]:
         "feature_spread": _feature_spread,
         # quality and small models
         "quality_unique": _quality_unique,
+        "quality_unique_by_day": _quality_unique_by_day,
+        "revenue_sketches": _revenue_sketches,
         "quality_not_null": _quality_not_null,
         "quality_report": _quality_report,
         "union_all": lambda spark, sf: examples.with_null_id(
