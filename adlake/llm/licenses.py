@@ -8,6 +8,7 @@ against rules, each an ordered list of identifiers.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,6 +100,13 @@ def sentence_pattern() -> str:
     return r"(?<=\n)(?:" + "|".join("[ \n]".join(map(re.escape, v.split())) for v in known) + r")(?=\n)"
 
 
+def _holds(ids: Column, rule: Sequence[str]) -> Column:
+    """Whether the sentences of a rule stand among ``ids`` in its order: one pass over them."""
+    wanted = F.array(*[F.lit(i) for i in rule])
+    met = F.aggregate(ids, F.lit(0), lambda n, i: F.when(i == F.get(wanted, n), n + 1).otherwise(n))
+    return (F.size(ids) >= len(rule)) & (met == len(rule))
+
+
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row (doc_id, n_sentences, sentence_ids, licenses, license_class) per row of ``docs``.
 
@@ -118,12 +126,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     ids = F.filter(
         F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " "))), lambda i: i.isNotNull()
     )
-    listed = docs.select("doc_id", ids.alias("_ids")).withColumn(
-        "_line", F.concat(F.lit(","), F.array_join("_ids", ","), F.lit(","))
-    )
-    hits = [
-        F.col("_line").rlike(",(?:.*,)?".join([""] + [f"{i}" for i in rule]) + ",") for _, _, rule in RULES
-    ]
+    listed = docs.select("doc_id", ids.alias("_ids"))
+    hits = [_holds(F.col("_ids"), rule) for _, _, rule in RULES]
     names = F.array_sort(
         F.array_distinct(
             F.filter(
