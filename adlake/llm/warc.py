@@ -283,5 +283,7 @@ def _reader(root: str):
 
 def read_warc(manifest: DataFrame, root: str) -> DataFrame:
     """One row per record of the archives that ``manifest`` names, read back and checked."""
-    files = manifest.select("final").repartition(F.col("final"))
+    # A task for each archive, as these are cut by size.
+    files = manifest.select("final")
+    files = files.repartition(max(1, files.count()))
     return map_arrow(files, _reader(root), RECORD)

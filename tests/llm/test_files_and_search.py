@@ -100,6 +100,27 @@ def test_topk_of_odd_rows(spark, monkeypatch):
     assert topk.top_k(q.limit(0), q.limit(0)).count() == 0
 
 
+def test_topk_of_repeated_queries_and_lengths(spark):
+    """Each row of a query id has ranks of its own; shorter vectors are compared in what they have."""
+    rows = [(20, [1, 0, 0]), (20, [0, 1, 0]), (1, [5, 1, 7]), (2, [1, 5]), (3, [2]), (4, []), (40, [0, 0, 1, 9])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    got = topk.top_k(df, df.filter("vec_id % 20 = 0"), 2).collect()
+    pad = lambda v: v + [0] * (4 - len(v))
+    want = []
+    for q, v in (r for r in rows if r[0] % 20 == 0):
+        want += _best([(i, pad(x)) for i, x in rows], [(q, pad(v))], 2)
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_archives_are_read_by_tasks_of_their_own(spark):
+    pages = table(spark, SF, "pages")
+    root = work_path(spark, "warc")
+    manifest = warc.write_warc(pages, root, file_bytes=1 << 14)
+    files = manifest.count()
+    assert files > 3
+    assert warc.read_warc(manifest, root).rdd.getNumPartitions() == files
+
+
 def test_search_stops_early():
     rng = np.random.default_rng(2)
     far = rng.integers(-64, 64, (20000, 3)).astype(np.int64)
@@ -110,7 +131,7 @@ def test_search_stops_early():
     pivots = rows[:32]
     q = far[:1]
     table_x, table_q = topk._distances(rows, pivots), topk._distances(topk._augmented(q, None, most, True), pivots)
-    ids, scores = topk._search(q, np.array([0]), table_q, far, np.arange(len(far)), table_x, squares, most, 5)[1:]
+    ids, scores = topk._search(q, np.array([0]), np.array([9]), table_q, far, np.arange(len(far)), table_x, squares, most, 5)[2:]
     exact = far @ q[0]
     exact[0] = -(10**9)
     assert list(scores) == sorted(exact, reverse=True)[:5]
