@@ -128,7 +128,8 @@ def mix(
     added = ("size", "source_size", "target", "taken")
     kept = [c for c in docs.columns if c not in added]
     key = F.when(F.col("source").isNull(), F.lit("2")).otherwise(F.concat(F.lit("1"), "source"))
-    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string")))
+    # By the text too: rows of null or repeated ids spread as well.
+    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.md5("text")))
     # The columns travel as one, so that no name of theirs meets one of the mix.
     sized = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),

@@ -28,7 +28,7 @@ def mix(seed: int = 17, block: int = 16, shard_words: int = 1 << 18, shard_docs:
 
     return f"""
 with sized as (
-  select doc_id, md5(concat_ws('|', '{seed}', cast(doc_id as varchar))) as drawn,
+  select doc_id, md5(concat_ws('|', '{seed}', cast(doc_id as varchar), md5(text))) as drawn,
          case when source is null then '2' else '1' || source end as key,
          coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as size
   from documents),

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from adlake.llm import licenses, mixing, pii
 from adlake.llm.common import table
@@ -68,6 +69,19 @@ def test_mix_of_odd_rows(spark):
     assert empty.count() == 0
 
 
+def test_rows_without_ids_are_dealt_over_shards(spark):
+    """Null and repeated ids: their texts draw the places, so no shard holds them all."""
+    texts = [f"word{i} and more" for i in range(6000)]
+    rows = [(None if i % 2 else 7, "a", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix(df, shard_docs=100).collect()
+    assert len(got) == 6000
+    drawn = df.select(F.md5(F.concat_ws("|", F.lit("17"), F.col("doc_id").cast("string"), F.md5("text"))).alias("d"))
+    assert drawn.distinct().count() == 6000
+    taken = sum(r["taken"] for r in got)
+    assert abs(taken - got[0]["target"]) < 0.02 * taken and all(r["taken"] <= 2 * r["size"] for r in got)
+
+
 def test_quotients_give_the_seats(spark):
     groups = {"g": {"a": 53.0, "b": 24.0, "c": 23.0, "d": 0.0}, "h": {"x": 1.0, "y": 1.0, "z": 1.0}}
     wanted = {"g": 7, "h": 5}
