@@ -13,7 +13,7 @@ from adlake.session import materialize as stored
 # Rows that travel to a Python worker at once; long texts make larger batches a risk.
 ARROW_ROWS = 512
 
-__all__ = ["map_arrow", "running", "stored", "table"]
+__all__ = ["first_by_hash", "key_filter", "map_arrow", "running", "stored", "table", "with_maybe"]
 
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -28,6 +28,45 @@ def map_arrow(df: DataFrame, fn: Batches, schema: str, rows: int = ARROW_ROWS) -
     return df.mapInArrow(fn, schema)
 
 
+def first_by_hash(df: DataFrame, by: str, hashed: Column, n: int) -> DataFrame:
+    """Rows that hold the first ``n`` per value of ``by`` in the order of a 64-bit hash, and few more.
+
+    How many rows a value has tells below which hash they lie, with a wide margin, so that
+    what is ranked after this is bounded whatever the number of rows or tasks.
+    """
+    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
+    # Far more than chance leaves below n, as the deviation is the root of this at most.
+    wanted = F.lit(2.0 * n + 64.0)
+    limit = F.when(F.col("_rows") <= wanted, F.lit(2.0**63)).otherwise(wanted / F.col("_rows") * 2.0**64 - 2.0**63)
+    return df.withColumn("_hash", hashed).join(counts, by).filter(F.col("_hash") <= limit).drop("_hash", "_rows")
+
+
+# Bits of a key filter, whatever the number of keys: 16 MB in rows of 4 kB.
+FILTER_BITS, FILTER_ROW = 1 << 27, 1 << 15
+
+
+def key_filter(keys: DataFrame, key: Column) -> DataFrame:
+    """(_filter_row, _bits): a bitmap of fixed size that has a bit set for every key (long)."""
+    at = F.pmod(key, F.lit(FILTER_BITS))
+    rows = keys.select(F.floor(at / FILTER_ROW).cast("int").alias("_filter_row"), (at % FILTER_ROW).alias("bit"))
+    return stored(rows.groupBy("_filter_row").agg(F.bitmap_construct_agg("bit").alias("_bits")), "filter")
+
+
+def with_maybe(df: DataFrame, key: Column, found: DataFrame) -> DataFrame:
+    """``df`` with ``_maybe``: false only where the key is not among those of the filter.
+
+    Lets rows that have no partner stay where they are. With far more keys than bits it is
+    true for all rows, which then meet their partners by a shuffle as they would without.
+    """
+    at = F.pmod(key, F.lit(FILTER_BITS))
+    marked = df.withColumn("_filter_row", F.floor(at / FILTER_ROW).cast("int")).withColumn("_bit", (at % FILTER_ROW).cast("int"))
+    byte = F.conv(F.hex(F.expr("substring(_bits, _bit div 8 + 1, 1)")), 16, 10).cast("int")
+    is_set = F.getbit(byte.cast("long"), F.col("_bit") % 8) == 1
+    # At most FILTER_BITS / FILTER_ROW rows.
+    joined = marked.join(F.broadcast(found), "_filter_row", "left")
+    return joined.withColumn("_maybe", F.coalesce(is_set, F.lit(False))).drop("_filter_row", "_bit", "_bits")
+
+
 def running(df: DataFrame, order: Sequence[Column], values: Mapping[str, Column]) -> DataFrame:
     """Add running totals (this row included) over the whole frame in the given order.
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.common import map_arrow, stored
+from adlake.llm.common import first_by_hash, map_arrow, stored
 
 HIDDEN = 8
 # Bytes that the network reads at once; the state starts anew at every such stretch.
@@ -190,8 +190,9 @@ def fit(docs: DataFrame) -> Model | None:
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold(F.col("doc_id")) != 0))
     # Ranked without the texts; each task keeps its first rows per language only.
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "key")
+    narrow = stored(usable.select("doc_id", "lang", F.xxhash64("text").alias("key")), "usable")
     picked = (
-        usable.select("doc_id", "lang", F.xxhash64("text").alias("key"))
+        first_by_hash(narrow, "lang", F.xxhash64("doc_id"), DOCS_PER_LANGUAGE)
         .withColumn("rank", F.row_number().over(by_hash))
         .filter(F.col("rank") <= DOCS_PER_LANGUAGE)
         .select("doc_id", "lang", "key")
@@ -276,13 +277,15 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(marked, model)
 
 
-def keep_identified(docs: DataFrame, least: float = 0.27) -> DataFrame:
+def keep_identified(docs: DataFrame, over_chance: float = 1.08) -> DataFrame:
     """``docs`` without texts that are null, hold no letter, or look like no learned language.
 
-    A text stays if its best language has a mean probability of ``least`` or more. All
-    columns are kept as they are.
+    A text stays if the mean probability of its best language is ``over_chance`` times what
+    chance gives (one by the number of learned languages) or more; with one language all
+    texts with a letter stay. All columns are kept as they are.
     """
     model = fit(docs.select("doc_id", "text", "lang"))
+    least = over_chance / len(model.labels) if model and len(model.labels) > 1 else 0.0
     names = docs.columns
     packed = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     judged = predict(packed, model)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.common import map_arrow, stored
+from adlake.llm.common import first_by_hash, map_arrow, stored
 from adlake.llm.langid import fold
 
 PASSAGE = 384
@@ -23,6 +23,8 @@ BUCKETS = 96
 ENCODED, ATTENDED = 16, 12
 # The bound on what the training sees: labelled documents of each label.
 DOCS_PER_LABEL = 1_200
+# Passages of one document that training sees; scoring reads all.
+PASSAGES_PER_DOC = 128
 STEPS, RATE, DECAY = 250, 0.01, 1e-4
 THRESHOLD = 0.3
 
@@ -160,7 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Train on labelled rows outside the held-out fold; None unless both labels occur.
 
     The sample is bounded: ``DOCS_PER_LABEL`` documents of each label, the first in an order
-    by hash of the id. A document with contradicting labels is left out; labels other
+    by hash of the id, and of each at most ``PASSAGES_PER_DOC`` passages, spread over it. A document with contradicting labels is left out; labels other
     than 0 and 1, null ids and ids without a document are ignored.
     """
     sound = (
@@ -171,7 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     )
     by_hash = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = (
-        sound.withColumn("rank", F.row_number().over(by_hash))
+        first_by_hash(stored(sound.select("doc_id", "quality"), "labels"), "quality", F.xxhash64("doc_id"), DOCS_PER_LABEL)
+        .withColumn("rank", F.row_number().over(by_hash))
         .filter(F.col("rank") <= DOCS_PER_LABEL)
         .select("doc_id", "quality")
     )
@@ -189,11 +192,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     return train(x, np.asarray(found.column("counts").to_pylist()), y)
 
 
+def _spread(n: int, most: int) -> np.ndarray:
+    """At most ``most`` of n places, evenly apart."""
+    return np.arange(n) if n <= most else np.linspace(0, n - 1, most).astype(int)
+
+
 def _encoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x, counts = features(batch.column("text").to_pylist())
-        cuts = np.cumsum(counts)[:-1]
-        parts = [p.tobytes() for p in np.split(x, cuts)] if len(counts) else []
+        each = np.split(x, np.cumsum(counts)[:-1]) if len(counts) else []
+        each = [p[_spread(len(p), PASSAGES_PER_DOC)] for p in each]
+        parts, counts = [p.tobytes() for p in each], [len(p) for p in each]
         yield pa.RecordBatch.from_arrays(
             [batch.column("quality").cast(pa.int32()), batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(parts, pa.binary())],
             ["quality", "doc_id", "counts", "x"],

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
+from adlake.llm.common import key_filter, with_maybe
 from adlake.llm.components import components
 
 
@@ -40,3 +43,16 @@ def test_mixed_graph(spark):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_key_filter(spark):
+    """False only for keys that are not held; never for those that are."""
+    df = spark.range(20_000).select((F.col("id") * 7919 - 50_000_000_000).alias("k"), F.lit(1).alias("bits"))
+    held = df.filter("k % 3 = 0")
+    found = key_filter(held, F.col("k"))
+    marked = with_maybe(df, F.col("k"), found)
+    assert marked.filter("k % 3 = 0 and not _maybe").count() == 0
+    assert marked.filter("k % 3 <> 0 and _maybe").count() < 50
+    assert marked.count() == 20_000 and marked.select("bits").distinct().count() == 1
+    none = with_maybe(df, F.col("k"), key_filter(held.limit(0), F.col("k")))
+    assert none.filter("_maybe").count() == 0

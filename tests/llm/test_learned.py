@@ -6,9 +6,10 @@ import binascii
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from adlake.llm import langid, quality
-from adlake.llm.common import table
+from adlake.llm.common import first_by_hash, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -121,3 +122,39 @@ def test_repeated_words_show_in_the_features():
     assert np.allclose(x[:, column + 2], [0, 0.5, 0, 4 / 6])
     split, n = quality.features(["x " * 1000, "  y"])
     assert list(n) == [-(-2000 // quality.PASSAGE), 1] and len(split) == n.sum()
+
+
+def test_languages_that_are_kept(spark, short_training):
+    """The limit follows the number of languages; with one, every text with a letter stays."""
+    both = table(spark, SF, "documents").filter("lang in ('en', 'de')").select("doc_id", "text", "lang")
+    noise = [(900_000 + i, t, None) for i, t in enumerate(["12 34", "", None, "zq" * 40])]
+    docs = both.union(spark.createDataFrame(noise, both.schema))
+    kept = {r["doc_id"] for r in langid.keep_identified(docs).collect()}
+    assert not kept & {900_000, 900_001, 900_002}
+    lettered = {r["doc_id"] for r in both.filter(F.col("text").rlike(r"\p{L}")).collect()}
+    assert len(lettered - kept) <= 0.02 * len(lettered)
+    none = langid.keep_identified(docs, over_chance=2.01)
+    assert none.count() == 0
+    one = langid.keep_identified(docs.filter("lang = 'en' or lang is null"))
+    assert 900_003 in {r["doc_id"] for r in one.collect()}
+
+
+def test_samples_are_cut_before_they_are_ranked(spark):
+    df = spark.range(50_000).select(F.when(F.col("id") < 30, "few").otherwise("many").alias("k"), "id")
+    hashed = F.xxhash64("id")
+    left = first_by_hash(df, "k", hashed, 100)
+    counts = {r["k"]: r["count"] for r in left.groupBy("k").count().collect()}
+    assert counts["few"] == 30 and 100 <= counts["many"] < 500
+    first = [r["id"] for r in df.filter("k = 'many'").orderBy(hashed).limit(100).collect()]
+    assert set(first) <= {r["id"] for r in left.collect()}
+
+
+def test_a_very_long_labelled_text(spark):
+    """Training sees a bounded number of its passages, spread over it; scoring sees all."""
+    assert list(quality._spread(3, 5)) == [0, 1, 2]
+    assert list(quality._spread(1000, 3)) == [0, 499, 999]
+    rows = [(i, " ".join(f"w{i * k % 97}" for k in range(40)) + ".") for i in range(1, 30)] + [(50, "long text here. " * 60_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    found = quality.rate(docs, labels).collect()
+    assert len(found) == 30 and all(0 <= r["score"] <= 1 for r in found)
