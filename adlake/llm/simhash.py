@@ -18,10 +18,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import map_arrow, stored
+from adlake.llm.common import key_filter, map_arrow, stored, with_maybe
 from adlake.llm.components import components
 
 BITS = 64
@@ -408,6 +408,8 @@ SIMILAR = (4, 5)
 # Members and shingles of a candidate group that a task compares with as many others;
 # larger groups are cut into such parts that meet pair by pair.
 PART, PART_SHINGLES = 4096, 1 << 21
+# Sets of each larger group that all its members are compared with first, and how often.
+PIVOTS, PIVOT_TURNS = 4, 2
 
 
 # Candidates: each band is a key of so many least hashes (MinHash). A pair of similarity s
@@ -486,19 +488,24 @@ def _set_hashes(width: int):
     return run
 
 
-def _similar_sets(sets: list[np.ndarray]) -> np.ndarray:
+def _similar_sets(sets: list[np.ndarray], roots: list[int], sides: list[int]) -> np.ndarray:
     """Parents of the sets that pairs of a similarity of at least ``SIMILAR`` connect.
 
-    Every pair is decided by its exact similarity, except those already connected.
+    Every pair is decided by its exact similarity, except those already connected, as sets
+    of one root are from the start, and those of one side (0 or 1; 2 is on no side).
     """
     least, whole = SIMILAR
     sizes = np.array([len(s) for s in sets], np.int64)
     starts = np.cumsum(sizes) - sizes
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
     held = np.zeros(len(ids), bool)
-    parent = np.arange(len(sets))
+    _, first, own = np.unique(roots, return_index=True, return_inverse=True)
+    parent = first[own]
+    side = np.array(sides)
     for i in range(len(sets) - 1):
         rest = np.nonzero(parent[i + 1 :] != parent[i])[0] + i + 1
+        if side[i] < 2:
+            rest = rest[side[rest] != side[i]]
         low, high = np.minimum(sizes[i], sizes[rest]), np.maximum(sizes[i], sizes[rest])
         rest = rest[(low * whole >= high * least) & (low > 0)]
         if not len(rest):
@@ -517,22 +524,119 @@ def _similar_sets(sets: list[np.ndarray]) -> np.ndarray:
 def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (a, b) that connect the similar sets of each group, over rows sorted by group."""
 
-    def links_of(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-        a, b = _star(np.array(nodes, np.int64), _similar_sets(sets))
+    def links_of(nodes: list[int], *held: list) -> pa.RecordBatch:
+        a, b = _star(np.array(nodes, np.int64), _similar_sets(*held))
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    group, nodes, sets = None, [], []
+    group, nodes, sets, roots, sides = None, [], [], [], []
     for batch in batches:
         names = list(zip(*[batch.column(c).to_pylist() for c in ("component", "i", "j")]))
         for r, name in enumerate(names):
             if name != group:
                 if len(nodes) > 1:
-                    yield links_of(nodes, sets)
-                group, nodes, sets = name, [], []
+                    yield links_of(nodes, sets, roots, sides)
+                group, nodes, sets, roots, sides = name, [], [], [], []
             nodes.append(batch.column("node")[r].as_py())
+            roots.append(batch.column("root")[r].as_py())
+            sides.append(batch.column("side")[r].as_py())
             sets.append(np.array(batch.column("hashes")[r].values))
     if len(nodes) > 1:
-        yield links_of(nodes, sets)
+        yield links_of(nodes, sets, roots, sides)
+
+
+def _parts() -> Column:
+    """How many parts a group needs so that a task holds a bounded number of sets and shingles."""
+    return F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / PART), F.ceil(F.sum("size") / PART_SHINGLES)).cast("int")
+
+
+def _compared(met: DataFrame) -> DataFrame:
+    """Links within the groups (component, i, j) of ``met`` (node, root, side, hashes, component, i, j)."""
+    shuffles = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = met.select("component", "i", "j", "node", "root", "side", "hashes")
+    dealt = row.repartition(shuffles, "component", "i", "j").sortWithinPartitions("component", "i", "j")
+    return map_arrow(dealt, _group_links, "a long, b long")
+
+
+def _pivot_links(pool: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
+    """Links of every set to the similar ones among its group's pivots, drawn from ``pool``.
+
+    The pivots are copied to every part of their group, so no task holds a hot group.
+    """
+    draw = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node")
+    slot = F.pmod(F.xxhash64("node", F.lit(-turn - 1)), F.lit(PIVOTS))
+    chosen = pool.groupBy("component", slot.alias("slot")).agg(F.min(draw)["node"].alias("node"))
+    pivots = stored(chosen.select("node").join(sets.select("node", "component", "parts", "size", "hashes"), "node"), "pivots")
+    spread = pivots.select(
+        "component",
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.col("node").alias("pivot"),
+        F.col("size").alias("pivot_size"),
+        F.col("hashes").alias("pivot_hashes"),
+    )
+    least, whole = SIMILAR
+    low, high = F.least("size", "pivot_size"), F.greatest("size", "pivot_size")
+    common = F.size(F.array_intersect("hashes", "pivot_hashes"))
+    near = (low * whole >= high * least) & (low > 0)
+    return (
+        sets.join(spread, ["component", "part"])
+        .filter((F.col("node") != F.col("pivot")) & near)
+        .filter(common * (least + whole) >= F.lit(least) * (F.col("size") + F.col("pivot_size")))
+        .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    )
+
+
+def _large_links(sets: DataFrame) -> DataFrame:
+    """Links within groups of several parts: ``sets`` (node, component, parts, part, size, hashes).
+
+    Sets are first compared with a few pivots of their group. That mostly connects a group
+    of copies, and what it connects need not meet again: only the sets outside the largest
+    class of their group are compared with all parts of it, and with each other.
+    """
+    links = None
+    pool = sets
+    for turn in range(PIVOT_TURNS):
+        found = _pivot_links(pool, sets, turn)
+        links = stored(found if links is None else links.union(found), "pivot-links")
+        named = components(links).withColumnRenamed("component", "component_of")
+        rooted = stored(
+            sets.select("node", "component", "size").join(named, "node", "left").select(
+                "node", "component", "size", F.coalesce("component_of", "node").alias("root")
+            ),
+            "rooted",
+        )
+        # Partial sums per class and task: no task lists a group.
+        counts = rooted.groupBy("component", "root").agg(F.count(F.lit(1)).alias("n"))
+        main = counts.groupBy("component").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+        marked = rooted.join(main, "component").withColumn("rest", F.col("root") != F.col("main"))
+        pool = marked.filter("rest").select("node", "component")
+    marked = stored(marked, "marked")
+    rests = marked.filter("rest").groupBy("component").agg(_parts().alias("rest_parts"))
+    sizes = marked.groupBy("component").agg(_parts().alias("all_parts"))
+    # Groups that one class fills are done.
+    open_groups = rests.join(sizes, "component")
+    flagged = (
+        sets.select("node", "component", "hashes")
+        .join(marked.select("node", "root", "rest"), "node")
+        .join(open_groups, "component")
+    )
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("rest"), F.col("rest_parts")).otherwise(F.col("all_parts"))).cast("int")
+    placed = stored(flagged.withColumn("part", own), "placed")
+    last_rest = F.col("rest_parts") - 1
+    rest = placed.filter("rest")
+    # Part i of the rest meets every other part of the rest, and every part j of the class.
+    others = rest.withColumn("other", F.explode(F.sequence(F.lit(0), last_rest))).select(
+        "node", "root", F.lit(2).alias("side"), "hashes", "component",
+        F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+    )
+    inward = rest.select(
+        "node", "root", F.lit(1).alias("side"), "hashes", "component", F.col("part").alias("i"),
+        F.explode(F.sequence(-F.col("all_parts"), F.lit(-1))).alias("j"),
+    )
+    outward = placed.filter("not rest").select(
+        "node", "root", F.lit(0).alias("side"), "hashes", "component",
+        F.explode(F.sequence(F.lit(0), last_rest)).alias("i"), (-1 - F.col("part")).alias("j"),
+    )
+    return links.union(_compared(others.union(inward).union(outward)))
 
 
 def similar_links(prints: DataFrame, candidates: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -540,26 +644,32 @@ def similar_links(prints: DataFrame, candidates: DataFrame, texts: DataFrame, wi
 
     ``prints`` has one row (node, size, text_key) per set, ``candidates`` (a, b) connect the
     nodes to compare, ``texts`` holds (text, text_key). Within what the candidates connect,
-    every pair is decided by its exact similarity, whether it was a candidate or not.
+    every pair is decided by its exact similarity, whether it was a candidate or not, unless
+    similar pairs connect it already.
     """
-    spark = prints.sparkSession
     found = components(candidates)
     roots = found.select(F.col("component").alias("node"), "component").distinct()
     members = stored(found.select("node", "component").union(roots).join(prints, "node"), "members")
-    parts = F.greatest(F.ceil(F.count(F.lit(1)) / PART), F.ceil(F.sum("size") / PART_SHINGLES)).cast("int")
-    counts = members.groupBy("component").agg(parts.alias("parts"))
+    counts = members.groupBy("component").agg(_parts().alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    placed = members.join(counts, "component").select("node", "component", "text_key", "parts", part.alias("part"))
-    # One text for each set: copies of a text share its key.
-    read = placed.join(texts, "text_key").dropDuplicates(["node"])
-    schema = "node long, component long, parts int, part int, hashes array<long>"
-    sets = map_arrow(read.select("text", "node", "component", "parts", "part"), _set_hashes(width), schema)
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    met = sets.select("node", "component", "hashes", "part", other)
-    grouped = met.select("component", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "hashes")
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = grouped.repartition(shuffles, "component", "i", "j").sortWithinPartitions("component", "i", "j")
-    return map_arrow(dealt, _group_links, "a long, b long")
+    placed = members.join(counts, "component").select(
+        "node", "component", "text_key", "size", "parts", part.alias("part")
+    )
+    # One text for each set: copies of a text share its key. Texts that are in no group stay out.
+    wanted = key_filter(members, F.col("text_key"))
+    some = with_maybe(texts, F.col("text_key"), wanted).filter("_maybe").select("text", "text_key")
+    read = placed.join(some, "text_key").dropDuplicates(["node"])
+    names = ("node", "component", "size", "parts", "part")
+    schema = "node long, component long, size long, parts int, part int, hashes array<long>"
+    sets = map_arrow(read.select("text", *names), _set_hashes(width), schema)
+    large = not counts.filter("parts > 1").isEmpty()
+    if large:
+        sets = stored(sets, "sets")
+    zero = F.lit(0).alias("i"), F.lit(0).alias("j")
+    alone = F.col("node").alias("root"), F.lit(2).alias("side")
+    small = sets.filter("parts = 1").select("node", *alone, "hashes", "component", *zero)
+    links = _compared(small)
+    return links.union(_large_links(sets.filter("parts > 1"))) if large else links
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -570,8 +680,10 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     one of ``BANDS`` keys and differ in at most ``APART`` of 128 bits. Each distinct shingle
     counts once, so that a line repeated in a text does not stand for the whole.
 
-    Texts without words form one class. A row of null doc_id stays unless it repeats
-    another; of rows with equal doc_id and text one stays. All columns are kept.
+    Texts without words form one class. Null ids come after all others; among equal ids the
+    text with the smaller hash stays. Of rows with equal doc_id and text one stays. A text
+    that shares its doc_id with a near-duplicate of others is judged by itself. All columns
+    are kept.
     """
     lanes = BANDS * ROWS // BITS
     names = _lanes(lanes)
@@ -585,9 +697,19 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     found = components(similar_links(per_set.select("node", "size", "text_key"), near, docs.select("text", text_key), width))
     rooted = prints.select("doc_id", "text_key", "node").join(found, "node", "left")
     named = stored(rooted.select("doc_id", "text_key", F.coalesce("component", "node").alias("root")), "classes")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("least"))
-    losers = named.join(least, "root").filter(F.col("doc_id") != F.col("least")).select("doc_id").distinct()
+    # Ids may be shared by different texts, so a row is named by both; nulls come last.
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    least = named.groupBy("root").agg(F.min(place).alias("least"))
+    losers = named.join(least, "root").filter(place != F.col("least"))
+    losers = stored(losers.select("doc_id", "text_key").distinct(), "losers")
     twice = named.groupBy("doc_id", "text_key").count().filter("count > 1")
     if not twice.isEmpty():
         docs = docs.dropDuplicates(["doc_id", "text"])
-    return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
+    # Rows that stay for certain do not move; the columns travel as one, whatever their names.
+    key = F.xxhash64("text")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), key.alias("key"))
+    marked = with_maybe(rows, F.xxhash64("id", "key"), key_filter(losers, F.xxhash64("doc_id", "text_key")))
+    gone = losers.toDF("gone_id", "gone_key")
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key"))
+    checked = marked.filter("_maybe").join(gone, same, "left_anti")
+    return marked.filter("not _maybe").union(checked).select("row.*")

@@ -75,6 +75,29 @@ def test_groups_in_parts(spark, monkeypatch):
     assert _left(spark, docs) == kept_ids(docs) == [0]
 
 
+@pytest.mark.parametrize("step", [8, 16, 5])
+def test_chains_in_parts(spark, monkeypatch, step):
+    """Texts that share words with their neighbours alone: no pivot reaches all of a group."""
+    monkeypatch.setattr(simhash, "PART", 8)
+    rng = random.Random(step)
+    words = [f"w{rng.getrandbits(60)}" for _ in range(60 * step + 120)]
+    docs = [(i, " ".join(words[i * step : i * step + 120])) for i in range(60)]
+    assert _left(spark, docs) == kept_ids(docs)
+
+
+def test_ids_shared_by_different_texts(spark):
+    """Only the copy goes, not the other text of its id; null ids go last, equal rows once."""
+    rng = random.Random(9)
+    text = lambda: " ".join(f"w{rng.getrandbits(60)}" for _ in range(60))
+    a, b, c = text(), text(), text()
+    rows = [(1, a, "x"), (5, a + " more", "x"), (5, b, "x"), (None, a, "y"), (None, c, "y"), (None, c + " more", "y"), (7, b, "z"), (7, b, "z"), (8, None, "z"), (None, "", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, text_key string")
+    left = [tuple(r) for r in simhash.drop_near_duplicates(df).collect()]
+    kept = {(i, t) for i, t, _ in left}
+    assert len(left) == 4 and {(1, a), (5, b), (8, None)} < kept
+    assert len(kept & {(None, c), (None, c + " more")}) == 1
+
+
 @pytest.mark.parametrize("similarity", [0.8, 0.85])
 def test_pairs_at_the_limit_go(spark, similarity):
     docs = [*_pairs(similarity, 300, 180), *_pairs(0.7, 20, 90)[1::2]]
