@@ -32,13 +32,14 @@ def first_by_hash(df: DataFrame, by: str, hashed: Column, n: int) -> DataFrame:
     """Rows that hold the first ``n`` per value of ``by`` in the order of a 64-bit hash, and few more.
 
     How many rows a value has tells below which hash they lie, with a wide margin, so that
-    what is ranked after this is bounded whatever the number of rows or tasks.
+    what is ranked after this is bounded whatever the number of rows or tasks. ``by`` is a
+    label of few values: their counts, one row each, are sent to the tasks.
     """
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
     # Far more than chance leaves below n, as the deviation is the root of this at most.
     wanted = F.lit(2.0 * n + 64.0)
     limit = F.when(F.col("_rows") <= wanted, F.lit(2.0**63)).otherwise(wanted / F.col("_rows") * 2.0**64 - 2.0**63)
-    return df.withColumn("_hash", hashed).join(counts, by).filter(F.col("_hash") <= limit).drop("_hash", "_rows")
+    return df.withColumn("_hash", hashed).join(F.broadcast(counts), by).filter(F.col("_hash") <= limit).drop("_hash", "_rows")
 
 
 # Bits of a key filter, whatever the number of keys: 16 MB in rows of 4 kB.
