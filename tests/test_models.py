@@ -333,3 +333,35 @@ def test_share_names_and_empty_clusters(spark, assigned):
     assert value.columns == ["cluster_name", "total_revenue", "conversions", "days_since_signup"]
     long = segments.segment_engagement(summary)
     assert long.count() == 10 and long.columns == ["cluster_name", "metric", "value"]
+
+
+def test_equal_rows_are_fitted_as_one(spark, monkeypatch):
+    """Equal rows weigh as many as they are, in pieces of bounded weight, and fit the same trees."""
+    rng = random.Random(4)
+    kinds = [
+        (rng.choice("ab"), "m", None, rng.choice("xyz"), "eu", float(rng.randrange(5)), rng.randrange(4), 1, 0, 0.5, rng.random(), rng.random() < 0.4)
+        for _ in range(60)
+    ]
+    rows_ = [(i, i, *k[:-1], int(k[-1])) for i, k in enumerate(kinds * 40)]
+    schema = (
+        "impression_id long, user_id long, region string, device string, subscription_tier string, ad_format string,"
+        " target_region string, budget double, hour_of_day int, day_of_week int, is_peak_hour int,"
+        " user_click_rate double, campaign_ctr_history double, clicked int"
+    )
+    train = spark.createDataFrame(rows_, schema)
+    found = ctr_model.condensed(train.select("clicked", *ctr_model.FEATURES)).collect()
+    assert len(found) == 60 * 3  # 40 copies in pieces of 16 at most
+    assert all(r["copies"] == pytest.approx(40 / 3) for r in found)
+
+    # The trees get these rows only.
+    seen, fit = [], ctr_model.GBTClassifier.fit
+    monkeypatch.setattr(ctr_model.GBTClassifier, "fit", lambda self, df: (seen.append(df.count()), fit(self, df))[1])
+    options = {"rounds": 3, "depth": 3, "row_share": 1.0, "feature_share": 1.0}
+    joined = ctr_model.fit(train, **options)
+    monkeypatch.setattr(ctr_model, "condensed", lambda rows: rows.withColumn("copies", F.lit(1.0)))
+    apart = ctr_model.fit(train, **options)
+    assert seen == [180, 2400]
+    score = lambda m: {r[0]: r[1] for r in ctr_model.predict(m, train).select("impression_id", "predicted_prob").collect()}
+    one, other = score(joined), score(apart)
+    assert len(set(other.values())) > 3
+    assert all(one[i] == pytest.approx(other[i], abs=1e-9) for i in other)
