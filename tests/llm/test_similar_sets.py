@@ -113,3 +113,31 @@ def test_table_of_near_copies(spark):
     kept = kept_ids(docs)
     assert len(kept) < len(docs)
     assert _left(spark, docs) == kept
+
+
+def test_candidates_share_a_deletion_variant(spark):
+    """Sets are candidates by segments of their SimHash that differ by at most one bit."""
+    docs = [(100 * i + d, t) for i, s in enumerate((0.55, 0.7, 0.8)) for d, t in _pairs(s, 12, 60)]
+    short = [f"s{i}" for i in range(9)]
+    docs += [(900, " ".join(short)), (901, " ".join(short[:-1])), (902, " ".join(["x", *short[1:]]))]
+    masks = simhash.set_segments(len(docs))
+    assert masks == simhash.set_segments(1) and all(m.bit_count() == simhash.SEGMENT for m in masks)
+    lanes = masks[-1].bit_length() // 64 + 1
+    schema = "doc_id long, node long, size long, subsets array<long>, " + ", ".join(f"_fp{i} long" for i in range(lanes))
+    df = spark.createDataFrame(docs, "doc_id long, text string").select("text", "doc_id")
+    prints = simhash.stored(simhash.map_arrow(df, simhash._set_prints(5, lanes), schema))
+    rows = prints.collect()
+    bits = {r["node"]: sum((r[f"_fp{i}"] & (2**64 - 1)) << (64 * i) for i in range(lanes)) for r in rows}
+    size = {r["node"]: r["size"] for r in rows}
+    subsets = {r["node"]: set(r["subsets"]) for r in rows}
+    first = (1 << 64 * simhash.CARRIED) - 1
+    root = {n: n for n in bits}
+    for a, b in combinations(bits, 2):
+        x = bits[a] ^ bits[b]
+        near = any((x & m).bit_count() <= 1 for m in masks) and (x & first).bit_count() <= simhash.APART
+        if subsets[a] & subsets[b] or (near and min(size[a], size[b]) > simhash.ALONE):
+            low, high = sorted((root[a], root[b]))
+            root = {n: low if r == high else r for n, r in root.items()}
+    got = {r["node"]: r["component"] for r in simhash.components(simhash.set_candidates(prints, masks, lanes)).collect()}
+    assert got == {n: r for n, r in root.items() if r != n}
+    assert len(got) > 15
