@@ -124,3 +124,15 @@ def test_digests_tell_rows_apart(spark):
     df = spark.createDataFrame(data, "x string, y string, z double")
     found = [r[0] for r in df.select(ingest.row_digest(df)).collect()]
     assert len(set(found)) == 6 and found[1] == found[3] and {len(f) for f in found} == {32}
+
+
+def test_batches_store_changes_of_the_state(spark, tmp_path):
+    """Not a copy of the state for each batch; the settings of the session stay as they were."""
+    feed = Feed(spark, tmp_path, "conversions")
+    before = [spark.conf.get(k, None) for k in ingest._STATE]
+    feed.bring("2024-01-05 12:00:00", sale(1, "2024-01-05 10:00:00"))
+    feed.bring("2024-01-06 12:00:00", sale(2, "2024-01-06 10:00:00"), sale(1, "2024-01-05 10:00:00"))
+    assert [spark.conf.get(k, None) for k in ingest._STATE] == before
+    names = [n for _, _, files in os.walk(f"{feed.checkpoint}/state") for n in files]
+    assert any(n.endswith(".changelog") for n in names)
+    assert len(feed.check()) == 2
