@@ -231,7 +231,8 @@ def _bucket_links(distance: int, lanes: int):
     """What the links inside the variants of a partition sorted by key connect.
 
     The members of small variants are compared in passes over the whole batch, each with
-    the one ``step`` rows on. A variant above ``BUCKET`` members is passed on row by row.
+    the one ``step`` rows on, unless both have the same node. A variant above ``BUCKET`` members
+    is passed on row by row, numbered, after its members have been compared with the first.
     """
 
     def small(key, node, *fps):
@@ -242,6 +243,7 @@ def _bucket_links(distance: int, lanes: int):
             i = np.nonzero(key[step:] == key[:-step])[0]
             if not len(i):
                 break
+            i = i[node[i] != node[i + step]]
             x, y = [f[i] for f in fps], [f[i + step] for f in fps]
             near = i[_apart(x, y) <= distance]
             parent = _union(parent, own[near], own[near + step])
@@ -251,14 +253,26 @@ def _bucket_links(distance: int, lanes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         large = None  # the key of a variant that is being passed on
+        first, passed = None, 0  # its first member, and how many rows have been passed on
+
+        def members(key, node, fps):
+            nonlocal passed
+            near = _apart(fps, [f[None] for f in first[1:]]) <= distance
+            to = np.unique(node[near & (node != first[0])])
+            numbers = np.arange(passed, passed + len(node))
+            passed += len(node)
+            return [
+                _batch(lanes, to, np.full(len(to), first[0]), LINK, 0),
+                _batch(lanes, numbers, node, LARGE, key, fps),
+            ]
 
         def split(cols, last: bool):
-            nonlocal large
+            nonlocal large, first
             out = []
             if large is not None:
                 n = int(np.searchsorted(cols[0], large, "right"))
                 if n:
-                    out.append(_batch(lanes, cols[1][:n], cols[1][:n], LARGE, large, [f[:n] for f in cols[2:]]))
+                    out += members(large, cols[1][:n], [f[:n] for f in cols[2:]])
                 cols = [c[n:] for c in cols]
                 if len(cols[0]):
                     large = None
@@ -270,9 +284,12 @@ def _bucket_links(distance: int, lanes: int):
             keep = np.ones(len(key), bool)
             for s, n in zip(starts[sizes > BUCKET], sizes[sizes > BUCKET]):
                 part = slice(s, s + n)
-                out.append(_batch(lanes, node[part], node[part], LARGE, key[s], [f[part] for f in fps]))
                 keep[part] = False
-                if s + n == len(key):
+                open_end = s + n == len(key)
+                if open_end or (node[part] != node[s]).any():
+                    first = [node[s], *[f[s] for f in fps]]
+                    out += members(key[s], node[part], [f[part] for f in fps])
+                if open_end:
                     large = key[s]
             hold = len(key)
             if not last and large is None:
@@ -326,7 +343,9 @@ def links(
     pairs within the distance that share a variant connect, the rows connect.
 
     ``PASS_ROWS`` variants of each fingerprint are dealt at a time, so that the disk holds
-    those of one pass only.
+    those of one pass only. If that takes several passes, the first has one mask alone, and
+    what it links goes by the name of its smallest neighbour in the others. So a large group
+    gives each of its members rows from one mask, not from all.
     """
     spark = distinct_fps.sparkSession
     carried = lanes if carried is None else carried
@@ -335,9 +354,10 @@ def links(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     row = f"a long, b long, kind byte, key long, {values}"
     found, at = None, 0
+    several = sum(m.bit_count() for m in masks) > PASS_ROWS
     while at < len(masks):
         some = [masks[at]]
-        while at + len(some) < len(masks) and sum(m.bit_count() for m in some) + masks[at + len(some)].bit_count() <= PASS_ROWS:
+        while (at or not several) and at + len(some) < len(masks) and sum(m.bit_count() for m in some) + masks[at + len(some)].bit_count() <= PASS_ROWS:
             some.append(masks[at + len(some)])
         spread = map_arrow(
             distinct_fps.select("node", *_lanes(lanes)),
@@ -348,13 +368,31 @@ def links(
         dealt = spread.repartition(parts, "key").sortWithinPartitions("key")
         with _short_shuffles(spark):
             one = stored(map_arrow(dealt, _bucket_links(distance, carried), row, rows=65536), "links")
+        if several and not at:
+            least = one.filter(F.col("kind") == LINK).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+            called = F.coalesce("least", "node")
+            distinct_fps = stored(
+                distinct_fps.select("node", *_lanes(lanes))
+                .join(least, "node", "left")
+                .select(F.col("node").alias("was"), called.alias("node"), *_lanes(lanes)),
+                "named",
+            )
+            # The members of large variants go by their new names as well.
+            names_of = distinct_fps.select(F.col("was").alias("b"), F.col("node").alias("name"))
+            renamed = one.filter(F.col("kind") == LARGE).join(names_of, "b").drop("b").withColumnRenamed("name", "b")
+            one = one.filter(F.col("kind") == LINK).unionByName(renamed)
         found = one if found is None else found.union(one)
         at += len(some)
     small = found.filter(F.col("kind") == LINK).select("a", "b")
-    # Large variants: parts of bounded size meet pair by pair, in tasks of their own.
-    rows = found.filter(F.col("kind") == LARGE).select("key", F.col("a").alias("node"), *names)
-    counts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    # Large variants of several nodes: parts of bounded size meet pair by pair, in tasks of their own.
+    rows = found.filter(F.col("kind") == LARGE).select("key", F.col("a").alias("number"), F.col("b").alias("node"), *names)
+    counts = (
+        rows.groupBy("key")
+        .agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("parts"), F.min("node").alias("low"), F.max("node").alias("high"))
+        .filter("low < high")
+        .select("key", "parts")
+    )
+    part = F.pmod(F.xxhash64("number"), F.col("parts")).cast("int")
     members = rows.join(counts, "key").withColumn("part", part)
     packed = stored(
         members.groupBy("key", "part", "parts").agg(F.collect_list(F.struct("node", *names)).alias("fps")),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from adlake.llm import simhash
@@ -141,3 +143,65 @@ def test_candidates_share_a_deletion_variant(spark):
     got = {r["node"]: r["component"] for r in simhash.components(simhash.set_candidates(prints, masks, lanes)).collect()}
     assert got == {n: r for n, r in root.items() if r != n}
     assert len(got) > 15
+
+
+def _near_prints(n: int, seed: int, flips: int) -> list[int]:
+    """n fingerprints of 13 lanes, each some random flips from one centre."""
+    rng = random.Random(seed)
+    centre = rng.getrandbits(64 * 13)
+    return [centre ^ sum(1 << b for b in rng.sample(range(64 * 13), flips)) for _ in range(n)]
+
+
+def test_links_of_a_large_group_do_not_add_up_over_the_passes(spark):
+    masks = simhash.set_segments(1)
+    rows = [(i + 1, *[(f >> 64 * k & 2**64 - 1) - (1 << 63) for k in range(13)]) for i, f in enumerate(_near_prints(600, 1, 60))]
+    df = spark.createDataFrame(rows, "node long, " + ", ".join(f"_fp{k} long" for k in range(13)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        found = simhash.stored(simhash.links(df, simhash.APART, masks, 13, simhash.CARRIED))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    connected = {r["node"]: r["component"] for r in simhash.components(found).collect()}
+    assert connected == {i: 1 for i in range(2, 601)}
+    # One mask of 16 bits gives a node 16 links at most, and the others few.
+    assert found.filter("a <> b").distinct().count() <= 20 * 600
+
+
+@pytest.mark.parametrize("rows", [1, 3, 7, 1000])
+def test_large_variants_pass_on_numbered_members(monkeypatch, rows):
+    """Members of variants above the bucket, over batches of any length."""
+    monkeypatch.setattr(simhash, "BUCKET", 4)
+    rng = random.Random(4)
+    given = [(k, rng.randrange(100, 140), rng.getrandbits(3)) for k, n in ((1, 9), (2, 2), (3, 12), (4, 4), (5, 6)) for _ in range(n)]
+    given += [(6, 50, 0)] * 8 + [(7, 60, 7), (7, 61, 7)]
+    columns = [np.array(c, np.int64) for c in zip(*given)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c[at : at + rows]) for c in columns], ["key", "node", "_fp0"])
+        for at in range(0, len(given), rows)
+    ]
+    out = [r for b in simhash._bucket_links(1, 1)(iter(batches)) for r in b.to_pylist()]
+    large = [r for r in out if r["kind"] == simhash.LARGE]
+    for key in {r["key"] for r in large}:
+        some = [r for r in large if r["key"] == key]
+        assert [r["b"] for r in some] == [n for k, n, _ in given if k == key]
+        assert len({r["a"] for r in some}) == len(some)
+    # Without the variants that were passed on, links are whole; with them, none is made up.
+    near = lambda done: {
+        frozenset((a, b)) for (j, a, x), (k, b, y) in combinations(given, 2) if j == k and j in done and a != b and (x ^ y).bit_count() <= 1
+    }
+
+    def classes(pairs):
+        root = {n: n for _, n, _ in given}
+        for a, b in map(sorted, pairs):
+            low, high = sorted((root[a], root[b]))
+            root = {n: low if r == high else r for n, r in root.items()}
+        return root
+
+    keys = set(columns[0].tolist())
+    alike = {k for k in keys if len({n for j, n, _ in given if j == k}) == 1}
+    passed = {r["key"] for r in large}
+    assert passed - alike == {1, 3, 5}
+    links = {frozenset((r["a"], r["b"])) for r in out if r["kind"] == simhash.LINK and r["a"] != r["b"]}
+    assert classes(near(keys - passed) | links) == classes(links)
+    assert classes(near(keys) | links) == classes(near(keys))
