@@ -136,3 +136,20 @@ def test_batches_store_changes_of_the_state(spark, tmp_path):
     names = [n for _, _, files in os.walk(f"{feed.checkpoint}/state") for n in files]
     assert any(n.endswith(".changelog") for n in names)
     assert len(feed.check()) == 2
+
+
+def test_parts_of_the_state_follow_the_cores(spark, tmp_path):
+    """However many partitions a shuffle has; a later run with other settings keeps the parts."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    most = 2 * spark.sparkContext.defaultParallelism
+    feed = Feed(spark, tmp_path, "conversions")
+    spark.conf.set(key, str(most + 9))
+    try:
+        feed.bring("2024-01-05 12:00:00", sale(1, "2024-01-05 10:00:00"), sale(1, "2024-01-05 10:00:00"))
+        assert spark.conf.get(key) == str(most + 9)
+    finally:
+        spark.conf.set(key, before)
+    feed.bring("2024-01-06 12:00:00", sale(2, "2024-01-06 10:00:00"), sale(1, "2024-01-05 10:00:00"))
+    assert len([n for n in os.listdir(f"{feed.checkpoint}/state/0") if n.isdigit()]) == most
+    assert len(feed.check()) == 2
