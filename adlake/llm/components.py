@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adlake.llm.common import stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.select(F.inline(ends))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
     return (
         both.join(least, "a")
@@ -20,14 +21,19 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Expects a > b in every edge."""
+    """Expects a > b in every edge, and every edge once."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").filter(F.col("b") != F.col("m"))
-    return (
-        least.select("a", F.col("m").alias("b"))
-        .union(moved.select(F.col("b").alias("a"), F.col("m").alias("b")))
-        .distinct()
-    )
+    # The edge to the smallest stays, the other end of every other edge moves to it.
+    moved = F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b"))
+    return edges.join(least, "a").select(moved.alias("a"), F.col("m").alias("b")).distinct()
+
+
+def _stored_with_state(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """``edges`` stored, with their number and the sum of their hashes, taken as they are written."""
+    seen = Observation()
+    hashed = F.xxhash64("a", "b").cast("decimal(38,0)")
+    kept = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(hashed).alias("h")), "edges")
+    return kept, seen.get
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -41,21 +47,16 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     are ignored; an empty input gives an empty result.
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
-    current = stored(
+    current, state = _stored_with_state(
         edges.filter("a is not null and b is not null and a <> b")
         .select(high.alias("a"), low.alias("b"))
-        .distinct(),
-        "edges",
+        .distinct()
     )
     for _ in range(max_rounds):
-        following = stored(_small_star(_large_star(current)), "edges")
-        state = following.agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
-        ).first()
-        previous = current.agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
-        ).first()
-        current = following
-        if state == previous:
+        # Stored apart: in one plan with the small star, the driver plans the large one again and again.
+        large = stored(_large_star(current), "edges")
+        current, following = _stored_with_state(_small_star(large))
+        if state == following:
             return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        state = following
     raise RuntimeError(f"no fixed point after {max_rounds} rounds")

@@ -41,7 +41,7 @@ def source_targets(sources: DataFrame, weights: Sequence[int], share: float, mos
     With the sources in order of the level at which each stops, every prefix taken as
     stopped gives a level at or below the final one, so the largest of these is it.
     """
-    ranked = running(sources, [F.col("key").asc()], {"rank": F.lit(1)})
+    ranked = stored(running(sources, [F.col("key").asc()], {"rank": F.lit(1)}), "ranked")
     place = (F.col("rank") - 1) % len(weights) + 1
     weighted = ranked.withColumn(
         "weight", F.element_at(F.array(*[F.lit(w) for w in weights]), place.cast("int"))
@@ -77,19 +77,24 @@ def sainte_lague(cells: DataFrame) -> DataFrame:
     )
     quota = F.col("share") / F.col("total") * F.col("wanted")
     slack = F.col("share") / F.col("total") * F.col("n") / 2
-    bounded = live.join(groups, "grp").select(
-        "grp",
-        "cell",
-        "share",
-        "wanted",
-        F.greatest(F.lit(0), F.floor(quota - slack - 0.5)).cast("long").alias("sure"),
-        F.ceil(quota + slack + 0.5).cast("long").alias("top"),
+    # Cells and quotients are stored, so that no plan holds all steps: one that does is long,
+    # and the driver plans it again after each of its shuffles.
+    bounded = stored(
+        live.join(groups, "grp").select(
+            "grp",
+            "cell",
+            "share",
+            "wanted",
+            F.greatest(F.lit(0), F.floor(quota - slack - 0.5)).cast("long").alias("sure"),
+            F.ceil(quota + slack + 0.5).cast("long").alias("top"),
+        ),
+        "bounded",
     )
     doubtful = bounded.select(
         "grp", "cell", "share", F.explode(F.sequence("sure", F.col("top") - 1)).alias("k")
     ).withColumn("quotient", F.col("share") / (2 * F.col("k") + 1))
     order = [F.col("grp").asc(), F.col("quotient").desc(), F.col("cell").asc(), F.col("k").asc()]
-    placed = running(doubtful, order, {"place": F.lit(1)})
+    placed = stored(running(doubtful, order, {"place": F.lit(1)}), "placed")
     firsts = placed.groupBy("grp").agg((F.min("place") - 1).alias("before"))
     open_seats = bounded.groupBy("grp").agg(
         (F.max("wanted") - F.sum("sure")).alias("open")
@@ -189,7 +194,7 @@ def mix(
         )
     ).select(F.col("grp").alias("_key"), F.col("cell").alias("_shard"), "seats")
     n_blocks = F.greatest(F.lit(1), F.round(F.col("cell_words") / block_words)).cast("long")
-    quotas = (
+    quotas = stored(
         cells.join(seats, ["_key", "_shard"], "left")
         .withColumn("blocks", n_blocks)
         .withColumn("quota", F.least(F.coalesce("seats", F.lit(0)), F.col("blocks") * int(most)))
@@ -201,7 +206,8 @@ def mix(
             F.floor(F.col("quota") / F.col("blocks")).cast("long").alias("passes"),
             (F.col("quota") % F.col("blocks")).alias("rest"),
             _draw(seed, F.col("_key"), F.col("_shard").cast("string")).alias("start"),
-        )
+        ),
+        "quotas",
     )
     in_shard = Window.partitionBy("_key", "_shard").orderBy("_drawn", "_id", "size")
     placed = (

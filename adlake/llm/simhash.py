@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from adlake.llm.common import key_filter, map_arrow, stored, with_maybe
 from adlake.llm.components import components
+from adlake.session import work_path
 
 BITS = 64
 HASH_SEED = 42
@@ -353,7 +354,8 @@ def links(
     values = ", ".join(f"{c} long" for c in names)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     row = f"a long, b long, kind byte, key long, {values}"
-    found, at = None, 0
+    folder, paths, at = work_path(spark, "links"), [], 0
+    renamed = None
     several = sum(m.bit_count() for m in masks) > PASS_ROWS
     while at < len(masks):
         some = [masks[at]]
@@ -366,9 +368,11 @@ def links(
             rows=8192,
         )
         dealt = spread.repartition(parts, "key").sortWithinPartitions("key")
+        paths.append(f"{folder}/{at}")
         with _short_shuffles(spark):
-            one = stored(map_arrow(dealt, _bucket_links(distance, carried), row, rows=65536), "links")
+            map_arrow(dealt, _bucket_links(distance, carried), row, rows=65536).write.parquet(paths[-1])
         if several and not at:
+            one = spark.read.schema(row).parquet(paths[0])
             least = one.filter(F.col("kind") == LINK).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
             called = F.coalesce("least", "node")
             distinct_fps = stored(
@@ -380,12 +384,16 @@ def links(
             # The members of large variants go by their new names as well.
             names_of = distinct_fps.select(F.col("was").alias("b"), F.col("node").alias("name"))
             renamed = one.filter(F.col("kind") == LARGE).join(names_of, "b").drop("b").withColumnRenamed("name", "b")
-            one = one.filter(F.col("kind") == LINK).unionByName(renamed)
-        found = one if found is None else found.union(one)
+            renamed = stored(renamed, "renamed")
         at += len(some)
-    small = found.filter(F.col("kind") == LINK).select("a", "b")
+    # All passes are one scan: in a union of scans the plan would grow with the passes.
+    small = spark.read.schema(row).parquet(*paths).filter(F.col("kind") == LINK).select("a", "b")
+    found = renamed
+    if later := paths[1:] if several else paths:
+        found = spark.read.schema(row).parquet(*later).filter(F.col("kind") == LARGE)
+        found = found.unionByName(renamed) if several else found
     # Large variants of several nodes: parts of bounded size meet pair by pair, in tasks of their own.
-    rows = found.filter(F.col("kind") == LARGE).select("key", F.col("a").alias("number"), F.col("b").alias("node"), *names)
+    rows = found.select("key", F.col("a").alias("number"), F.col("b").alias("node"), *names)
     counts = (
         rows.groupBy("key")
         .agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("parts"), F.min("node").alias("low"), F.max("node").alias("high"))
