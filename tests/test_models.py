@@ -365,3 +365,25 @@ def test_equal_rows_are_fitted_as_one(spark, monkeypatch):
     one, other = score(joined), score(apart)
     assert len(set(other.values())) > 3
     assert all(one[i] == pytest.approx(other[i], abs=1e-9) for i in other)
+
+
+def test_trees_are_fitted_to_all_rows(spark, monkeypatch):
+    """No number of rows from which on the fit takes a part of them: none is left in its defaults."""
+    rng = random.Random(8)
+    rows_ = [
+        (i, i, rng.choice("ab"), "m", None, rng.choice("xyz"), "eu", rng.random(), i % 24, 1, 0, 0.5, rng.random(), int(i % 3 == 0))
+        for i in range(900)
+    ]
+    schema = (
+        "impression_id long, user_id long, region string, device string, subscription_tier string, ad_format string,"
+        " target_region string, budget double, hour_of_day int, day_of_week int, is_peak_hour int,"
+        " user_click_rate double, campaign_ctr_history double, clicked int"
+    )
+    # What bounds rows at a million or more bounds them at a hundred here.
+    small = tuple(100 if isinstance(d, int) and d >= 1_000_000 else d for d in ctr_model.fit.__defaults__)
+    monkeypatch.setattr(ctr_model.fit, "__defaults__", small)
+    seen, fit = [], ctr_model.GBTClassifier.fit
+    counts = F.sum("copies"), F.sum(F.when(F.col("clicked") == 1, F.col("copies")))
+    monkeypatch.setattr(ctr_model.GBTClassifier, "fit", lambda self, df: (seen.append(df.agg(*counts).first()), fit(self, df))[1])
+    ctr_model.fit(spark.createDataFrame(rows_, schema), rounds=1, depth=2)
+    assert [tuple(s) for s in seen] == [(900, 300)]
