@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,7 +14,7 @@ from adlake.session import materialize as stored
 # Rows that travel to a Python worker at once; long texts make larger batches a risk.
 ARROW_ROWS = 512
 
-__all__ = ["first_by_hash", "key_filter", "map_arrow", "running", "stored", "table", "with_maybe"]
+__all__ = ["first_by_hash", "key_filter", "map_arrow", "running", "short_shuffles", "stored", "table", "with_maybe"]
 
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -28,6 +29,18 @@ def map_arrow(df: DataFrame, fn: Batches, schema: str, rows: int = ARROW_ROWS) -
     return df.mapInArrow(fn, schema)
 
 
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled leaves the disk as soon as its query has ended."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def first_by_hash(df: DataFrame, by: str, hashed: Column, n: int) -> DataFrame:
     """Rows that hold the first ``n`` per value of ``by`` in the order of a 64-bit hash, and few more.
 

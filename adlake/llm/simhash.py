@@ -13,16 +13,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from contextlib import contextmanager
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import key_filter, map_arrow, stored, with_maybe
+from adlake.llm.common import key_filter, map_arrow, short_shuffles, stored, with_maybe
 from adlake.llm.components import components
 from adlake.session import work_path
 
@@ -369,7 +368,7 @@ def links(
         )
         dealt = spread.repartition(parts, "key").sortWithinPartitions("key")
         paths.append(f"{folder}/{at}")
-        with _short_shuffles(spark):
+        with short_shuffles(spark):
             map_arrow(dealt, _bucket_links(distance, carried), row, rows=65536).write.parquet(paths[-1])
         if several and not at:
             one = spark.read.schema(row).parquet(paths[0])
@@ -418,18 +417,6 @@ def links(
     return small.union(large.select("a", "b"))
 
 
-@contextmanager
-def _short_shuffles(spark: SparkSession) -> Iterator[None]:
-    """What is shuffled leaves the disk as soon as its query has ended."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def classes(
     prints: DataFrame, distance: int = 4, segments: int | None = None, lanes: int = 1, sure: int | None = None
 ) -> DataFrame:
@@ -492,9 +479,11 @@ PIVOTS, PIVOT_TURNS = 4, 2
 MISSED = 5e-8
 # Bits of a segment, and one more whenever a variant would have more members by chance.
 SEGMENT, MEMBERS = 16, 64
-# Of the first 192 bits of such a pair 29 differ in the mean; pairs that differ in more than
-# this (7 standard deviations) are no candidates. Sets that share nothing differ in 96.
-CARRIED, APART = 3, 64
+# Of the first 384 bits of such a pair 58 differ in the mean; pairs that differ in more than
+# this (7 standard deviations) are no candidates. Sets that share nothing differ in 192. So
+# many bits are carried as chance candidates, whose number per set grows with the table,
+# would connect its groups to one group of most sets.
+CARRIED, APART = 6, 107
 # Sets of up to so many shingles with a similarity of 0.8 are equal but for one shingle, which
 # is left out like a bit: their variants are the sets without one. Others up to the second
 # number have no larger partner.

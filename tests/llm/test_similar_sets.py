@@ -168,6 +168,16 @@ def test_links_of_a_large_group_do_not_add_up_over_the_passes(spark):
     assert found.filter("a <> b").distinct().count() <= 20 * 600
 
 
+def test_sets_that_share_nothing_are_no_candidates(spark):
+    """Chance candidates grow with the table and would connect all its groups to one."""
+    rng = random.Random(9)
+    masks = simhash.set_segments(1)[:12]
+    rows = [(i, *[rng.getrandbits(64) - (1 << 63) for _ in range(13)]) for i in range(20000)]
+    df = spark.createDataFrame(rows, "node long, " + ", ".join(f"_fp{k} long" for k in range(13)))
+    found = simhash.links(df, simhash.APART, masks, 13, simhash.CARRIED)
+    assert found.filter("a <> b").distinct().count() == 0
+
+
 @pytest.mark.parametrize("rows", [1, 3, 7, 1000])
 def test_large_variants_pass_on_numbered_members(monkeypatch, rows):
     """Members of variants above the bucket, over batches of any length."""
